@@ -26,12 +26,6 @@ MIN_LEAF = 2
 TEST_SHARE = 0.2
 FOLDS = 5
 SEED = 42
-METRICS = {
-    "accuracy": "accuracy",
-    "precision_weighted": "weightedPrecision",
-    "recall_weighted": "weightedRecall",
-    "f1_weighted": "f1",
-}
 
 
 def training_frame(dim_users: DataFrame, as_of: Column) -> DataFrame:
@@ -101,13 +95,12 @@ def fit_segment_model(df: DataFrame, trees: int = TREES) -> SegmentModel:
 
 def evaluate(predicted: DataFrame) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1, from the confusion counts."""
-    report = class_report(predicted)
-    share = F.col("support") / F.sum("support").over()
-    return report.select("*", share.alias("w")).agg(
-        (F.sum(F.col("correct")) / F.sum("support")).alias("accuracy"),
-        F.sum(F.col("precision") * F.col("w")).alias("precision_weighted"),
-        F.sum(F.col("recall") * F.col("w")).alias("recall_weighted"),
-        F.sum(F.col("f1") * F.col("w")).alias("f1_weighted"),
+    weighted = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
+    return class_report(predicted).agg(
+        (F.sum("correct") / F.sum("support")).alias("accuracy"),
+        weighted("precision").alias("precision_weighted"),
+        weighted("recall").alias("recall_weighted"),
+        weighted("f1").alias("f1_weighted"),
         F.sum("support").alias("rows"),
     )
 
@@ -134,7 +127,7 @@ def class_report(predicted: DataFrame, label: str = "user_segment", guess: str =
     return scored.withColumn("f1", f1).select("segment", "precision", "recall", "f1", "support", "correct").orderBy("segment")
 
 
-def cross_validate(df: DataFrame, folds: int = FOLDS, trees: int = TREES, parallelism: int = 2) -> tuple[float, float]:
+def cross_validate(df: DataFrame, folds: int = FOLDS, trees: int = TREES, parallelism: int = FOLDS) -> tuple[float, float]:
     """Mean and deviation of weighted F1 over the folds."""
     prepared = Pipeline(stages=_stages(trees)[:-1]).fit(df).transform(df).select("features", "label")
     validator = CrossValidator(

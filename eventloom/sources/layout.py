@@ -63,7 +63,7 @@ def layout_report(df: DataFrame, base: str, layouts: Mapping[str, Sequence[str]]
     paths = {}
     for name, by in layouts.items():
         paths[name] = f"{base}/{name}"
-        write_events(keyed, paths[name], by=by)
+        write_events(keyed, paths[name], by=by, replace="all")
     return _labelled_inspection(df.sparkSession, paths, "layout")
 
 

@@ -13,6 +13,7 @@ from eventloom.schema import EventRoles
 from eventloom.session import use_utc
 
 # The test events know no add_to_cart and no search: signup plays the cart step.
+TEST_TYPES = ("click", "error", "purchase", "signup", "view")
 TEST_ROLES = EventRoles(browse=("view", "click"), view="view", cart="signup", buy="purchase")
 
 _USER = "concat('U', lpad(cast(user_id as string), 4, '0'))"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from eventloom.operators.clean import warehouse_rows
@@ -28,7 +27,7 @@ def load_warehouse(df: DataFrame, table: str = "raw.user_events", run_ts: Column
     ``insertInto`` matches by position, so the table's own column order is selected first.
     """
     spark = df.sparkSession
-    seen = Observation("loaded")
+    seen = Observation()
     rows = warehouse_rows(df, run_ts).select(*spark.table(table).columns)
     rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=True)
     return seen.get["rows"]
@@ -74,7 +73,7 @@ def migrate_table(
 
 def append_rows(df: DataFrame, table: str, by: Sequence[str] = ()) -> int:
     """Append to an existing table by column name; returns rows written."""
-    seen = Observation("appended")
+    seen = Observation()
     out = df.select(*df.sparkSession.table(table).columns).observe(seen, F.count(F.lit(1)).alias("rows"))
     if by:
         out = out.hint("rebalance", *by)
@@ -92,20 +91,20 @@ def high_water_mark(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def availability(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> DataFrame:
-    """Row count and availability per table; a table that cannot be resolved reports its error."""
+    """Row count and availability per table; a missing table reports its error."""
     out = None
     for name, source in tables.items():
-        try:
+        if isinstance(source, str) and not spark.catalog.tableExists(source):
+            row = spark.range(1).select(
+                F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("row_count"),
+                F.lit(False).alias("available"), F.lit(f"table {source} not found").alias("error"),
+            )
+        else:
             df = spark.table(source) if isinstance(source, str) else source
             row = df.agg(F.count("*").alias("row_count")).select(
                 F.lit(name).alias("table_name"), "row_count",
                 (F.col("row_count") > 0).alias("available"), F.lit(None).cast("string").alias("error"),
             )
-        except AnalysisException as exc:
-            row = spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("row_count"),
-                F.lit(False).alias("available"), F.lit(exc.getCondition() or "unresolved").alias("error"),
-            )
         out = row if out is None else out.unionByName(row)
     if out is None:
         raise ValueError("no tables given")
