@@ -99,7 +99,10 @@ def request_rate(df: DataFrame, size_seconds: int = 300, keys: Sequence[str] = (
 def absence_stream(sdf: DataFrame, key: str, gap_ms: int, delay: str = "1 minute", ts: str = "event_ts") -> DataFrame:
     """One row per silence: a key not seen for ``gap_ms`` of event time after its last event.
 
-    State is one timestamp per key. The timer fires when the watermark passes last + gap.
+    State is one timestamp per key. A silence shows either when the watermark passes last + gap
+    (the timer) or when the key's next events turn out to lie further away than the gap. New
+    events are kept only as first and last time per ``gap_ms`` span, since two events of one span
+    cannot be a silence apart: a busy key costs as much memory as it covers time.
     """
 
     def watch(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -108,12 +111,23 @@ def absence_stream(sdf: DataFrame, key: str, gap_ms: int, delay: str = "1 minute
             state.remove()
             yield pd.DataFrame({key: [k[0]], "last_seen": [pd.Timestamp(last, unit="ms")]})
             return
-        newest = max(int(f["ms"].max()) for f in frames)
-        if state.exists:
-            newest = max(newest, state.get[0])
-        state.update((newest,))
+        spans: dict[int, tuple[int, int]] = {}
+        for f in frames:
+            for s, ends in f["ms"].groupby(f["ms"] // gap_ms).agg(["min", "max"]).iterrows():
+                lo, hi = spans.get(s, (ends["min"], ends["max"]))
+                spans[s] = (min(lo, ends["min"]), max(hi, ends["max"]))
+        last = state.get[0] if state.exists else None
+        silences = []
+        for s in sorted(spans):
+            lo, hi = (int(x) for x in spans[s])
+            if last is not None and lo - last > gap_ms:
+                silences.append(last)
+            last = hi if last is None else max(last, hi)
+        state.update((last,))
         # A timer may not lie at or before the watermark.
-        state.setTimeoutTimestamp(max(newest + gap_ms, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(last + gap_ms, state.getCurrentWatermarkMs() + 1))
+        if silences:
+            yield pd.DataFrame({key: k[0], "last_seen": pd.to_datetime(silences, unit="ms")})
 
     beats = sdf.withWatermark(ts, delay).select(key, ts, F.unix_millis(ts).alias("ms"))
     return beats.groupBy(key).applyInPandasWithState(
