@@ -10,6 +10,9 @@ from eventloom.schema import TIMESTAMP_FORMATS
 
 SECONDS_PER_DAY = 86_400
 
+# The texts that the default timestamp formats accept, as one pattern.
+ISO_EVENT_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{6}(Z|[+-]\d{2}:\d{2})|Z|[+-]\d{2}:\d{2})?$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -22,8 +25,14 @@ def clip(c: Column | str, lo: float, hi: float) -> Column:
 
 
 def parse_event_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """First accepted timestamp form, else null. Never throws under ANSI mode."""
+    """First accepted timestamp form, else null. Never throws under ANSI mode.
+
+    The default forms are all ISO, so one pattern decides whether a text is accepted and Spark's
+    own cast reads it. Trying formats in turn costs an exception per row and failed format.
+    """
     c = _col(c)
+    if tuple(formats) == TIMESTAMP_FORMATS:
+        return F.when(c.rlike(ISO_EVENT_TIME), F.try_to_timestamp(c))
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 

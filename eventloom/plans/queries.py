@@ -643,7 +643,7 @@ def vector_search_products(spark, d):
 
 
 def text_embed(spark, d):
-    out = embed.embed_text(table(spark, d, "documents").select("doc_id", "text"), "text")
+    out = embed.embed_text(se.spread(table(spark, d, "documents").select("doc_id", "text")), "text")
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(fv.inner_product("embedding", "embedding"), 4).alias("norm"))
 
 

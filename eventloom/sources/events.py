@@ -94,6 +94,16 @@ def read_parquet_tree(
     return df.select(*columns)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    For costly per-row work on a few large files. A scan with enough splits, the normal case on a
+    cluster, is returned as it is. Meant for plain scans, whose split count is known from planning.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name a frame for SQL."""
     df.createOrReplaceTempView(name)

@@ -7,7 +7,7 @@ folding, bad timestamps and both duration bounds all occur.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from eventloom.schema import EventRoles
 from eventloom.session import use_utc
@@ -37,8 +37,16 @@ _SHAPE = {
 }
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is inferred once per session, which saves a job per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (use_utc(spark).sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def shape_events(events: DataFrame, missing_users: bool = False) -> DataFrame:
