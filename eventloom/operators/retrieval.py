@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.functions.text import event_chunks
 from eventloom.operators.embed import VECTOR_DIM, Encoder, embed_text
-from eventloom.operators.search import attach_metadata, rank_top_k, topk_exact
+from eventloom.operators.search import exact_hits, with_fields
 
 # System instruction and section headings of the prompt.
 SYSTEM_PROMPT = (
@@ -49,16 +49,17 @@ def load_knowledge_base(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def retrieve(corpus: DataFrame, queries: DataFrame, k: int = 5, where: Column | None = None) -> DataFrame:
-    """``k`` best entries per query with their metadata; scores are rounded to 4 digits."""
-    hits = topk_exact(corpus, queries, k, where)
-    return attach_metadata(hits, corpus, HIT_DEFAULTS).withColumn("score", F.round("score", 4))
+def search_rows(
+    corpus: DataFrame, queries: DataFrame, fields: dict[str, str | int], k: int = 10, where: Column | None = None
+) -> DataFrame:
+    """Search any vector table (events, products) and return the named fields of each hit."""
+    hits, most = exact_hits(corpus, queries, k, where)
+    return with_fields(hits, corpus, fields, most).withColumn("score", F.round("score", 4))
 
 
-def search_rows(corpus: DataFrame, queries: DataFrame, fields: dict[str, str], k: int = 10, where: Column | None = None) -> DataFrame:
-    """Search any vector table (events, products) and return the named fields of each hit."""
-    hits = topk_exact(corpus, queries, k, where)
-    return attach_metadata(hits, corpus, fields).withColumn("score", F.round("score", 4))
+def retrieve(corpus: DataFrame, queries: DataFrame, k: int = 5, where: Column | None = None) -> DataFrame:
+    """``k`` best knowledge-base entries per query; scores are rounded to 4 digits."""
+    return search_rows(corpus, queries, HIT_DEFAULTS, k, where)
 
 
 def build_prompts(hits: DataFrame, questions: DataFrame, system: str | None = None) -> DataFrame:

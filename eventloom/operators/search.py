@@ -6,7 +6,7 @@ gives back only its k best rows per query. No (query, row) pair is ever a Spark
 Two ways to bring queries and corpus together:
 
 * few queries: the query matrix is shipped to every task and the corpus is scanned in place, with
-  no shuffle. Used only after counting the queries against ``QUERY_BYTES_LIMIT``.
+  no shuffle. Used only when the queries are within ``QUERY_ROW_LIMIT`` and ``QUERY_BYTES_LIMIT``.
 * many queries: both sides are cut into blocks of bounded size and meet in a grid of
   (corpus block x query block) groups.
 
@@ -16,7 +16,6 @@ whatever block they were scored in.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from eventloom.session import bounded_broadcast
+
 SCORE_DIGITS = 9
+QUERY_ROW_LIMIT = 2_000
 QUERY_BYTES_LIMIT = 32 * 1024 * 1024
 CORPUS_BLOCK_ROWS = 100_000
 QUERY_BLOCK_ROWS = 2_000
@@ -101,35 +103,43 @@ def _corpus(df: DataFrame, where: Column | None) -> DataFrame:
     return df.filter(F.col("embedding").isNotNull())
 
 
-def _small_queries(queries: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Query ids and matrix if they fit the byte limit, else None. Reads at most one row too many."""
-    most = max(1, QUERY_BYTES_LIMIT // (8 * dim))
-    table = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding").limit(most + 1).toArrow()
-    if table.num_rows > most:
-        return None
-    return table["query_id"].to_numpy().astype(np.int64), _matrix(table["embedding"], dim)
+@dataclass(frozen=True)
+class _Queries:
+    """The first queries on the driver, and whether those are all of them."""
+
+    ids: np.ndarray
+    matrix: np.ndarray
+    complete: bool
 
+    @property
+    def dim(self) -> int:
+        return self.matrix.shape[1]
 
-def vector_dim(df: DataFrame) -> int:
-    """Length of the first vector. Blocks with any other length fail loudly on reshape."""
-    row = df.filter(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
-    if row is None:
-        raise ValueError("no vectors")
-    return row[0]
+
+def _peek(queries: DataFrame) -> _Queries:
+    """Fetch at most one query more than the limit: enough to tell which way to go."""
+    asked = queries.filter(F.col("embedding").isNotNull())
+    table = asked.select("query_id", F.col("embedding").cast("array<double>")).limit(QUERY_ROW_LIMIT + 1).toArrow()
+    dim = len(table["embedding"][0]) if table.num_rows else 1
+    matrix = _matrix(table["embedding"], dim)
+    complete = table.num_rows <= QUERY_ROW_LIMIT and matrix.nbytes <= QUERY_BYTES_LIMIT
+    return _Queries(table["query_id"].to_numpy().astype(np.int64), matrix, complete)
 
 
 # --- the two ways ----------------------------------------------------------------------------
 
 
-def _scan_in_place(corpus: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int, probes: np.ndarray | None) -> DataFrame:
+def _scan_in_place(corpus: DataFrame, queries: _Queries, k: int, probes: np.ndarray | None = None) -> DataFrame:
     """Candidates of each task. ``probes[q, c]`` tells whether query q looks into cluster c."""
-    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix, probes))
-    dim = matrix.shape[1]
+    shared = corpus.sparkSession.sparkContext.broadcast((queries.ids, queries.matrix, probes))
+    dim = queries.dim
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, q, looks = shared.value
         best = _TopK(len(qids), k)
         for batch in batches:
+            if batch.num_rows == 0 or not len(qids):
+                continue
             ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("embedding"), dim)
             if looks is None:
                 best.add(np.arange(len(qids)), _round(q @ vectors.T), ids)
@@ -145,11 +155,12 @@ def _scan_in_place(corpus: DataFrame, query_ids: np.ndarray, matrix: np.ndarray,
     return corpus.select(*columns).mapInArrow(score, _HIT_SCHEMA)
 
 
-def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
+def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int, buckets: int) -> DataFrame:
     """Candidates of every (corpus block, query block) pair that shares a bucket.
 
-    Both sides carry ``bucket``; a bucket with many rows is cut into as many blocks as its count
-    asks for, so no group exceeds the block sizes by more than hashing unevenness.
+    Both sides carry ``bucket``, of which there are at most ``buckets`` values. A bucket with many
+    rows is cut into as many blocks as its count asks for, so no group exceeds the block sizes by
+    more than hashing unevenness.
     """
 
     def blocks(df: DataFrame, rows: int) -> DataFrame:
@@ -157,7 +168,7 @@ def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
 
     c_blocks = blocks(corpus, CORPUS_BLOCK_ROWS).withColumnRenamed("blocks", "cn")
     q_blocks = blocks(queries, QUERY_BLOCK_ROWS).withColumnRenamed("blocks", "qn")
-    sizes = c_blocks.join(q_blocks, "bucket")
+    sizes = bounded_broadcast(c_blocks.join(q_blocks, "bucket"), buckets)
 
     def own(key: str, n: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
@@ -186,20 +197,24 @@ def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
 # --- exact search ----------------------------------------------------------------------------
 
 
+def exact_hits(corpus: DataFrame, queries: DataFrame, k: int, where: Column | None = None) -> tuple[DataFrame, int | None]:
+    """The hits of ``topk_exact``, and the most rows they can be if that is known."""
+    rows = _corpus(corpus, where)
+    first = _peek(queries)
+    if first.complete:
+        return rank_top_k(_scan_in_place(rows, first, k), k), len(first.ids) * k
+    one = F.lit(0).alias("bucket")
+    asked = queries.filter(F.col("embedding").isNotNull()).select(one, "query_id", "embedding")
+    return rank_top_k(_grid(rows.select(one, "id", "embedding"), asked, k, first.dim, buckets=1), k), None
+
+
 def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 10, where: Column | None = None) -> DataFrame:
     """``k`` best corpus rows per query: query_id, id, score, rank.
 
     ``corpus`` has id (long) and embedding (array); ``queries`` has query_id (long) and embedding.
     ``where`` filters the corpus by its other columns before scoring.
     """
-    rows = _corpus(corpus, where)
-    dim = vector_dim(corpus)
-    small = _small_queries(queries, dim)
-    if small is not None:
-        return rank_top_k(_scan_in_place(rows, *small, k, None), k)
-    one = F.lit(0).alias("bucket")
-    asked = queries.filter(F.col("embedding").isNotNull()).select(one, "query_id", "embedding")
-    return rank_top_k(_grid(rows.select(one, "id", "embedding"), asked, k, dim), k)
+    return exact_hits(corpus, queries, k, where)[0]
 
 
 # --- cluster-pruned search -------------------------------------------------------------------
@@ -227,14 +242,21 @@ def nlist_for(n: int, most: int = NLIST) -> int:
     return min(most, max(1, n // 100))
 
 
-def build_ivf(corpus: DataFrame, path: str, nlist: int | None = None, seed: int = 42, max_iter: int = 10) -> ClusterIndex:
+def build_ivf(
+    corpus: DataFrame, path: str, nlist: int | None = None, seed: int = 42, max_iter: int = 10, stored: bool = False
+) -> ClusterIndex:
     """Cluster the corpus and store it partitioned by cluster.
 
     A search then reads only the probed clusters' folders. Writing is rebalanced by cluster, and
-    AQE splits a cluster that holds much of the corpus into several tasks and files.
+    AQE splits a cluster that holds much of the corpus into several tasks and files. Clustering
+    reads the corpus once per iteration, so it is written out first unless it is already
+    ``stored``: vectors that an encoder computes must not be computed again each time.
     """
     spark = corpus.sparkSession
     rows = corpus.filter(F.col("embedding").isNotNull())
+    if not stored:
+        write_vectors(rows, f"{path}/staged")
+        rows = spark.read.parquet(f"{path}/staged")
     if nlist is None:
         nlist = nlist_for(rows.count())
     features = rows.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
@@ -264,15 +286,13 @@ def topk_ivf(
     nlist, dim = index.centers.shape
     nprobe = min(nprobe, nlist)
     corpus = _corpus(index.vectors(spark), where)
-    small = _small_queries(queries, dim)
-    if small is not None:
-        qids, matrix = small
-        near = _nearest(matrix, index.centers, nprobe)
-        looks = np.zeros((len(qids), nlist), dtype=bool)
+    first = _peek(queries)
+    if first.complete:
+        near = _nearest(first.matrix, index.centers, nprobe) if len(first.ids) else np.zeros((0, nprobe), dtype=int)
+        looks = np.zeros((len(first.ids), nlist), dtype=bool)
         np.put_along_axis(looks, near, True, axis=1)
         probed = [int(c) for c in np.unique(near)]
-        pruned = corpus.filter(F.col("cluster").isin(*probed))
-        return rank_top_k(_scan_in_place(pruned, qids, matrix, k, looks), k)
+        return rank_top_k(_scan_in_place(corpus.filter(F.col("cluster").isin(*probed)), first, k, looks), k)
 
     centers = index.centers
 
@@ -287,7 +307,7 @@ def topk_ivf(
     asked = queries.filter(F.col("embedding").isNotNull()).select("query_id", F.col("embedding").cast("array<double>"))
     probed = asked.mapInArrow(probe, "query_id long, embedding array<double>, buckets array<int>")
     spread = probed.select(F.explode("buckets").alias("bucket"), "query_id", "embedding")
-    return rank_top_k(_grid(corpus.select(F.col("cluster").alias("bucket"), "id", "embedding"), spread, k, dim), k)
+    return rank_top_k(_grid(corpus.select(F.col("cluster").alias("bucket"), "id", "embedding"), spread, k, dim, nlist), k)
 
 
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
@@ -300,15 +320,26 @@ def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
     )
 
 
-def attach_metadata(hits: DataFrame, meta: DataFrame, defaults: dict[str, str]) -> DataFrame:
-    """Add the metadata columns of each hit; a hit without metadata gets the defaults.
+def with_fields(hits: DataFrame, corpus: DataFrame, fields: dict[str, str | int], most: int | None = None) -> DataFrame:
+    """Add columns of the corpus rows that were hit; a null becomes the field's default.
+
+    Every hit is a corpus row, so an inner join loses none. Wide columns are read only here, after
+    ranking; with at most ``most`` hits those are broadcast and the corpus is not shuffled.
+    """
+    small = hits if most is None else bounded_broadcast(hits, most)
+    joined = corpus.select("id", *fields).join(small, "id")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in fields.items()})
+
+
+def attach_metadata(hits: DataFrame, meta: DataFrame, defaults: dict[str, str | int], most: int | None = None) -> DataFrame:
+    """Add metadata kept in another table; a hit without metadata gets the defaults.
 
-    Only the hits' ids are looked up, after ranking, so wide columns never enter the search.
+    With at most ``most`` hits the metadata is first reduced to their ids by a broadcast semi join.
     """
-    chosen = meta.select("id", *defaults)
-    joined = hits.join(chosen, "id", "left")
-    filled = {c: F.coalesce(F.col(c), F.lit(d)) for c, d in defaults.items()}
-    return joined.withColumns(filled)
+    if most is not None:
+        meta = meta.join(bounded_broadcast(hits.select("id").distinct(), most), "id", "left_semi")
+    joined = hits.join(meta.select("id", *defaults), "id", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in defaults.items()})
 
 
 def write_vectors(df: DataFrame, path: str) -> None:

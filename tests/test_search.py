@@ -44,7 +44,7 @@ def test_scan_in_place(small):
 
 def test_grid_of_blocks(small, monkeypatch):
     cv, corpus, qv, queries = small
-    monkeypatch.setattr(search, "QUERY_BYTES_LIMIT", 1)
+    monkeypatch.setattr(search, "QUERY_ROW_LIMIT", 10)
     monkeypatch.setattr(search, "CORPUS_BLOCK_ROWS", 70)
     monkeypatch.setattr(search, "QUERY_BLOCK_ROWS", 6)
     assert _got(search.topk_exact(corpus, queries, 7)) == _brute(cv, qv, 7)
@@ -147,8 +147,24 @@ def test_prompt_without_hits_and_with_own_instruction(spark):
 def test_missing_metadata_gets_defaults(spark):
     hits = spark.createDataFrame([(1, 7, 0.5, 1)], "query_id long, id long, score double, rank int")
     meta = spark.createDataFrame([(8, "view", "U1", "P1", "c")], "id long, event_type string, user_id string, product_id string, chunk string")
-    row = search.attach_metadata(hits, meta, retrieval.HIT_DEFAULTS).first()
-    assert (row["event_type"], row["user_id"], row["product_id"], row["chunk"]) == ("?", "?", "", "")
+    for most in (None, 1):
+        row = search.attach_metadata(hits, meta, retrieval.HIT_DEFAULTS, most).first()
+        assert (row["event_type"], row["user_id"], row["product_id"], row["chunk"]) == ("?", "?", "", "")
+
+
+def test_hits_are_broadcast_and_the_corpus_is_not_shuffled(spark, small, tmp_path):
+    _, corpus, _, queries = small
+    corpus.withColumn("tag", F.lit("t")).write.parquet(str(tmp_path / "c"))
+    out = retrieval.search_rows(spark.read.parquet(str(tmp_path / "c")), queries, {"tag": ""}, 3)
+    assert out.count() == 75
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(id" not in plan
+
+
+def test_no_queries_and_no_rows(small):
+    _, corpus, _, queries = small
+    assert search.topk_exact(corpus, queries.filter("query_id < 0"), 3).count() == 0
+    assert search.topk_exact(corpus.filter("id < 0"), queries, 3).count() == 0
 
 
 def test_hit_rate_depends_on_k(spark):
