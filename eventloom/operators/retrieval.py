@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.functions.text import event_chunks
-from eventloom.operators.embed import VECTOR_DIM, Encoder, embed_text
-from eventloom.operators.search import exact_hits, with_fields
+from eventloom.operators.embed import VECTOR_DIM, Encoder, apply_encoder, apply_lexical, fit_lexical
+from eventloom.operators.search import exact_hits, with_fields, write_vectors
 
 # System instruction and section headings of the prompt.
 SYSTEM_PROMPT = (
@@ -25,28 +28,56 @@ METADATA_COLUMNS = ("event_id", "user_id", "event_type", "product_id", "page", "
 SEARCH_RESULT_ROWS = 5
 
 
-def knowledge_base(ev: DataFrame, encoder: Encoder | None = None, dim: int = VECTOR_DIM) -> DataFrame:
-    """One row per event: id, metadata, chunk and embedding.
+def kb_rows(ev: DataFrame) -> DataFrame:
+    """One row per event: id, metadata and chunk.
 
     The id is a hash of ``event_id``: the same on every run and computed without ordering rows.
     """
     chunks = event_chunks(ev)
     category = F.col("product_category") if "product_category" in ev.columns else F.lit(None).cast("string")
     text = [F.coalesce(F.col(c), F.lit("?" if c in ("user_id", "event_type") else "")).alias(c) for c in METADATA_COLUMNS]
-    rows = chunks.select(
+    return chunks.select(
         F.xxhash64("event_id").alias("id"), *text,
         F.coalesce(category, F.lit("")).alias("product_category"),
         F.coalesce("duration_ms", F.lit(0)).alias("duration_ms"), "chunk",
     )
-    return embed_text(rows, "chunk", encoder, dim)
 
 
-def save_knowledge_base(kb: DataFrame, path: str) -> None:
-    kb.hint("rebalance").write.mode("overwrite").parquet(path)
+@dataclass(frozen=True)
+class KnowledgeBase:
+    """Stored entries with their vectors, and what turns a question into a vector of the same kind."""
+
+    entries: DataFrame
+    model: PipelineModel | None = None
+    encoder: Encoder | None = None
+    dim: int = VECTOR_DIM
+
+    def vectors(self, questions: DataFrame, col: str = "question") -> DataFrame:
+        if self.encoder is not None:
+            return apply_encoder(questions, col, self.encoder, self.dim)
+        return apply_lexical(questions, col, self.model)
+
+    def ask(self, questions: DataFrame, k: int = 5, where: Column | None = None) -> DataFrame:
+        """Hits with metadata for text questions (query_id, question)."""
+        return retrieve(self.entries, self.vectors(questions), k, where)
+
+
+def build_knowledge_base(ev: DataFrame, path: str, encoder: Encoder | None = None, dim: int = VECTOR_DIM) -> KnowledgeBase:
+    """Write entries and, without an encoder, the lexical model that questions will need."""
+    rows = kb_rows(ev)
+    if encoder is not None:
+        entries = apply_encoder(rows, "chunk", encoder, dim)
+    else:
+        model = fit_lexical(rows, "chunk", dim)
+        model.write().overwrite().save(f"{path}/model")
+        entries = apply_lexical(rows, "chunk", model)
+    write_vectors(entries, f"{path}/entries")
+    return open_knowledge_base(ev.sparkSession, path, encoder, dim)
 
 
-def load_knowledge_base(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def open_knowledge_base(spark: SparkSession, path: str, encoder: Encoder | None = None, dim: int = VECTOR_DIM) -> KnowledgeBase:
+    model = None if encoder is not None else PipelineModel.load(f"{path}/model")
+    return KnowledgeBase(spark.read.parquet(f"{path}/entries"), model, encoder, dim)
 
 
 def search_rows(

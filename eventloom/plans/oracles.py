@@ -335,6 +335,18 @@ ORACLES: dict[str, str] = {
         _nulls("event_type", "FROM stg"), _strays("event_type", _TYPES, "FROM stg"),
     ) + """) SELECT COUNT(*) AS rules, COUNT(*) FILTER (passed) AS passed, COUNT(*) FILTER (NOT passed) AS failed,
         CAST(0 AS BIGINT) AS warnings, COUNT(*) FILTER (NOT passed) AS errors FROM r""",
+    "dq_models": _EV + _union(*[
+        f"SELECT *, '{model}' AS model FROM ({rule})"
+        for model, rules in {
+            "user_events": [_nulls("event_id", "FROM ev"), _dups("event_id", "ev"), _nulls("user_id", "FROM ev"),
+                            _nulls("event_type", "FROM ev"), _strays("event_type", _TYPES, "FROM ev")],
+            "stg_user_events": [_nulls("event_id", "FROM stg"), _dups("event_id", "stg"), _nulls("user_id", "FROM stg"),
+                                _nulls("event_type", "FROM stg")],
+            "dim_users": [_nulls("user_id", "FROM users"), _dups("user_id", "users")],
+            "fct_user_events_daily": [_nulls("event_date", "FROM daily"), _nulls("event_type", "FROM daily")],
+            "dim_products": [_nulls("product_id", "FROM products"), _dups("product_id", "products")],
+        }.items() for rule in rules
+    ]),
     "dq_failures": _EV + """SELECT 'not_null:user_id' AS rule, event_id, CAST(NULL AS VARCHAR) AS value FROM ev WHERE user_raw IS NULL
         UNION ALL SELECT 'accepted_values:event_type', event_id, event_type FROM ev
         WHERE event_type NOT IN ('click', 'view', 'add_to_cart', 'purchase', 'search', 'logout')""",
@@ -425,6 +437,9 @@ ORACLES: dict[str, str] = {
     "kb_build": _EV + _TALK_EV + _chunk(20, 200) + """SELECT event_id, user_id, event_type, COALESCE(product_id, '') AS product_id, page,
         COALESCE(referrer, '') AS referrer, device, browser, COALESCE(product_category, '') AS product_category, duration_ms, chunk,
         CAST(384 AS INTEGER) AS dim FROM chunks""",
+    "hit_metadata": _EV + _MEANS + _topk("vecs", "label_queries", 10) + """SELECT h.query_id, h.id, h.rank,
+        COALESCE(m.event_type, '?') AS event_type, COALESCE(m.user_id, '?') AS user_id
+        FROM hits h LEFT JOIN (SELECT * FROM ev WHERE LOWER(event_type) = 'purchase') m ON m.eid = h.id""",
     # streaming
     "stream_land": _EV + f"SELECT {_RAW} FROM parsed",
     "stream_clean": _EV + f"SELECT {_CLEAN}, processing_date FROM cleaned",

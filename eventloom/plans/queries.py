@@ -383,6 +383,23 @@ def dq_summary(spark, d):
     return quality.suite_summary(quality.run_suite(_stg(spark, d), quality.MODEL_RULES["user_events"]))
 
 
+def dq_models(spark, d):
+    """All rules declared for the source and the models, each model checked in its own passes."""
+    stg = _stg(spark, d)
+    frames = {
+        "user_events": user_events(spark, d),
+        "stg_user_events": stg,
+        "dim_users": models.dim_users(stg),
+        "fct_user_events_daily": models.fct_user_events_daily(stg),
+        "dim_products": models.dim_products(stg, TEST_ROLES),
+    }
+    out = None
+    for name, rules in quality.MODEL_RULES.items():
+        part = _results(quality.run_suite(frames[name], rules)).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def dq_failures(spark, d):
     rules = [r for r in quality.USER_EVENT_SUITE if r.kind in quality.ROW_RULES]
     return quality.failing_values(raw_events(spark, d).select("event_id", "user_id", "event_type", "device"), rules)
@@ -700,13 +717,37 @@ def query_intent(spark, d):
 
 
 def kb_build(spark, d):
-    path = scratch_path(spark, "kb")
-    retrieval.save_knowledge_base(retrieval.knowledge_base(user_events(spark, d, category=True)), path)
-    return retrieval.load_knowledge_base(spark, path).select(
+    kb = retrieval.build_knowledge_base(user_events(spark, d, category=True), scratch_path(spark, "kb"))
+    return kb.entries.select(
         *retrieval.METADATA_COLUMNS, "product_category", "duration_ms", "chunk", F.size("embedding").alias("dim")
     )
 
 
+# Text questions over the whole knowledge base and the event type each one is about.
+TEXT_QUESTIONS = (
+    (1, "User performed purchase from google via mobile Chrome", "purchase"),
+    (2, "User performed click on page cart", "click"),
+    (3, "User performed view on page product_detail via desktop", "view"),
+    (4, "User performed signup from email", "signup"),
+    (5, "User performed error on page profile via tablet", "error"),
+)
+
+
+def rag_text_hit_rate(spark, d):
+    kb = retrieval.build_knowledge_base(user_events(spark, d, category=True), scratch_path(spark, "kb"))
+    asked = spark.createDataFrame(TEXT_QUESTIONS, "query_id long, question string, expected_type string")
+    hits = kb.ask(asked, 10).withColumn("event_type", F.lower("event_type"))
+    return retrieval.hit_rate(hits, asked, 10)
+
+
+def hit_metadata(spark, d):
+    """Metadata from another table: hits on anything but a purchase have none and get defaults."""
+    hits, most = search.exact_hits(_corpus(spark, d), _label_queries(spark, d), 10)
+    bought = user_events(spark, d).filter(F.lower("event_type") == "purchase")
+    meta = bought.select(F.col("event_id").cast("long").alias("id"), "event_type", "user_id")
+    return search.attach_metadata(hits, meta, {"event_type": "?", "user_id": "?"}, most).select("query_id", "id", "rank", "event_type", "user_id")
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
@@ -827,7 +868,7 @@ QUERIES: dict[str, Query] = {
         dashboard_overview, sales_trend, hourly_histogram, hourly_heatmap, daily_event_count,
         user_activity_rank, event_type_distribution, category_share, funnel, funnel_union, funnel_step_rates,
         filter_agg_device, agg_type_device, duration_stats,
-        dq_not_null, dq_unique, dq_accepted_values, dq_ranges, dq_suite, dq_summary, dq_failures, dq_duplicates,
+        dq_not_null, dq_unique, dq_accepted_values, dq_ranges, dq_suite, dq_models, dq_summary, dq_failures, dq_duplicates,
         user_features, user_features_fractional, product_features, feature_service_user, feature_service_product,
         feature_lookup, feature_latest, feature_point_in_time, feature_point_in_time_ttl, recommendation_inputs,
         feature_summary, on_demand_udf, training_frame, training_split,
@@ -835,7 +876,7 @@ QUERIES: dict[str, Query] = {
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
         vector_normalize, vector_topk_exact, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall,
         vector_search_events, vector_search_products, text_embed,
-        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build,
+        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_window_counts, stream_sliding_counts,
         failure_rate_alert, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,

@@ -230,3 +230,28 @@ def test_catalog_names_answer_the_sample_queries(spark, golden_path, sf_dir):
     ]
     counts = [spark.sql(t).count() for t in texts]
     assert counts[0] == 10 and counts[1] >= 1 and counts[2:] == [10, 10]
+
+
+def test_views_over_globs_and_frames(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "g/x=1"))
+    spark.range(7).write.parquet(str(tmp_path / "g/x=2"))
+    se.glob_view(spark, str(tmp_path / "g/*/*.parquet"), "globbed")
+    se.register_view(spark.range(3), "framed")
+    assert spark.sql("SELECT COUNT(*) FROM globbed").first()[0] == 12
+    assert spark.sql("SELECT COUNT(*) FROM framed").first()[0] == 3
+
+
+def test_table_schema_and_limit(spark):
+    spark.range(9).selectExpr("id", "cast(id as string) as s").createOrReplaceTempView("nine")
+    got = [(r["column_name"], r["data_type"]) for r in warehouse.table_schema(spark, "nine").orderBy("position").collect()]
+    assert got == [("id", "bigint"), ("s", "string")]
+    assert [r["id"] for r in warehouse.read_table(spark, "nine", 3, ("id",)).collect()] == [0, 1, 2]
+    assert warehouse.read_table(spark, "nine").count() == 9
+
+
+def test_spread_only_when_splits_are_few(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    scan = spark.read.parquet(str(tmp_path / "one"))
+    assert se.spread(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(100).repartition(64)
+    assert se.spread(wide) is wide

@@ -172,3 +172,27 @@ def test_hit_rate_depends_on_k(spark):
     want = spark.createDataFrame([(1, "click"), (2, "view"), (3, "view")], "query_id long, expected_type string")
     assert retrieval.hit_rate(hits, want, 10).first()["hits"] == 2
     assert retrieval.hit_rate(hits, want, 1).first()["hits"] == 1
+
+
+def test_knowledge_base_roundtrip_and_text_questions(spark, tmp_path):
+    rows = [(f"e{i}", f"U{i % 5}", ("purchase", "view")[i % 2], "P1", ("cart", "home")[i % 2], "google", "mobile", "Chrome", 10 + i) for i in range(40)]
+    ev = spark.createDataFrame(rows, "event_id string, user_id string, event_type string, product_id string, page string, referrer string, device string, browser string, duration_ms long")
+    retrieval.build_knowledge_base(ev, str(tmp_path / "kb"))
+    kb = retrieval.open_knowledge_base(spark, str(tmp_path / "kb"))
+    assert kb.entries.count() == 40
+    asked = spark.createDataFrame([(1, "purchase on page cart"), (2, "view on page home")], "query_id long, question string")
+    got = kb.ask(asked, 3).collect()
+    assert {(r["query_id"], r["event_type"]) for r in got} == {(1, "purchase"), (2, "view")} and len(got) == 6
+    only = kb.ask(asked, 3, where=F.col("event_type") == "view").collect()
+    assert {r["event_type"] for r in only} == {"view"}
+
+
+def test_knowledge_base_with_an_encoder(spark, tmp_path):
+    def counts(batch):
+        return np.array([[t.count("a") + 1.0, t.count("e") + 1.0, len(t)] for t in batch])
+
+    ev = spark.createDataFrame([("e1", "U1", "view", 5)], "event_id string, user_id string, event_type string, duration_ms long").selectExpr(
+        "*", "'P1' as product_id", "'home' as page", "'google' as referrer", "'mobile' as device", "'Chrome' as browser"
+    )
+    kb = retrieval.build_knowledge_base(ev, str(tmp_path / "kb"), encoder=counts, dim=3)
+    assert kb.ask(spark.createDataFrame([(1, "a question")], "query_id long, question string"), 1).first()["event_type"] == "view"
