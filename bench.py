@@ -12,8 +12,11 @@ import os
 import statistics
 import sys
 import time
+from functools import reduce
 
+from eventloom.operators.quality import MODEL_RULES, run_suite
 from eventloom.operators.search import topk_exact
+from eventloom.plans import models
 from eventloom.plans.queries import QUERIES
 from eventloom.session import build_session, scratch_path
 from eventloom.sources import testtables
@@ -88,6 +91,23 @@ def main() -> None:
         df = QUERIES[name](spark, sf_dir)
         measure(f"{name}_prepared", lambda: df.collect())
 
+    # The declared model rules over stored tables.
+    ev = testtables.user_events(spark, sf_dir)
+    stg = models.stg_user_events(ev)
+    stored = {
+        "user_events": ev, "stg_user_events": stg, "dim_users": models.dim_users(stg),
+        "fct_user_events_daily": models.fct_user_events_daily(stg), "dim_products": models.dim_products(stg),
+    }
+    base = scratch_path(spark, "bench-models")
+    for name, df in stored.items():
+        df.write.parquet(f"{base}/{name}")
+
+    def check_models() -> None:
+        suites = [run_suite(spark.read.parquet(f"{base}/{name}"), rules) for name, rules in MODEL_RULES.items()]
+        reduce(lambda a, b: a.unionByName(b), suites).collect()
+
+    measure("model_rules_on_tables", check_models)
+
     # Every vector as a query against all vectors: the throughput of a batch search.
     vectors = testtables.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
     asked = vectors.select(vectors.id.alias("query_id"), "embedding")

@@ -14,7 +14,14 @@ def inner_product(a: Column | str, b: Column | str) -> Column:
 
 
 def l2_normalize(v: Column | str) -> Column:
-    """Unit-length copy; a zero vector stays zero."""
+    """Unit-length copy; a zero vector stays zero.
+
+    The norm is bound to a lambda variable, so it is computed once per vector and not per element.
+    """
     v = F.col(v) if isinstance(v, str) else v
-    norm = F.sqrt(inner_product(v, v))
-    return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
+    norms = F.array(F.sqrt(inner_product(v, v)))
+
+    def scaled(norm: Column) -> Column:
+        return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
+
+    return F.transform(norms, scaled)[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventloom.functions.text import event_chunks
 from eventloom.operators.embed import VECTOR_DIM, Encoder, apply_encoder, apply_lexical, fit_lexical
@@ -138,22 +138,29 @@ def first_types(hits: DataFrame) -> DataFrame:
 def query_intent(hits: DataFrame, table: str = "raw.user_events") -> DataFrame:
     """What a question is about: type distribution, distinct users and products, best hits, SQL.
 
-    Hits are at most k per question. The most frequent type wins; ties go to the type first met.
+    Hits are at most k per question, so what is gathered per question is short. The most frequent type wins; ties go to the type first met.
     """
-    by_type = hits.groupBy("query_id", "event_type").agg(F.count("*").alias("n"), F.min("rank").alias("first_rank"))
-    types = by_type.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "first_rank", "event_type", "n"))).alias("t")
+    same_type = Window.partitionBy("query_id", "event_type")
+    counted = hits.select(
+        "query_id", "user_id", "product_id", "rank",
+        F.struct(
+            (-F.count("*").over(same_type)).alias("neg"), F.min("rank").over(same_type).alias("first_rank"),
+            "event_type", F.count("*").over(same_type).alias("n"),
+        ).alias("type"),
+        F.when(
+            F.col("rank") <= SEARCH_RESULT_ROWS,
+            F.struct("rank", F.round("score", 4).alias("score"), "event_type", F.col("chunk").alias("text")),
+        ).alias("match"),
     )
-    totals = hits.groupBy("query_id").agg(
-        F.count_distinct("user_id").alias("distinct_users"), F.count_distinct("product_id").alias("distinct_products")
-    )
-    top = (
-        hits.filter(F.col("rank") <= SEARCH_RESULT_ROWS).groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", F.round("score", 4).alias("score"), "event_type", F.col("chunk").alias("text")))).alias("top_matches"))
+    gathered = counted.groupBy("query_id").agg(
+        F.array_sort(F.collect_set("type")).alias("t"),
+        F.size(F.collect_set("user_id")).cast("long").alias("distinct_users"),
+        F.size(F.collect_set("product_id")).cast("long").alias("distinct_products"),
+        F.array_sort(F.collect_list("match")).alias("top_matches"),
     )
     top_type = F.col("t")[0]["event_type"]
     sql = F.format_string(f"SELECT * FROM {table} WHERE event_type = '%s' ORDER BY event_ts DESC LIMIT 100;", top_type)
-    return types.join(totals, "query_id").join(top, "query_id").select(
+    return gathered.select(
         "query_id",
         top_type.alias("interpreted_intent"),
         F.map_from_entries(F.transform("t", lambda e: F.struct(e["event_type"], e["n"]))).alias("event_type_distribution"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom.functions.columns import rate_pct, tier
 from eventloom.schema import DEFAULT_ROLES, EventRoles, MISSING_PRODUCT, MISSING_REFERRER
@@ -59,12 +59,17 @@ def fct_user_events_daily(stg: DataFrame) -> DataFrame:
     Distinct users are first reduced per (day, type, user) on the map side, so a hot day or type
     shuffles one row per user and task, spread by user.
     """
-    ms = F.col("duration_ms").cast("decimal(18,3)")
-    return stg.filter(F.col("duration_ms").isNotNull()).groupBy("event_date", "event_type").agg(
-        F.count("*").alias("total_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.round(F.avg(ms), 0).cast("long").alias("avg_duration_ms"),
-        F.round(F.sum(ms) / 1000, 2).cast("double").alias("total_duration_seconds"),
+    # Whole milliseconds are summed as longs; decimals come in only on the grouped rows.
+    whole = isinstance(stg.schema["duration_ms"].dataType, T.IntegralType)
+    ms = F.col("duration_ms") if whole else F.col("duration_ms").cast("decimal(18,3)")
+    total = F.col("_ms").cast("decimal(28,3)")
+    grouped = stg.filter(F.col("duration_ms").isNotNull()).groupBy("event_date", "event_type").agg(
+        F.count("*").alias("total_events"), F.count_distinct("user_id").alias("unique_users"), F.sum(ms).alias("_ms")
+    )
+    return grouped.select(
+        "event_date", "event_type", "total_events", "unique_users",
+        F.round(total / F.col("total_events"), 0).cast("long").alias("avg_duration_ms"),
+        F.round(total / 1000, 2).cast("double").alias("total_duration_seconds"),
     )
 
 

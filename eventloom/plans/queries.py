@@ -641,7 +641,7 @@ def ivf_recall(spark, d):
 
 def vector_search_events(spark, d):
     """Search among purchase events by the mean vector of each label."""
-    ev = ft.event_text(user_events(spark, d)).select(F.col("event_id").cast("long").alias("id"), "event_id", "user_id", "event_type", "text_content")
+    ev = ft.event_text(user_events(spark, d)).select(F.col("event_no").alias("id"), "event_id", "user_id", "event_type", "text_content")
     corpus = _corpus(spark, d).select("id", "embedding").join(ev, "id")
     fields = {"event_id": "", "user_id": "", "event_type": "", "text_content": ""}
     hits = retrieval.search_rows(corpus, _label_queries(spark, d), fields, 10, where=F.lower("event_type") == "purchase")
@@ -650,7 +650,7 @@ def vector_search_events(spark, d):
 
 def vector_search_products(spark, d):
     """Search among products; a product's vector is the mean over its events' vectors."""
-    ev = user_events(spark, d).filter("k < 70").select(F.col("event_id").cast("long").alias("id"), F.col("k").cast("long").alias("product_no"))
+    ev = user_events(spark, d).filter("product_id IS NOT NULL").select(F.col("event_no").alias("id"), F.col("k").cast("long").alias("product_no"))
     vectors = _mean_vectors(_corpus(spark, d).join(ev, "id").select("product_no", "embedding"), "product_no")
     products = _products(spark, d).withColumn("product_no", F.substring("product_id", 2, 8).cast("long"))
     corpus = vectors.join(products, "product_no").withColumnRenamed("product_no", "id")
@@ -670,7 +670,7 @@ def text_embed(spark, d):
 def _knowledge(spark: SparkSession, d: str) -> DataFrame:
     """Events that have a vector, with their sentence."""
     ev = ft.event_chunks(clean.clean_events(user_events(spark, d, category=True), mode="clip"))
-    ev = ev.select(F.col("event_id").cast("long").alias("id"), "event_id", "user_id", "event_type", "product_id", "chunk")
+    ev = ev.select(F.col("event_no").alias("id"), "event_id", "user_id", "event_type", "product_id", "chunk")
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding").join(ev, "id")
 
 
@@ -744,7 +744,7 @@ def hit_metadata(spark, d):
     """Metadata from another table: hits on anything but a purchase have none and get defaults."""
     hits, most = search.exact_hits(_corpus(spark, d), _label_queries(spark, d), 10)
     bought = user_events(spark, d).filter(F.lower("event_type") == "purchase")
-    meta = bought.select(F.col("event_id").cast("long").alias("id"), "event_type", "user_id")
+    meta = bought.select(F.col("event_no").alias("id"), "event_type", "user_id")
     return search.attach_metadata(hits, meta, {"event_type": "?", "user_id": "?"}, most).select("query_id", "id", "rank", "event_type", "user_id")
 
 

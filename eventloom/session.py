@@ -47,7 +47,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for written intermediates: ``spark.checkpoint.dir``.
+    """Shared folder for written intermediates: ``spark.checkpoint.dir``, or the context's own.
 
     Only a local session may fall back to a fresh temporary folder; on a cluster the
     executors would not see it, so there an unset folder is an error.
@@ -56,6 +56,8 @@ def work_dir(spark: SparkSession) -> str:
     if shared:
         return shared
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_work_dirs:

@@ -69,16 +69,18 @@ def read_parquet_tree(
     path: str | list[str],
     nan_to_null: bool = True,
     missing_words: Sequence[str] = (),
+    merge_schema: bool = True,
 ) -> DataFrame:
     """Every Parquet file below ``path`` as one table.
 
-    Unreadable files are skipped, schemas are merged, column names are lower-cased and NaN
+    Unreadable files are skipped, schemas are merged (which reads every footer; switch it off for
+    many files of one schema), column names are lower-cased and NaN
     becomes null. Folder names are not read as partition columns.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("mergeSchema", "true")
+        .option("mergeSchema", merge_schema)
         .option("ignoreCorruptFiles", "true")
         .option("pathGlobFilter", "*.parquet")
         .parquet(*paths)

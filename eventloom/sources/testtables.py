@@ -50,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shape_events(events: DataFrame, missing_users: bool = False) -> DataFrame:
-    """The event columns, plus ``event_ts`` and the numeric ``k`` and ``value``."""
+    """The event columns, plus ``event_ts`` and the numeric ``event_no``, ``k`` and ``value``."""
     exprs = dict(_SHAPE)
     if missing_users:
         exprs["user_id"] = f"case when event_id % 97 <> 0 then {_USER} end"
@@ -58,13 +58,13 @@ def shape_events(events: DataFrame, missing_users: bool = False) -> DataFrame:
         "event_id", "user_id", "event_type", "ts", "value", "cast(get_json_object(props, '$.k') as int) as k"
     )
     return base.selectExpr(
-        *[f"{e} as {c}" for c, e in exprs.items()], "cast(ts as timestamp) as event_ts", "k", "value"
+        *[f"{e} as {c}" for c, e in exprs.items()], "cast(ts as timestamp) as event_ts", "event_id as event_no", "k", "value"
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as they arrive: text timestamps (some junk) and some missing users."""
-    return shape_events(table(spark, sf_dir, "events"), missing_users=True).drop("event_ts", "k", "value")
+    return shape_events(table(spark, sf_dir, "events"), missing_users=True).drop("event_ts", "event_no", "k", "value")
 
 
 def user_events(spark: SparkSession, sf_dir: str, category: bool = False) -> DataFrame:
