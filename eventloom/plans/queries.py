@@ -669,9 +669,12 @@ def text_embed(spark, d):
 
 def _knowledge(spark: SparkSession, d: str) -> DataFrame:
     """Events that have a vector, with their sentence."""
-    ev = ft.event_chunks(clean.clean_events(user_events(spark, d, category=True), mode="clip"))
-    ev = ev.select(F.col("event_no").alias("id"), "event_id", "user_id", "event_type", "product_id", "chunk")
-    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding").join(ev, "id")
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("event_no"), "embedding")
+    # Joined before the sentences are built, so only events with a vector get one.
+    ev = clean.clean_events(user_events(spark, d, category=True).join(vectors, "event_no"), mode="clip")
+    return ft.event_chunks(ev).select(
+        F.col("event_no").alias("id"), "embedding", "event_id", "user_id", "event_type", "product_id", "chunk"
+    )
 
 
 def _questions(kb: DataFrame) -> DataFrame:
