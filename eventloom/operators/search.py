@@ -10,6 +10,8 @@ Two ways to bring queries and corpus together:
 * many queries: both sides are cut into blocks of bounded size and meet in a grid of
   (corpus block x query block) groups.
 
+The queries, up to the limit, are fetched when a search is built; the search itself stays lazy.
+
 Ranking uses the score rounded to 9 digits, then the id, so equal vectors order the same way
 whatever block they were scored in.
 """
