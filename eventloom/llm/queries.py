@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import mixing, packing, token_counts
-from eventloom.llm.common import read_table
+from eventloom.llm import mixing, packing, quality, token_counts, toxicity
+from eventloom.llm.common import held_out, read_table
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"), F.get("offending", F.lit(0))["start"].alias("first_offending"),
+    )
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,14 +31,24 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document."""
+    scored = quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.AT_THRESHOLD).cast("int").alias("predicted"), "strength"
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2,048 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op4_token_counts": op4_token_counts,
+    "op6_quality": op6_quality,
     "op10_packing": op10_packing,
 }
 
