@@ -20,8 +20,6 @@ SAMPLE_PER_CLASS, FEATURES, LEAST_DOCUMENTS = 3_000, 10_000, 3
 LEAST_RATIO = 18.0
 # and if the share of other documents that hold it is at most this part of the share of positive ones.
 MOST_COMMON = 0.01
-# Log odds of a sentence without any feature. Fixed, so that thousands of plain sentences do not add up to a finding.
-BIAS = -10.0
 HEAD = 4
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -34,20 +32,22 @@ def features(word: str) -> list[str]:
 
 @dataclass(frozen=True)
 class BagModel:
-    """Feature weights of the sentence score, sigmoid(BIAS + sum of the weights of the sentence's features)."""
+    """Sentence score: sigmoid(bias + sum of the weights of the sentence's features), 0 for a sentence without any.
+
+    So thousands of plain sentences do not add up to a finding.
+    """
 
     weights: dict[str, float]
+    bias: float = 0.0
 
     def reader(self):
         """Function from a sentence to -log(1 - p), which is what it adds to the document's noisy-or."""
-        heads, weights, plain = {f[:HEAD] for f in self.weights}, self.weights, float(np.logaddexp(0.0, BIAS))
+        heads, weights, bias = {f[:HEAD] for f in self.weights}, self.weights, self.bias
 
         def doubt(sentence: str) -> float:
             hits = {w for w in _WORD.findall(sentence.lower()) if w[:HEAD] in heads}
-            if not hits:
-                return plain
             found = sorted({f for w in hits for f in features(w) if f in weights})
-            return float(np.logaddexp(0.0, BIAS + sum(weights[f] for f in found)))
+            return float(np.logaddexp(0.0, bias + sum(weights[f] for f in found))) if found else 0.0
 
         return doubt
 
@@ -63,26 +63,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
-def fit_bags(words: np.ndarray, sentences: np.ndarray, bags: np.ndarray, labels: np.ndarray, size: int, rounds: int = 200,
-             rate: float = 0.15, decay: float = 0.3) -> np.ndarray:
-    """Weights that minimise the noisy-or log loss of labelled bags.
+def fit_bags(words: np.ndarray, sentences: np.ndarray, bags: np.ndarray, labels: np.ndarray, size: int, rounds: int = 300,
+             rate: float = 0.1, decay: float = 0.3) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the noisy-or log loss of labelled bags.
 
-    ``words`` and ``sentences`` list the features of each sentence, ``bags`` the bag of each sentence, ``labels`` those
-    of the bags. With A the sum of softplus(z) over a bag's sentences, the bag is positive with probability
+    ``words`` and ``sentences`` list the features of each sentence (each has some), ``bags`` the bag of each sentence,
+    ``labels`` those of the bags; a positive bag without sentences teaches nothing. With A the sum of softplus(z) over a bag's sentences, the bag is positive with probability
     1 - exp(-A). Classes weigh the same in the loss. Adam on the whole sample; ``decay`` is the ridge penalty.
     """
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    w[size] = -2.0
     positive = labels == 1
     share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
     for step in range(1, rounds + 1):
-        z = np.bincount(sentences, w[words], len(bags)) + BIAS
+        z = np.bincount(sentences, w[words], len(bags)) + w[size]
         total = np.bincount(bags, np.logaddexp(0, z), len(labels))
-        slope = np.where(positive, -1 / np.expm1(np.clip(total, 1e-6, 500)), 1.0) * share
-        g = np.bincount(words, (slope[bags] / (1 + np.exp(-z)))[sentences], size) + decay * w / len(labels)
+        slope = np.where(positive, -1 / np.expm1(np.clip(total, 0.05, 500)), 1.0) * share
+        g_z = slope[bags] / (1 + np.exp(-z))
+        g = np.append(np.bincount(words, g_z[sentences], size) + decay * w[:size] / len(labels), g_z.sum())
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-5)
-    return w
+    return w[:size], float(w[size])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> BagModel:
@@ -124,6 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
             for t in texts(batch):
                 bag = [{f for w in _WORD.findall(s.lower()) if w[:HEAD] in heads for f in features(w)} for s in _SENTENCE.findall(t)]
                 bag = [sorted(place[f] for f in s if f in place) for s in bag]
+                bag = [s for s in bag if s]
                 rows.append((np.array([i for s in bag for i in s], np.int32).tobytes(), np.array([len(s) for s in bag], np.int32).tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label").cast(pa.int32()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
@@ -135,8 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     words = np.concatenate([np.frombuffer(x, np.int32) for x in bags["words"]])
     flat = np.concatenate(lengths)
     bag_of = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
-    weights = fit_bags(words, np.repeat(np.arange(len(flat)), flat), bag_of, np.array(bags["label"]), len(place))
-    return BagModel({f: float(weights[i]) for f, i in place.items() if abs(weights[i]) > 1e-3})
+    weights, bias = fit_bags(words, np.repeat(np.arange(len(flat)), flat), bag_of, np.array(bags["label"]), len(place))
+    return BagModel({f: float(weights[i]) for f, i in place.items() if abs(weights[i]) > 1e-3}, bias)
 
 
 def score_documents(docs: DataFrame, model: BagModel, sentence_limit: float = 0.3) -> DataFrame:
