@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import mixing, packing, quality, token_counts, toxicity
+from eventloom.llm import jaccard, mixing, packing, quality, token_counts, toxicity
 from eventloom.llm.common import held_out, read_table
 
 
@@ -39,6 +39,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document."""
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2,048 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -49,6 +54,7 @@ QUERIES = {
     "op3_source_mix": op3_source_mix,
     "op4_token_counts": op4_token_counts,
     "op6_quality": op6_quality,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_packing": op10_packing,
 }
 
@@ -76,4 +82,22 @@ ORACLES = {
                greatest(0, least(size, CAST(floor(target) AS BIGINT) - ends + size))
                + greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - ends + size)) AS taken
         FROM run""",
+    "op8_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        one AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM one GROUP BY doc_id),
+        links AS (
+            SELECT p.a, p.b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM one x JOIN one y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+            JOIN sizes sa ON sa.doc_id = p.a JOIN sizes sb ON sb.doc_id = p.b WHERE 100 * k >= 75 * (sa.n + sb.n - k)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+        SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
+        FROM w LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = w.doc_id""",
 }
