@@ -5,8 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import jaccard, mixing, packing, quality, token_counts, toxicity
+from eventloom.llm import collisions, jaccard, mixing, packing, quality, token_counts, token_files, toxicity
 from eventloom.llm.common import held_out, read_table
+from eventloom.session import scratch_path
+
+
+def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th vector."""
+    return collisions.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +45,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids, read back from the coded files."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_ids(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_digests(spark, path)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of each document."""
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
@@ -50,10 +63,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_collision_search": op1_collision_search,
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op4_token_counts": op4_token_counts,
     "op6_quality": op6_quality,
+    "op7_token_files": op7_token_files,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_packing": op10_packing,
 }
