@@ -7,11 +7,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Projections, collisions that make a candidate, and the window's width in units of the radius.
-PROJECTIONS, THRESHOLD, WIDTH = 32, 18, 2.0
+PROJECTIONS, THRESHOLD, WIDTH = 96, 60, 2.0
 # Radii of virtual rehashing (distance of unit vectors): the first, and the factor from one to the next.
-FIRST_RADIUS, GROWTH = 0.2, 1.2
+FIRST_RADIUS, GROWTH = 0.6, 1.1
 # A query stops in a block when this share of it has been verified.
-VERIFY = 0.08
+VERIFY = 0.4
 BLOCK_ROWS, CHUNK_QUERIES = 8_192, 20_000
 
 
@@ -23,7 +23,7 @@ class Block:
         lines = np.random.default_rng(unit.shape[1]).standard_normal((unit.shape[1], PROJECTIONS))
         self.lines = lines
         values = (unit @ lines).T
-        self.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+        self.order = np.argsort(values, axis=1, kind="stable")
         self.values = np.take_along_axis(values, self.order, axis=1)
 
     def candidates(self, queries: np.ndarray, k: int):
@@ -33,44 +33,40 @@ class Block:
         A query stops when its k nearest verified rows lie within the radius or enough rows are verified; in the end
         the windows hold every row.
         """
-        rows = len(self.unit)
-        at = queries @ self.lines
-        radii = [FIRST_RADIUS]
-        reach = float(max(np.abs(self.values).max(), np.abs(at).max())) * 4 + 1
-        while radii[-1] * WIDTH / 2 < reach:
-            radii.append(radii[-1] * GROWTH)
-        bounds = np.empty((len(radii), 2, len(queries), PROJECTIONS), np.int32)
-        for j, r in enumerate(radii):
+        for i in range(0, len(queries), 256):
+            yield from self._batch(queries[i : i + 256], k)
+
+    def _batch(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        rows, at = len(self.unit), queries @ self.lines
+        counts, verified = np.zeros((len(queries), rows), np.int16), np.zeros((len(queries), rows), bool)
+        found, near = [np.zeros(0, np.int64) for _ in queries], [np.zeros(0) for _ in queries]
+        low = high = np.zeros((len(queries), PROJECTIONS), np.int64)
+        active, radius = list(range(len(queries))), FIRST_RADIUS
+        while active:
+            half = radius * WIDTH / 2
+            lo, hi = np.zeros_like(low), np.zeros_like(high)
             for i in range(PROJECTIONS):
-                bounds[j, 0, :, i] = np.searchsorted(self.values[i], at[:, i] - r * WIDTH / 2, "left")
-                bounds[j, 1, :, i] = np.searchsorted(self.values[i], at[:, i] + r * WIDTH / 2, "right")
-        for q in range(len(queries)):
-            counts, verified = np.zeros(rows, np.int64), np.zeros(rows, bool)
-            found, near = [], np.zeros(0)
-            low = high = None
-            for j, r in enumerate(radii):
-                lo, hi = bounds[j, 0, q].tolist(), bounds[j, 1, q].tolist()
-                if low is None:
-                    parts = [self.order[i, a:b] for i, (a, b) in enumerate(zip(lo, hi))]
-                else:
-                    parts = [self.order[i, a:b] for i, (a, b) in enumerate(zip(lo, low)) if b > a]
-                    parts += [self.order[i, a:b] for i, (a, b) in enumerate(zip(high, hi)) if b > a]
-                low, high = lo, hi
-                if not parts:
-                    continue
-                counts += np.bincount(np.concatenate(parts), minlength=rows)
-                new = np.flatnonzero((counts >= THRESHOLD) & ~verified)
-                if len(new):
-                    verified[new] = True
-                    found.append(new)
-                    near = np.concatenate((near, self.unit[new] @ queries[q]))
-                    if len(near) > 4 * k:
-                        near = -np.partition(-near, k)[: k + 1]
-                total = sum(map(len, found))
+                lo[active, i] = np.searchsorted(self.values[i], at[active, i] - half, "left")
+                hi[active, i] = np.searchsorted(self.values[i], at[active, i] + half, "right")
+            if radius == FIRST_RADIUS:
+                low, high = lo, lo
+            going = []
+            for q in active:
+                parts = [self.order[i, a:b] for i, (a, b) in enumerate(zip(lo[q].tolist(), low[q].tolist())) if b > a]
+                parts += [self.order[i, a:b] for i, (a, b) in enumerate(zip(high[q].tolist(), hi[q].tolist())) if b > a]
+                if parts:
+                    counts[q] += np.bincount(np.concatenate(parts), minlength=rows).astype(np.int16)
+                    new = np.flatnonzero((counts[q] >= THRESHOLD) & ~verified[q])
+                    verified[q, new] = True
+                    found[q] = np.concatenate((found[q], new))
+                    near[q] = np.concatenate((near[q], self.unit[new] @ queries[q]))
+                total, everything = len(found[q]), lo[q].max() == 0 and hi[q].min() == rows
                 # One more than k, as the query itself may be among them.
-                if total > k and np.partition(near, -(k + 1))[-(k + 1)] >= 1 - r * r / 2 or total >= k + 1 + VERIFY * rows:
-                    break
-            yield np.concatenate(found) if found else np.zeros(0, np.int64)
+                close = total > k and np.partition(near[q], -(k + 1))[-(k + 1)] >= 1 - radius * radius / 2
+                if not (close or everything or total >= k + 1 + VERIFY * rows):
+                    going.append(q)
+            low, high, active, radius = lo, hi, going, radius * GROWTH
+        return found
 
 
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:

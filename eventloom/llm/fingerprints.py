@@ -1,0 +1,246 @@
+"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from eventloom.llm.shingles import mixed, word_hashes
+
+# Cells of a fingerprint as it is stored, and cells that each digest falls into.
+CELLS, HASHES = 24, 3
+# A line is cut where the hash of a word is a multiple of this, so that an edit only changes the pieces around it.
+ANCHOR = 4
+_U = np.uint64
+
+
+def digests(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit digests of the paragraphs of each text.
+
+    A paragraph is a line, and long lines are cut behind anchor words, about every ``ANCHOR`` words. A text without
+    words but not empty has one digest of its own, the empty text none.
+    """
+    lines, owner = [], []
+    for i, t in enumerate(texts):
+        parts = t.split("\n")
+        lines += parts
+        owner += [i] * len(parts)
+    words, counts = word_hashes(lines)
+    line_of = np.repeat(np.arange(len(lines)), counts)
+    if len(words):
+        cut = np.append(True, (line_of[1:] != line_of[:-1]) | (words[:-1] % _U(ANCHOR) == 0))
+        starts = np.flatnonzero(cut)
+        place = np.arange(len(words)) - np.repeat(starts, np.diff(np.append(starts, len(words))))
+        pieces = mixed(np.add.reduceat(mixed(words + place.astype(_U) * _U(0x9E3779B97F4A7C15)), starts))
+        piece_text = np.array(owner)[line_of[starts]]
+        bounds = np.searchsorted(piece_text, np.arange(len(texts) + 1))
+    else:
+        pieces, bounds = np.zeros(0, _U), np.zeros(len(texts) + 1, np.int64)
+    out = []
+    for i, t in enumerate(texts):
+        own = np.unique(pieces[bounds[i] : bounds[i + 1]])
+        if not len(own) and t:
+            own = np.array([int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")], _U)
+        out.append(own)
+    return out
+
+
+def _cells(keys: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The ``HASHES`` cells of each key, one in each part of its table; ``cells`` is the table size of each key."""
+    part = (cells // HASHES).astype(_U)
+    return np.stack([mixed(keys ^ _U(97 + 31 * h)) % part + _U(h) * part for h in range(HASHES)]).astype(np.int64)
+
+
+def _check(keys: np.ndarray) -> np.ndarray:
+    return mixed(keys * _U(0xD6E8FEB86659FD93) + _U(5))
+
+
+def sketch(keys: np.ndarray, cells: int = CELLS) -> str:
+    """A set of digests as text: per cell the number, the sum of digests and the sum of their checks."""
+    count, total, check = np.zeros(cells, np.uint32), np.zeros(cells, _U), np.zeros(cells, _U)
+    if len(keys):
+        at = _cells(keys, np.full(len(keys), cells))
+        checks = _check(keys)
+        for row in at:
+            count += np.bincount(row, minlength=cells).astype(np.uint32)
+            np.add.at(total, row, keys)
+            np.add.at(check, row, checks)
+    return base64.b85encode(count.astype("<u4").tobytes() + total.astype("<u8").tobytes() + (check >> _U(32)).astype("<u4").tobytes()).decode()
+
+
+def differences(pairs: list[tuple[np.ndarray, np.ndarray]], cells: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Digests only in the first and only in the second set of each pair, recovered from their sketches.
+
+    The sketches of a pair are subtracted cell by cell: common digests cancel. A cell that is left with one digest
+    (its number is 1 or -1 and the check agrees) gives it away and it is peeled from its other cells, until all cells
+    are empty. Pairs that do not come out are tried again with a table of twice the size.
+    """
+    out: list = [None] * len(pairs)
+    todo = list(range(len(pairs)))
+    sizes = [max(HASHES * 2, -(-c // HASHES) * HASHES) for c in cells]
+    while todo:
+        size = np.array([sizes[i] for i in todo])
+        base = np.concatenate(([0], np.cumsum(size)))
+        count, total, check = np.zeros(base[-1], np.int64), np.zeros(base[-1], _U), np.zeros(base[-1], _U)
+        table = np.repeat(np.arange(len(todo)), size)
+
+        def change(keys: np.ndarray, pair: np.ndarray, sign: np.ndarray) -> None:
+            factor, checks = sign.astype(_U), _check(keys)
+            for row in _cells(keys, size[pair]):
+                at = row + base[pair]
+                np.add.at(count, at, sign)
+                np.add.at(total, at, keys * factor)
+                np.add.at(check, at, checks * factor)
+
+        for side, sign in ((0, 1), (1, -1)):
+            sets = [pairs[i][side] for i in todo]
+            n = [len(x) for x in sets]
+            keys = np.concatenate(sets) if sets else np.zeros(0, _U)
+            change(keys, np.repeat(np.arange(len(todo)), n), np.full(len(keys), sign, np.int64))
+        got_keys, got_pair, got_sign = [], [], []
+        while True:
+            single = np.flatnonzero(np.abs(count) == 1)
+            sign = count[single]
+            keys = total[single] * sign.astype(_U)
+            pure = check[single] * sign.astype(_U) == _check(keys)
+            single, sign, keys = single[pure], sign[pure], keys[pure]
+            if not len(keys):
+                break
+            pair = table[single]
+            # One digest may stand alone in several of its cells.
+            order = np.lexsort((keys, pair))
+            new = np.append(True, (np.diff(pair[order]) != 0) | (np.diff(keys[order]) != 0))
+            order = order[new]
+            keys, pair, sign = keys[order], pair[order], sign[order]
+            change(keys, pair, -sign)
+            got_keys.append(keys)
+            got_pair.append(pair)
+            got_sign.append(sign)
+        left = np.zeros(len(todo), bool)
+        np.logical_or.at(left, table, (count != 0) | (total != 0))
+        keys, pair, sign = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (got_keys, got_pair, got_sign))
+        order = np.argsort(pair, kind="stable")
+        keys, pair, sign = keys[order].astype(_U), pair[order], sign[order]
+        bounds = np.searchsorted(pair, np.arange(len(todo) + 1))
+        again = []
+        for k, i in enumerate(todo):
+            if left[k]:
+                sizes[i] *= 2
+                again.append(i)
+            else:
+                own, side = keys[bounds[k] : bounds[k + 1]], sign[bounds[k] : bounds[k + 1]]
+                out[i] = (own[side > 0], own[side < 0])
+        todo = again
+    return out
+
+
+def likeness(a: np.ndarray, b: np.ndarray, difference: tuple[np.ndarray, np.ndarray]) -> float:
+    """Share of common digests in both sets together; 1 for two empty sets."""
+    both = len(a) + len(b)
+    return 1.0 if not both else 1.0 - (len(difference[0]) + len(difference[1])) / both
+
+
+def _first_cells(a: np.ndarray, b: np.ndarray) -> int:
+    """Cells to begin with: for the difference that a sixteenth of the digests suggests, and for that of the sizes."""
+    x, y = (set(s[s % _U(16) == 3].tolist()) for s in (a, b))
+    return max(CELLS, int(1.5 * 16 * len(x ^ y)), int(1.5 * abs(len(a) - len(b))))
+
+
+def edited(text: str, following: str) -> str:
+    """The text with its last quarter replaced by the first characters, as many, of the following text."""
+    n = len(text) // 4
+    return text[: len(text) - n] + following[:n]
+
+
+SCHEMA = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+    " near_edited double, near_next double, n_paragraphs long, n_changed long"
+)
+
+
+def compare_with_next(docs: DataFrame, part_docs: int = 4_000) -> DataFrame:
+    """Fingerprints of each text, of its edited version (see ``edited``), and how near the versions and neighbours are.
+
+    The following document is the next in ascending order of doc_id (then text); after the last comes the first.
+    ``near_*`` is the share of common paragraph digests, from the digests that peeling recovers. Documents are cut into
+    parts of about ``part_docs`` by quantiles of doc_id; texts move once, and the first document of each part is sent
+    to the part before it as well.
+
+    Null text counts as empty: its fingerprint is that of no digest. Two empty texts are alike (1). Repeated rows
+    follow each other. Null ids come last. A single document is its own successor. No rows give no rows. Other columns
+    are ignored.
+    """
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = rows.count()
+    if not n:
+        return spark.createDataFrame([], SCHEMA)
+    parts = -(-n // part_docs)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = sorted(set(rows.select(F.percentile_approx("doc_id", shares, 100_000)).first()[0] or [])) if shares else []
+    edges = pa.array(cuts, pa.int64())
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series) -> pd.Series:
+        known = ids.notna().to_numpy()
+        out = np.full(len(ids), len(cuts), np.int32)
+        out[known] = np.searchsorted(edges.to_numpy(), ids[known].to_numpy(np.int64), "left")
+        return pd.Series(out)
+
+    rows = rows.withColumn("part", part_of("doc_id"))
+    key = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"))
+    heads = [(r["part"], r["k"]["i"]) for r in rows.groupBy("part").agg(F.min(key).alias("k")).orderBy("part").collect()]
+    # At most one row per part.
+    back = [(heads[i - 1][0], p, first) for i, (p, first) in enumerate(heads)]
+    guests = F.broadcast(spark.createDataFrame([(p, first, to, i == 0) for i, (to, p, first) in enumerate(back)], "part int, head long, to int, wrap boolean"))
+    dealt = rows.join(guests, "part").withColumn("own", F.struct(F.col("part").alias("p"), F.lit(False).alias("guest")))
+    sent = F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array("own", F.struct(F.col("to").alias("p"), F.lit(True).alias("guest")))).otherwise(F.array("own"))
+    dealt = dealt.withColumn("s", F.explode(sent)).select(F.col("s.p").alias("part"), F.col("s.guest").alias("guest"), "doc_id", "text")
+    total = len(cuts) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def compared(run_rows: list[tuple]) -> pa.RecordBatch:
+            own = [r for r in run_rows[:-1]]
+            after = [r[2] for r in run_rows[1:]]
+            names, plain = [r[1] for r in own], [r[2] for r in own]
+            changed = [edited(a, b) for a, b in zip(plain, after)]
+            sets = digests(plain + changed + after[-1:])
+            first, second = sets[: len(own)], sets[len(own) : 2 * len(own)]
+            following = [*first[1:], sets[-1]]
+            pairs = [*zip(first, second), *zip(first, following)]
+            found = differences(pairs, [_first_cells(a, b) for a, b in pairs])
+            near = [likeness(a, b, d) for (a, b), d in zip(pairs, found)]
+            k = len(own)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names, pa.int64()), pa.array([len(t) for t in plain], pa.int64()),
+                    pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], pa.string()),
+                    pa.array(map(sketch, first), pa.string()), pa.array(map(sketch, second), pa.string()),
+                    pa.array(near[:k], pa.float64()), pa.array(near[k:], pa.float64()), pa.array(map(len, first), pa.int64()),
+                    pa.array([len(d[0]) + len(d[1]) for d in found[:k]], pa.int64()),
+                ],
+                [x.split()[0] for x in SCHEMA.split(", ")],
+            )
+
+        size, closed = 0, None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text", "guest"))):
+                if row[0] == closed:
+                    continue  # further copies of the guest: only the first follows
+                held.append(row)
+                size += len(row[2])
+                if len(held) > 1 and (row[3] or size > 2_000_000):
+                    yield compared(held)
+                    closed = row[0] if row[3] else None
+                    held, size = ([], 0) if row[3] else ([row], len(row[2]))
+
+    laid = dealt.repartitionById(total, "part").sortWithinPartitions("part", "guest", F.col("doc_id").asc_nulls_last(), "text")
+    return laid.mapInArrow(run, SCHEMA)

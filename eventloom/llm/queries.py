@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import collisions, jaccard, mixing, packing, quality, token_counts, token_files, toxicity
+from eventloom.llm import collisions, fingerprints, jaccard, licenses, mixing, packing, quality, token_counts, token_files, toxicity
 from eventloom.llm.common import held_out, read_table
 from eventloom.session import scratch_path
 
@@ -37,6 +37,20 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of each document."""
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    labels = lambda *lists: F.array_join(F.array_sort(F.array_distinct(F.concat(*lists))), ",")
+    base, more = F.col("places")["label"], F.col("matches")["label"]
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.col("places")["start"]).alias("first_word"), F.array_max(F.col("places")["start"]).alias("last_word"),
+        labels(base).alias("base_labels"), labels(base, more).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.col("matches")["containment"]), F.lit(0.0))).alias("score"),
+        F.size("matches").alias("n_blocks"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of each document."""
     scored = quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -57,6 +71,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document and its edited version, and their likeness."""
+    return fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2,048 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -67,9 +86,11 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op4_token_counts": op4_token_counts,
+    "op5_license_scan": op5_license_scan,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
 
