@@ -103,8 +103,7 @@ def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
                 [pa.array(fresh.keys(), pa.int64()), pa.array([x.tobytes() for x in fresh.values()], pa.binary())], ["ka", "tokens"]
             )
 
-    sets = docs.withColumn("s", slot).mapInArrow(run, "ka long, tokens binary").join(wanted, "ka", "left_semi")
-    return stored(sets.groupBy("ka").agg(F.first("tokens").alias("tokens")), "sets")
+    return docs.withColumn("s", slot).mapInArrow(run, "ka long, tokens binary")
 
 
 def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFrame, width: int, percent: int) -> DataFrame:
@@ -112,26 +111,27 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
 
     A group has a bounded number of members; its askers are cut into chunks of about ``ASK_SIZE``.
     """
-    wanted = stored(ask.select(F.col("q").alias("ka")).unionByName(member.select(F.col("s").alias("ka"))).distinct(), "wanted")
-    sets = _fetched(docs, classes, wanted, width)
     chunks = ask.groupBy("g").agg(F.ceil(F.count("*") / ASK_SIZE).cast("int").alias("k"))
-    asked = ask.join(chunks, "g").withColumn("c", F.pmod(F.xxhash64("q"), F.col("k")).cast("int"))
-    fresh = lambda df, *names: df.select(*[F.col(c).alias(c) for c in names])  # noqa: E731  both sides come from the same tables
-    left = fresh(asked.join(sets.withColumnRenamed("ka", "q"), "q"), "g", "c", "q", "tokens")
-    right = member.join(chunks, "g").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    right = fresh(right.join(sets.withColumnRenamed("ka", "s"), "s"), "g", "c", "s", "tokens")
+    asking = ask.join(chunks, "g").select(F.col("q").alias("ka"), "g", F.pmod(F.xxhash64("q"), F.col("k")).cast("int").alias("c"), F.lit(True).alias("asks"))
+    members = member.join(chunks, "g").select(
+        F.col("s").alias("ka"), "g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("c"), F.lit(False).alias("asks")
+    )
+    roles = stored(asking.unionByName(members), "roles")
+    sets = _fetched(docs, classes, roles.select("ka"), width)
 
-    def compare(askers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(askers) and len(members):
-            sets_of = [np.frombuffer(x, np.uint64) for x in members["tokens"]]
+        asks = rows["asks"].to_numpy(bool)
+        askers, group = rows[asks], rows[~asks]
+        if len(askers) and len(group):
+            sets_of = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
             sizes = np.array([len(x) for x in sets_of])
             owner = np.repeat(np.arange(len(sets_of)), sizes)
             tokens = np.concatenate(sets_of)
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], owner[order]
-            names = members["s"].to_numpy()
-            for q, raw in zip(askers["q"], askers["tokens"]):
+            names = group["ka"].to_numpy()
+            for q, raw in zip(askers["ka"], askers["tokens"]):
                 x = np.frombuffer(raw, np.uint64)
                 lo = np.searchsorted(tokens, x, "left")
                 runs = np.searchsorted(tokens, x, "right") - lo
@@ -144,7 +144,7 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
                 out += [(q, s) for s in names[linked] if s != q]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return left.groupBy("g", "c").cogroup(right.groupBy("g", "c")).applyInPandas(compare, "a long, b long")
+    return sets.join(roles, "ka").groupBy("g", "c").applyInPandas(compare, "a long, b long")
 
 
 def _blocks(rows: DataFrame, whole: str, part: str) -> DataFrame:
@@ -218,6 +218,20 @@ def _shared_tokens(docs: DataFrame, common: np.ndarray, buckets: int, width: int
     return blocks.repartitionById(buckets, "bucket").mapInArrow(meet, "token long, ka long")
 
 
+def _up(a: str, b: str) -> str:
+    return f"(({a} + {b} - 1) div {b})"
+
+
+def _least_shared(size: str, percent: int):
+    """How many prefix tokens sets of ``n`` and ``size`` tokens share at least if they link.
+
+    Up to the end of the shorter prefix all shared tokens are known; behind it, the set that ends there has
+    ceil(percent * tokens / 100) - 1 left. In between the two ends of a group's sizes the number is larger.
+    """
+    overlap = _up(f"{percent} * (n + {size})", str(100 + percent))
+    return F.expr(f"{overlap} - greatest({_up(f'{percent} * n', '100')}, {_up(f'{percent} * {size}', '100')}) + 1")
+
+
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -226,11 +240,11 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     doc_id of the component. No link between different texts is lost:
 
     1. Documents with equal sets are one class; the work goes on with classes.
-    2. Classes that share a smallest token under one of 8 orders are compared with the first of them. Links found give
+    2. Classes that share smallest tokens under two of 8 orders with the first class that has them are compared with it. Links found give
        clusters of similar documents, however many copies there are.
     3. Every link left runs between clusters. Its ends share a prefix token; tokens of a single cluster fall away. Of
        the others, a class asks the groups (at most about 128 classes of a larger cluster) that have one of its tokens.
-    4. A group is opened if its token union holds enough of the asking set; all its members are then checked.
+    4. Of those, it asks groups that share enough prefix tokens for their sizes. A group is opened if its token union holds enough of the asking set; all its members are then checked.
 
     Null and empty texts, and texts of white space, have no set and link with nothing. Repeated rows give a row each.
     A null id stays null, and is nobody's component_id unless no member has an id. No rows give no rows. Other columns
@@ -245,7 +259,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     marks = classes.select("ka", "n", F.posexplode("least").alias("i", "key"))
     firsts = marks.groupBy("i", "key").agg(F.min(F.struct("ka", "n")).alias("h"), F.count("*").alias("m")).filter("m > 1")
     near = marks.join(firsts, ["i", "key"]).filter("ka <> h.ka").filter(f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)")
-    near = stored(near.select(F.col("h.ka").alias("q"), F.col("ka").alias("s")).distinct(), "near")
+    near = near.groupBy(F.col("h.ka").alias("q"), F.col("ka").alias("s")).count().filter(F.col("count") >= 2).select("q", "s")
+    near = stored(near, "near")
     member = stored(_blocks(near, "q", "s"), "members")
     found = stored(_opened(docs, classes, member.select("q", "g").distinct(), member.select("g", "s"), width, percent), "links")
     clusters = components(found)
@@ -263,7 +278,12 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     r, t = rows.alias("r"), matrix.alias("t")
     apart = "struct(r.m, r.root) < struct(t.m, t.root)"
     fits = f"100 * r.n <= {100 * 100} * t.hi / {percent} and 100 * t.lo <= {100 * 100} * r.n / {percent}"
-    ask = r.join(t, F.expr(f"r.token = t.token and {apart} and {fits}")).groupBy(F.col("r.ka").alias("q"), F.col("t.g").alias("g")).agg(F.count("*").alias("overlap"))
+    pairs = r.join(t, F.expr(f"r.token = t.token and {apart} and {fits}"))
+    ask = pairs.groupBy(F.col("r.ka").alias("q"), F.col("t.g").alias("g")).agg(
+        F.count("*").alias("overlap"), F.first("r.n").alias("n"), F.min("t.lo").alias("lo"), F.max("t.hi").alias("hi")
+    )
+    least = F.least(_least_shared("greatest(lo, " + _up(f"{percent} * n", "100") + ")", percent), _least_shared(f"least(hi, (100 * n) div {percent})", percent))
+    ask = ask.filter(F.col("overlap") >= least)
     ask = stored(ask.select("q", "g"), "ask")
     asked = placed.join(ask.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"))
     more = _opened(docs, classes, ask, stored(asked, "asked"), width, percent)
