@@ -64,7 +64,7 @@ def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
     if not n:
         return [np.zeros(0, np.uint64) for _ in texts]
     rolled = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         part = mixed(words + np.uint64((k + 1) * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
         rolled[: n - k] += part[k:]
     rolled = mixed(rolled)
