@@ -63,7 +63,12 @@ class _Model:
         self.step += 1
 
     def adapt(self, table: np.ndarray, index: np.ndarray, rows: np.ndarray, aim: np.ndarray, symbol: np.ndarray) -> None:
-        table[index] = rows + ((aim[symbol] - rows) >> self.rate)
+        """Move the odds of each block towards its symbol. ``rows`` are the table's rows at ``index``."""
+        step = aim.take(symbol, 0)
+        step -= rows
+        step >>= self.rate
+        step += rows
+        table[index] = step
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -77,17 +82,18 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     padded[:n] = ids
     columns = np.ascontiguousarray(padded.reshape(lanes, block).T)
     model, lane = _Model(lanes, digits), np.arange(lanes)
+    lane4, lane17 = lane * 4, lane * 17
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 48) - 1, _U)
     width = block + 64
     out, at = np.zeros((lanes, width), np.uint32), np.zeros(lanes, np.int64)
 
     def put(start: np.ndarray, size: np.ndarray) -> None:
         nonlocal low, span
-        part = span >> _U(_BITS)
-        low = low + part * start.astype(_U)
-        span = part * size.astype(_U)
-        carry = np.flatnonzero(low >> _U(48))
-        if len(carry):
+        span >>= _U(_BITS)
+        low += span * start.astype(_U)
+        span *= size.astype(_U)
+        if low.max() > _MASK:
+            carry = np.flatnonzero(low > _MASK)
             out[carry, at[carry] - 1] += np.uint32(1)
             low &= _MASK
         short = np.flatnonzero(span < _U(1 << 32))
@@ -104,18 +110,23 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
             width = out.shape[1]
         model.predict()
         flag = np.where(model.p2 == x + 1, 0, np.where(model.p1 == x + 1, 1, 2))
-        rows = model.flags[model.context]
-        start = rows[lane, flag]
-        put(start, rows[lane, flag + 1] - start)
+        rows = model.flags.take(model.context, 0)
+        at_flag = lane4 + flag
+        start = rows.take(at_flag)
+        put(start, rows.take(at_flag + 1) - start)
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
         told, before = flag < 2, 0
+        spelled = (~told).astype(np.int16)
         for d in range(digits):
             table, digit = model.digits[d], (x >> (4 * (digits - 1 - d))) & 15
             index = lane * 16 + before if d else lane
-            rows = table[index]
-            start = rows[lane, digit]
-            size = rows[lane, digit + 1] - start
-            start[told], size[told] = 0, _TOTAL
+            rows = table.take(index, 0)
+            at_digit = lane17 + digit
+            start = rows.take(at_digit)
+            size = rows.take(at_digit + 1)
+            size -= start
+            start *= spelled
+            np.copyto(size, _TOTAL, where=told)
             put(start, size)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
             before = digit
@@ -146,6 +157,7 @@ def decode(chunk: bytes) -> np.ndarray:
     sizes = heads[:, 0].astype(np.int64)
     at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     model, lane = _Model(lanes, digits), np.arange(lanes)
+    lane4, lane17 = lane * 4, lane * 17
     code = (words[at] << _U(32)) | (words[at + 1] << _U(16)) | words[at + 2]
     at = at + 3
     span = np.full(lanes, (1 << 48) - 1, _U)
@@ -153,8 +165,8 @@ def decode(chunk: bytes) -> np.ndarray:
 
     def take(start: np.ndarray, size: np.ndarray, part: np.ndarray) -> None:
         nonlocal code, span
-        code = code - part * start.astype(_U)
-        span = part * size.astype(_U)
+        code -= part * start.astype(_U)
+        np.multiply(part, size.astype(_U), out=span)
         short = np.flatnonzero(span < _U(1 << 32))
         if len(short):
             code[short] = (code[short] << _U(16)) | words[np.minimum(at[short], top)]
@@ -164,27 +176,32 @@ def decode(chunk: bytes) -> np.ndarray:
     out = np.zeros((block, lanes), np.int64)
     for step in range(block):
         model.predict()
-        rows = model.flags[model.context]
+        rows = model.flags.take(model.context, 0)
         part = span >> _U(_BITS)
         goal = np.minimum(code // part, _U(_TOTAL - 1)).astype(np.int16)
         flag = (goal >= rows[:, 1]).astype(np.int64) + (goal >= rows[:, 2])
-        start = rows[lane, flag]
-        take(start, rows[lane, flag + 1] - start, part)
+        at_flag = lane4 + flag
+        start = rows.take(at_flag)
+        take(start, rows.take(at_flag + 1) - start, part)
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
         told, before = flag < 2, 0
+        spelled = (~told).astype(np.int16)
         known = np.where(flag == 0, model.p2, model.p1).astype(np.int64) - 1
         x = np.zeros(lanes, np.int64)
         for d in range(digits):
             table = model.digits[d]
             index = lane * 16 + before if d else lane
-            rows = table[index]
+            rows = table.take(index, 0)
             part = span >> _U(_BITS)
             goal = np.minimum(code // part, _U(_TOTAL - 1)).astype(np.int16)
-            digit = (rows[:, 1:16] <= goal[:, None]).sum(1)
-            digit[told] = (known[told] >> (4 * (digits - 1 - d))) & 15
-            start = rows[lane, digit]
-            size = rows[lane, digit + 1] - start
-            start[told], size[told] = 0, _TOTAL
+            digit = np.count_nonzero(rows[:, 1:16] <= goal[:, None], axis=1)
+            digit = np.where(told, (known >> (4 * (digits - 1 - d))) & 15, digit)
+            at_digit = lane17 + digit
+            start = rows.take(at_digit)
+            size = rows.take(at_digit + 1)
+            size -= start
+            start *= spelled
+            np.copyto(size, _TOTAL, where=told)
             take(start, size, part)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
             x = x * 16 + digit
