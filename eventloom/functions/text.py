@@ -21,7 +21,6 @@ PRODUCT_LABELS = (
     ("conversion_rate_pct", "转化率: "),
 )
 TEXT_SEPARATOR = "，"
-MAX_TEXT_LENGTH = 1024
 MISSING_WORDS = ("None", "nan", "")
 
 
@@ -43,7 +42,7 @@ def event_text(df: DataFrame, out: str = "text_content") -> DataFrame:
         "browser": _known("browser"),
     }
     parts = [F.concat(F.lit(label), value[name]) for name, label in EVENT_LABELS]
-    return df.withColumn(out, F.substring(F.concat_ws(TEXT_SEPARATOR, *parts), 1, MAX_TEXT_LENGTH))
+    return df.withColumn(out, F.concat_ws(TEXT_SEPARATOR, *parts))
 
 
 def product_text(df: DataFrame, out: str = "text_content") -> DataFrame:
@@ -55,7 +54,7 @@ def product_text(df: DataFrame, out: str = "text_content") -> DataFrame:
         "conversion_rate_pct": F.concat(nonzero["conversion_rate_pct"], F.lit("%")),
     }
     parts = [F.concat(F.lit(label), value[name]) for name, label in PRODUCT_LABELS]
-    return df.withColumn(out, F.substring(F.concat_ws(TEXT_SEPARATOR, *parts), 1, MAX_TEXT_LENGTH))
+    return df.withColumn(out, F.concat_ws(TEXT_SEPARATOR, *parts))
 
 
 def event_sentence(df: DataFrame) -> Column:
@@ -79,12 +78,20 @@ def event_sentence(df: DataFrame) -> Column:
 
 
 def event_chunks(df: DataFrame, lo: int = 20, hi: int = 200, out: str = "chunk") -> DataFrame:
-    """Sentence per event; short ones gain the event id, long ones end in an ellipsis."""
+    """The sentence of each event in chunks of at most ``hi`` characters, numbered by ``chunk_no`` from 0.
+
+    A short sentence gains the event id in front. A long one is cut at word ends, so its chunks joined by blanks are
+    the whole sentence; only a word longer than ``hi`` is cut itself.
+    """
     sentence = event_sentence(df)
-    n = F.length(sentence)
-    fitted = (
-        F.when(n < lo, F.concat(F.lit("Event "), F.coalesce(F.col("event_id"), F.lit("?")), F.lit(": "), sentence))
-        .when(n > hi, F.concat(F.substring(sentence, 1, hi - 3), F.lit("...")))
-        .otherwise(sentence)
+    named = F.concat(F.lit("Event "), F.coalesce(F.col("event_id"), F.lit("?")), F.lit(": "), sentence)
+    whole = F.when(F.length(sentence) < lo, named).otherwise(sentence)
+    parts = F.when(F.length(whole) <= hi, F.array(whole)).otherwise(
+        F.regexp_extract_all(whole, F.lit(rf"(?s)\S.{{0,{hi - 1}}}(?!\S)|\S{{{hi}}}"), F.lit(0))
     )
-    return df.withColumn(out, fitted)
+    return df.select("*", F.posexplode(parts).alias("chunk_no", out))
+
+
+def preview(text: Column, most: int = 200) -> Column:
+    """For display only: a text longer than ``most`` characters ends in an ellipsis."""
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most - 3), F.lit("..."))).otherwise(text)

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventloom.functions.columns import clip, days_since, tier
-from eventloom.session import BROADCAST_ROW_LIMIT
 
 # Popularity tiers and the view counts that reach them.
 TIERS = ("hot", "warm", "cool", "cold")
@@ -49,13 +48,11 @@ def activity_score(events: Column, days_since_last: Column) -> Column:
 
 
 def lookup(df: DataFrame, key: str, ids: Sequence[str] | DataFrame | None) -> DataFrame:
-    """Rows of the given entities: an IN list when short, a semi join when long or a frame."""
+    """Rows of the given entities, by a semi join with their ids."""
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
         return df.join(ids.select(key), key, "left_semi")
-    if len(ids) <= BROADCAST_ROW_LIMIT:
-        return df.filter(F.col(key).isin(*ids))
     listed = df.sparkSession.createDataFrame([(i,) for i in ids], T.StructType([df.schema[key]]))
     return df.join(listed, key, "left_semi")
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventloom.functions.columns import days_since, finite_or
 from eventloom.operators.features import activity_score
 from eventloom.operators.stats import order_statistics
-from eventloom.session import BROADCAST_ROW_LIMIT, bounded_broadcast
 
 # Model inputs, forest size, test share, folds and seed.
 FEATURES = (
@@ -54,14 +53,10 @@ def stratified_split(df: DataFrame, label: str = "user_segment", key: str = "use
     label is the test set. The cut is found as an exact order statistic, so a label holding most
     rows is never sorted in one task; the hash is even, and so are its bins. Labels must be known.
 
-    The cuts are computed now and joined as a small table, because training reads its frame often.
-    More labels than a broadcast may hold stay a lazy join.
+    The cuts, one row per label, are joined lazily; cache the frames if training reads them often.
     """
     hashed = df.withColumn("_h", F.shiftright(F.xxhash64(F.col(key), F.lit(seed)), 11))
     cut = order_statistics(hashed, [label], "_h", {"_cut": F.floor(F.col("n") * test).cast("long")})
-    known = cut.limit(BROADCAST_ROW_LIMIT + 1).collect()
-    if len(known) <= BROADCAST_ROW_LIMIT:
-        cut = bounded_broadcast(df.sparkSession.createDataFrame(known, cut.schema), len(known))
     both = hashed.join(cut, label)
     return both.filter("_h >= _cut").select(*df.columns), both.filter("_h < _cut").select(*df.columns)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventloom.functions.text import event_chunks
 from eventloom.operators.embed import VECTOR_DIM, Encoder, apply_encoder, apply_lexical, fit_lexical
-from eventloom.operators.search import exact_hits, with_fields, write_vectors
+from eventloom.operators.search import topk_exact, with_fields, write_vectors
 
 # System instruction and section headings of the prompt.
 SYSTEM_PROMPT = (
@@ -25,19 +25,18 @@ ANSWER_HEADING = "## Answer"
 # Columns kept per knowledge-base entry, with the default of a missing entry.
 HIT_DEFAULTS = {"event_type": "?", "user_id": "?", "product_id": "", "chunk": ""}
 METADATA_COLUMNS = ("event_id", "user_id", "event_type", "product_id", "page", "referrer", "device", "browser")
-SEARCH_RESULT_ROWS = 5
 
 
 def kb_rows(ev: DataFrame) -> DataFrame:
-    """One row per event: id, metadata and chunk.
+    """One row per chunk of each event: id, metadata and chunk. An event that occurs twice counts once.
 
-    The id is a hash of ``event_id``: the same on every run and computed without ordering rows.
+    The id is a hash of ``event_id`` and the chunk's number: the same on every run and computed without ordering rows.
     """
-    chunks = event_chunks(ev)
+    chunks = event_chunks(ev.dropDuplicates(["event_id"]))
     category = F.col("product_category") if "product_category" in ev.columns else F.lit(None).cast("string")
     text = [F.coalesce(F.col(c), F.lit("?" if c in ("user_id", "event_type") else "")).alias(c) for c in METADATA_COLUMNS]
     return chunks.select(
-        F.xxhash64("event_id").alias("id"), *text,
+        F.xxhash64("event_id", "chunk_no").alias("id"), *text,
         F.coalesce(category, F.lit("")).alias("product_category"),
         F.coalesce("duration_ms", F.lit(0)).alias("duration_ms"), "chunk",
     )
@@ -84,8 +83,8 @@ def search_rows(
     corpus: DataFrame, queries: DataFrame, fields: dict[str, str | int], k: int = 10, where: Column | None = None
 ) -> DataFrame:
     """Search any vector table (events, products) and return the named fields of each hit."""
-    hits, most = exact_hits(corpus, queries, k, where)
-    return with_fields(hits, corpus, fields, most).withColumn("score", F.round("score", 4))
+    hits = topk_exact(corpus, queries, k, where)
+    return with_fields(hits, corpus, fields).withColumn("score", F.round("score", 4))
 
 
 def retrieve(corpus: DataFrame, queries: DataFrame, k: int = 5, where: Column | None = None) -> DataFrame:
@@ -135,8 +134,8 @@ def first_types(hits: DataFrame) -> DataFrame:
     return hits.filter(F.col("rank") == 1).select("query_id", F.col("event_type").alias("top1_type"), "score")
 
 
-def query_intent(hits: DataFrame, table: str = "raw.user_events") -> DataFrame:
-    """What a question is about: type distribution, distinct users and products, best hits, SQL.
+def query_intent(hits: DataFrame, table: str = "raw.user_events", matches: int = 5) -> DataFrame:
+    """What a question is about: type distribution, distinct users and products, the ``matches`` best hits, SQL.
 
     Hits are at most k per question, so what is gathered per question is short. The most frequent type wins; ties go to the type first met.
     """
@@ -148,7 +147,7 @@ def query_intent(hits: DataFrame, table: str = "raw.user_events") -> DataFrame:
             "event_type", F.count("*").over(same_type).alias("n"),
         ).alias("type"),
         F.when(
-            F.col("rank") <= SEARCH_RESULT_ROWS,
+            F.col("rank") <= matches,
             F.struct("rank", F.round("score", 4).alias("score"), "event_type", F.col("chunk").alias("text")),
         ).alias("match"),
     )

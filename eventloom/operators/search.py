@@ -3,14 +3,9 @@
 Scores are computed block by block inside tasks (one matrix product per Arrow batch), and a block
 gives back only its k best rows per query. No (query, row) pair is ever a Spark row.
 
-Two ways to bring queries and corpus together:
-
-* few queries: the query matrix is shipped to every task and the corpus is scanned in place, with
-  no shuffle. Used only when the queries are within ``QUERY_ROW_LIMIT`` and ``QUERY_BYTES_LIMIT``.
-* many queries: both sides are cut into blocks of bounded size and meet in a grid of
-  (corpus block x query block) groups.
-
-The queries, up to the limit, are fetched when a search is built; the search itself stays lazy.
+Both sides are cut into blocks of bounded size and meet in a grid of (corpus block x query block) groups, at every
+size and lazily. Vectors that are null, empty or hold null or non-finite numbers take no part; vectors of different
+lengths never meet.
 
 Ranking uses the score rounded to 9 digits, then the id, so equal vectors order the same way
 whatever block they were scored in.
@@ -30,11 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from eventloom.session import bounded_broadcast
 
 SCORE_DIGITS = 9
-QUERY_ROW_LIMIT = 2_000
-QUERY_BYTES_LIMIT = 32 * 1024 * 1024
-CORPUS_BLOCK_ROWS = 100_000
-QUERY_BLOCK_ROWS = 2_000
-NLIST = 128
+# A block holds at most about this many bytes of vectors as doubles; scores are made for so many queries at a time.
+CORPUS_BLOCK_BYTES = 32 * 1024 * 1024
+QUERY_BLOCK_BYTES = 8 * 1024 * 1024
+QUERY_SLICE = 128
 NPROBE = 32
 
 
@@ -99,78 +93,34 @@ def rank_top_k(scored: DataFrame, k: int, by: str = "query_id") -> DataFrame:
 # --- inputs ----------------------------------------------------------------------------------
 
 
+def _usable() -> Column:
+    """Vectors that can be scored. ``size(null)`` is -1."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return (F.size("embedding") > 0) & finite
+
+
 def _corpus(df: DataFrame, where: Column | None) -> DataFrame:
     if where is not None:
         df = df.filter(where)
-    return df.filter(F.col("embedding").isNotNull())
-
-
-@dataclass(frozen=True)
-class _Queries:
-    """The first queries on the driver, and whether those are all of them."""
-
-    ids: np.ndarray
-    matrix: np.ndarray
-    complete: bool
-
-    @property
-    def dim(self) -> int:
-        return self.matrix.shape[1]
-
+    return df.filter(_usable())
 
-def _peek(queries: DataFrame) -> _Queries:
-    """Fetch at most one query more than the limit: enough to tell which way to go."""
-    asked = queries.filter(F.col("embedding").isNotNull())
-    table = asked.select("query_id", F.col("embedding").cast("array<double>")).limit(QUERY_ROW_LIMIT + 1).toArrow()
-    dim = len(table["embedding"][0]) if table.num_rows else 1
-    matrix = _matrix(table["embedding"], dim)
-    complete = table.num_rows <= QUERY_ROW_LIMIT and matrix.nbytes <= QUERY_BYTES_LIMIT
-    return _Queries(table["query_id"].to_numpy().astype(np.int64), matrix, complete)
 
+# --- the grid --------------------------------------------------------------------------------
 
-# --- the two ways ----------------------------------------------------------------------------
 
+def _grid(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Candidates of every (corpus block, query block) pair that shares a bucket and a vector length.
 
-def _scan_in_place(corpus: DataFrame, queries: _Queries, k: int, probes: np.ndarray | None = None) -> DataFrame:
-    """Candidates of each task. ``probes[q, c]`` tells whether query q looks into cluster c."""
-    shared = corpus.sparkSession.sparkContext.broadcast((queries.ids, queries.matrix, probes))
-    dim = queries.dim
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, q, looks = shared.value
-        best = _TopK(len(qids), k)
-        for batch in batches:
-            if batch.num_rows == 0 or not len(qids):
-                continue
-            ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("embedding"), dim)
-            if looks is None:
-                best.add(np.arange(len(qids)), _round(q @ vectors.T), ids)
-                continue
-            clusters = batch.column("cluster").to_numpy()
-            for c in np.unique(clusters):
-                who, rows = np.flatnonzero(looks[:, c]), np.flatnonzero(clusters == c)
-                best.add(who, _round(q[who] @ vectors[rows].T), ids[rows])
-        if len(qids):
-            yield _batch(best, qids)
-
-    columns = ["id", "embedding"] + (["cluster"] if probes is not None else [])
-    return corpus.select(*columns).mapInArrow(score, _HIT_SCHEMA)
-
-
-def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int, buckets: int) -> DataFrame:
-    """Candidates of every (corpus block, query block) pair that shares a bucket.
-
-    Both sides carry ``bucket``, of which there are at most ``buckets`` values. A bucket with many
-    rows is cut into as many blocks as its count asks for, so no group exceeds the block sizes by
-    more than hashing unevenness.
+    Both sides carry ``bucket``. A bucket with many rows is cut into as many blocks as its bytes ask for, so no group
+    exceeds the block sizes by more than hashing unevenness.
     """
+    keys = ["bucket", "dim"]
+    corpus, queries = corpus.withColumn("dim", F.size("embedding")), queries.withColumn("dim", F.size("embedding"))
 
-    def blocks(df: DataFrame, rows: int) -> DataFrame:
-        return df.groupBy("bucket").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks"))
+    def blocks(df: DataFrame, most: int, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") * F.col("dim") * 8 / most).cast("int").alias(name))
 
-    c_blocks = blocks(corpus, CORPUS_BLOCK_ROWS).withColumnRenamed("blocks", "cn")
-    q_blocks = blocks(queries, QUERY_BLOCK_ROWS).withColumnRenamed("blocks", "qn")
-    sizes = bounded_broadcast(c_blocks.join(q_blocks, "bucket"), buckets)
+    sizes = blocks(corpus, CORPUS_BLOCK_BYTES, "cn").join(blocks(queries, QUERY_BLOCK_BYTES, "qn"), keys)
 
     def own(key: str, n: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
@@ -178,45 +128,38 @@ def _grid(corpus: DataFrame, queries: DataFrame, k: int, dim: int, buckets: int)
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = corpus.join(sizes, "bucket").select("bucket", own("id", "cn").alias("cb"), every("qn").alias("qb"), "id", "embedding")
-    right = queries.join(sizes, "bucket").select(
-        "bucket", every("cn").alias("cb"), own("query_id", "qn").alias("qb"), "query_id", "embedding"
-    )
+    left = corpus.join(sizes, keys).select(*keys, own("id", "cn").alias("cb"), every("qn").alias("qb"), "id", "embedding")
+    right = queries.join(sizes, keys).select(*keys, every("cn").alias("cb"), own("query_id", "qn").alias("qb"), "query_id", "embedding")
 
     def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or asked.num_rows == 0:
             return pa.Table.from_batches([], schema=_HIT_ARROW)
-        qids = asked["query_id"].to_numpy()
+        dim = len(rows["embedding"][0])
+        qids, ids = asked["query_id"].to_numpy(), rows["id"].to_numpy()
+        q, vectors = _matrix(asked["embedding"], dim), _matrix(rows["embedding"], dim)
         best = _TopK(len(qids), k)
-        scores = _round(_matrix(asked["embedding"], dim) @ _matrix(rows["embedding"], dim).T)
-        best.add(np.arange(len(qids)), scores, rows["id"].to_numpy())
+        for i in range(0, len(qids), QUERY_SLICE):
+            part = q[i : i + QUERY_SLICE]
+            best.add(np.arange(i, i + len(part)), _round(part @ vectors.T), ids)
         return pa.Table.from_batches([_batch(best, qids)])
 
-    keys = ["bucket", "cb", "qb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, _HIT_SCHEMA)
+    groups = [*keys, "cb", "qb"]
+    return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(score, _HIT_SCHEMA)
 
 
 # --- exact search ----------------------------------------------------------------------------
 
 
-def exact_hits(corpus: DataFrame, queries: DataFrame, k: int, where: Column | None = None) -> tuple[DataFrame, int | None]:
-    """The hits of ``topk_exact``, and the most rows they can be if that is known."""
-    rows = _corpus(corpus, where)
-    first = _peek(queries)
-    if first.complete:
-        return rank_top_k(_scan_in_place(rows, first, k), k), len(first.ids) * k
-    one = F.lit(0).alias("bucket")
-    asked = queries.filter(F.col("embedding").isNotNull()).select(one, "query_id", "embedding")
-    return rank_top_k(_grid(rows.select(one, "id", "embedding"), asked, k, first.dim, buckets=1), k), None
-
-
 def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 10, where: Column | None = None) -> DataFrame:
     """``k`` best corpus rows per query: query_id, id, score, rank.
 
     ``corpus`` has id (long) and embedding (array); ``queries`` has query_id (long) and embedding.
     ``where`` filters the corpus by its other columns before scoring.
     """
-    return exact_hits(corpus, queries, k, where)[0]
+    one = F.lit(0).alias("bucket")
+    rows = _corpus(corpus, where).select(one, "id", "embedding")
+    asked = _corpus(queries, None).select(one, "query_id", "embedding")
+    return rank_top_k(_grid(rows, asked, k), k)
 
 
 # --- cluster-pruned search -------------------------------------------------------------------
@@ -239,9 +182,10 @@ class ClusterIndex:
         return spark.read.parquet(f"{self.path}/vectors")
 
 
-def nlist_for(n: int, most: int = NLIST) -> int:
-    """One cluster per hundred rows, between 1 and ``most``."""
-    return min(most, max(1, n // 100))
+def nlist_for(n: int, most: int | None = None) -> int:
+    """As many clusters as a cluster has rows: the square root of the row count, at most ``most`` if given."""
+    wanted = max(1, round(n**0.5))
+    return wanted if most is None else min(most, wanted)
 
 
 def build_ivf(
@@ -255,7 +199,7 @@ def build_ivf(
     ``stored``: vectors that an encoder computes must not be computed again each time.
     """
     spark = corpus.sparkSession
-    rows = corpus.filter(F.col("embedding").isNotNull())
+    rows = _corpus(corpus, None)
     if not stored:
         write_vectors(rows, f"{path}/staged")
         rows = spark.read.parquet(f"{path}/staged")
@@ -288,14 +232,6 @@ def topk_ivf(
     nlist, dim = index.centers.shape
     nprobe = min(nprobe, nlist)
     corpus = _corpus(index.vectors(spark), where)
-    first = _peek(queries)
-    if first.complete:
-        near = _nearest(first.matrix, index.centers, nprobe) if len(first.ids) else np.zeros((0, nprobe), dtype=int)
-        looks = np.zeros((len(first.ids), nlist), dtype=bool)
-        np.put_along_axis(looks, near, True, axis=1)
-        probed = [int(c) for c in np.unique(near)]
-        return rank_top_k(_scan_in_place(corpus.filter(F.col("cluster").isin(*probed)), first, k, looks), k)
-
     centers = index.centers
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,10 +242,10 @@ def topk_ivf(
                 names=["query_id", "embedding", "buckets"],
             )
 
-    asked = queries.filter(F.col("embedding").isNotNull()).select("query_id", F.col("embedding").cast("array<double>"))
+    asked = _corpus(queries, None).filter(F.size("embedding") == dim).select("query_id", F.col("embedding").cast("array<double>"))
     probed = asked.mapInArrow(probe, "query_id long, embedding array<double>, buckets array<int>")
     spread = probed.select(F.explode("buckets").alias("bucket"), "query_id", "embedding")
-    return rank_top_k(_grid(corpus.select(F.col("cluster").alias("bucket"), "id", "embedding"), spread, k, dim, nlist), k)
+    return rank_top_k(_grid(corpus.select(F.col("cluster").alias("bucket"), "id", "embedding"), spread, k), k)
 
 
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:

@@ -8,14 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventloom.functions.columns import rate_pct
 from eventloom.schema import DEFAULT_ROLES, EventRoles
-from eventloom.session import BROADCAST_ROW_LIMIT, bounded_broadcast
+from eventloom.session import bounded_broadcast
 
 # Display names of the funnel steps, in order.
 FUNNEL_STEPS = ("浏览/搜索", "加入购物车", "下单购买")
 
-# Up to this many ids become an IN list that the scan can use.
-IN_LIST_LIMIT = 200
-
 # Equal-width bins per group used to locate an exact rank.
 RANK_BINS = 1024
 
@@ -80,19 +77,12 @@ def top_users(dim_users: DataFrame, n: int = 20, offset: int = 0) -> DataFrame:
 def product_rank(dim_products: DataFrame, ev: DataFrame, n: int = 20) -> DataFrame:
     """Most viewed products with their category.
 
-    The ranking is cut to ``n`` rows and, up to the broadcast limit, computed right away: so it is
-    evaluated once, and its ids reach the scan of the events as a short list or a broadcast.
+    Lazy at every size: the ranking is cut to ``n`` rows, and the events are reduced to its products by a semi join.
     """
     top = dim_products.select("product_id", "total_views", "total_purchases", "conversion_rate_pct").orderBy(
         F.desc("total_views"), "product_id"
     ).limit(n)
-    seen = ev.select("product_id", "product_category")
-    if n <= BROADCAST_ROW_LIMIT:
-        rows = top.collect()
-        top = bounded_broadcast(dim_products.sparkSession.createDataFrame(rows, top.schema), n)
-        if n <= IN_LIST_LIMIT:
-            seen = seen.filter(F.col("product_id").isin([r["product_id"] for r in rows]))
-    wanted = seen.join(top.select("product_id"), "product_id", "left_semi")
+    wanted = ev.select("product_id", "product_category").join(bounded_broadcast(top.select("product_id"), n), "product_id", "left_semi")
     category = wanted.groupBy("product_id").agg(F.min("product_category").alias("category"))
     return (
         top.join(category, "product_id", "left")

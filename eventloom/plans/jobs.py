@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from eventloom.operators.clean import clean_events, dedup
 from eventloom.operators.quality import MODEL_RULES, run_suite
-from eventloom.plans.models import SEGMENT_CUTS, dim_products, dim_users, fct_user_events_daily
+from eventloom.plans.models import SEGMENT_CUTS, dim_products, dim_users, fct_user_events_daily, stg_user_events
 from eventloom.schema import DEFAULT_ROLES, EventRoles
 from eventloom.sources.events import read_events_json, write_events
 from eventloom.sources.layout import check_output
@@ -68,20 +68,10 @@ def build_models(
     roles: EventRoles = DEFAULT_ROLES,
     cuts: tuple[int, int, int] = SEGMENT_CUTS,
 ) -> None:
-    """Source table → staging view → dimensions and fact, in dependency order.
-
-    The staging model is a view and costs nothing until read; the others are written once.
-    """
+    """Source table → staging → dimensions and fact, in dependency order. Each is written once, below ``base``."""
     for database in {names.staging.split(".")[0], names.clean("x").split(".")[0]}:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(
-        f"""CREATE OR REPLACE VIEW {names.staging} AS
-        SELECT event_id, user_id, lower(event_type) AS event_type,
-               coalesce(product_id, 'unknown') AS product_id, event_ts,
-               to_date(event_ts) AS event_date, page, coalesce(referrer, 'direct') AS referrer,
-               cast(duration_ms AS bigint) AS duration_ms, device, browser, processed_at, processing_date
-        FROM {names.source} WHERE event_ts IS NOT NULL"""
-    )
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/{database}.db'")
+    publish(stg_user_events(spark.table(names.source)), names.staging, base)
     stg = spark.table(names.staging)
     publish(dim_users(stg, cuts), names.clean("dim_users"), base)
     publish(dim_products(stg, roles), names.clean("dim_products"), base)

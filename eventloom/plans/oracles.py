@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventloom.operators.retrieval import SYSTEM_PROMPT
+
 # Events in raw shape: text time with junk, missing users, category from part.
 _EV = """
 WITH b AS (
@@ -28,6 +30,7 @@ ev AS (
     CASE b.eid % 4 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Firefox' WHEN 2 THEN 'Safari' ELSE 'Edge' END AS browser,
     b.k, b.value
   FROM b LEFT JOIN part p ON p.p_partkey = b.k),
+folded AS (SELECT * REPLACE (LOWER(event_type) AS event_type) FROM ev),
 parsed AS (
   SELECT *, try_strptime(timestamp_str, ['%Y-%m-%dT%H:%M:%S.%f+00:00', '%Y-%m-%dT%H:%M:%S+00:00', '%Y-%m-%dT%H:%M:%S']) AS parsed_ts
   FROM ev),
@@ -95,11 +98,12 @@ sentences AS (
       'on page ' || page, 'via ' || device || ' ' || browser,
       CASE WHEN duration_ms > 0 THEN 'duration ' || CAST(duration_ms AS VARCHAR) || 'ms' END) AS sentence
   FROM talk),
+named AS (
+  SELECT *, CASE WHEN LENGTH(sentence) < {lo} THEN 'Event ' || event_id || ': ' || sentence ELSE sentence END AS whole FROM sentences),
+cut AS (
+  SELECT *, CASE WHEN LENGTH(whole) <= {hi} THEN [whole] ELSE regexp_extract_all(whole, '(\\S.{{0,{hi - 1}}})(?:\\s|$)', 1) END AS parts FROM named),
 chunks AS (
-  SELECT *, CASE WHEN LENGTH(sentence) < {lo} THEN 'Event ' || event_id || ': ' || sentence
-                 WHEN LENGTH(sentence) > {hi} THEN SUBSTR(sentence, 1, {hi - 3}) || '...'
-                 ELSE sentence END AS chunk
-  FROM sentences)
+  SELECT * EXCLUDE (parts), UNNEST(parts) AS chunk, UNNEST(range(len(parts)))::INTEGER AS chunk_no FROM cut)
 """
 
 
@@ -154,11 +158,7 @@ def _rag(k: int, select: str) -> str:
     return _KNOWLEDGE + _topk("kb", "questions", k) + _DOCS + select
 
 
-_SYSTEM = (
-    "You are a data analytics assistant. Use the retrieved user event data below to answer the user''s question. "
-    "If the data does not contain enough information, say so clearly. "
-    "Provide specific user IDs, event types, and patterns where possible."
-)
+_SYSTEM = SYSTEM_PROMPT.replace("'", "''")
 
 
 def _rule(kind: str, column: str, failures: str, source: str = "FROM parsed") -> str:
@@ -262,8 +262,9 @@ ORACLES: dict[str, str] = {
     "dim_products": _EV + "SELECT * FROM products",
     "fct_user_events_daily": _EV + "SELECT * FROM daily",
     "segment_totals": _EV + "SELECT user_segment, COUNT(*) AS cnt, CAST(SUM(total_events) AS BIGINT) AS events FROM users GROUP BY user_segment",
-    "user_segments": _EV + """SELECT user_segment AS segment, COUNT(*) AS users, CAST(SUM(total_events) AS BIGINT) AS events,
-        ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 1) AS pct FROM users GROUP BY user_segment""",
+    "user_segments": _EV + """, per AS (SELECT user_segment, COUNT(*) AS n, SUM(total_events) AS e FROM users GROUP BY ALL)
+        SELECT user_segment AS segment, n AS users, CAST(e AS BIGINT) AS events, ROUND(100.0 * n / whole, 1) AS pct
+        FROM per, (SELECT SUM(n) AS whole FROM per)""",
     "events_by_type": _EV + "SELECT event_type, CAST(SUM(total_events) AS BIGINT) AS cnt FROM daily GROUP BY event_type",
     "top_products": _EV + """SELECT product_id, total_views, total_purchases, conversion_rate_pct FROM products
         WHERE total_views > 5 ORDER BY conversion_rate_pct DESC NULLS LAST, product_id LIMIT 10""",
@@ -271,46 +272,46 @@ ORACLES: dict[str, str] = {
         FROM users ORDER BY total_events DESC, user_id LIMIT 20""",
     "top_users_page_2": _EV + """SELECT user_id, user_segment AS segment, total_events, first_seen_at AS first_seen, last_seen_at AS last_seen
         FROM users ORDER BY total_events DESC, user_id LIMIT 20 OFFSET 20""",
-    "product_rank": _EV + """SELECT product_id, COALESCE((SELECT MIN(product_category) FROM ev WHERE ev.product_id = p.product_id), 'unknown') AS category,
-        total_views, total_purchases, ROUND(conversion_rate_pct, 1) AS conversion_rate
-        FROM products p ORDER BY total_views DESC, product_id LIMIT 20""",
+    "product_rank": _EV + """, kinds AS (SELECT product_id, MIN(product_category) AS kind FROM ev GROUP BY ALL)
+        SELECT product_id, IFNULL(kind, 'unknown') AS category, total_views, total_purchases, ROUND(conversion_rate_pct, 1) AS conversion_rate
+        FROM products LEFT JOIN kinds USING (product_id) ORDER BY total_views DESC, product_id LIMIT 20""",
     "row_count": "SELECT COUNT(*) AS total_rows FROM events",
-    "dashboard_overview": _EV + """SELECT (SELECT COUNT(*) FROM ev) AS total_events,
-        (SELECT COUNT(*) FROM ev WHERE event_type = 'purchase') AS today_orders,
-        (SELECT COUNT(DISTINCT user_id) FROM ev) AS today_users,
-        CASE WHEN (SELECT COUNT(*) FROM ev WHERE event_type IN ('view', 'click')) > 0
-          THEN ROUND((SELECT COUNT(*) FROM ev WHERE event_type = 'purchase') * 100.0 /
-                     (SELECT COUNT(*) FROM ev WHERE event_type IN ('view', 'click')), 2) ELSE 0 END AS conversion_rate""",
+    "dashboard_overview": _EV + """, c AS (SELECT COUNT(*) AS n, COUNT(DISTINCT user_id) AS u,
+          SUM((event_type = 'purchase')::BIGINT)::BIGINT AS bought, SUM((event_type IN ('view', 'click'))::BIGINT)::BIGINT AS looked FROM folded)
+        SELECT n AS total_events, bought AS today_orders, u AS today_users,
+          IF(looked = 0, 0.0::DOUBLE, ROUND(100.0 * bought / looked, 2)) AS conversion_rate FROM c""",
     "sales_trend": _EV + """SELECT CAST(event_ts AS DATE) AS date, COUNT(*) AS events, COUNT(*) FILTER (event_type = 'purchase') AS purchases
-        FROM ev WHERE event_ts IS NOT NULL GROUP BY 1""",
+        FROM folded WHERE event_ts IS NOT NULL GROUP BY 1""",
     "hourly_histogram": _EV + "SELECT CAST(EXTRACT(HOUR FROM event_ts) AS INTEGER) AS hour, COUNT(*) AS events FROM ev GROUP BY 1",
-    "hourly_heatmap": _EV + "SELECT CAST(EXTRACT(HOUR FROM event_ts) AS INTEGER) AS hour, event_type, COUNT(*) AS cnt FROM ev GROUP BY 1, 2",
+    "hourly_heatmap": _EV + "SELECT CAST(EXTRACT(HOUR FROM event_ts) AS INTEGER) AS hour, event_type, COUNT(*) AS cnt FROM folded GROUP BY 1, 2",
     "daily_event_count": "SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS cnt FROM events GROUP BY 1",
     "user_activity_rank": _EV + "SELECT user_id, COUNT(*) AS event_count FROM ev GROUP BY user_id ORDER BY event_count DESC, user_id LIMIT 10",
-    "event_type_distribution": _EV + "SELECT event_type, COUNT(*) AS cnt, ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS pct FROM ev GROUP BY event_type",
-    "category_share": _EV + """SELECT product_category AS category, COUNT(*) AS views, COUNT(*) FILTER (event_type = 'purchase') AS purchases,
-        ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 1) AS pct FROM ev WHERE product_category IS NOT NULL GROUP BY product_category""",
-    "funnel": _EV + """, top AS (SELECT COUNT(*) AS n FROM ev WHERE event_type IN ('view', 'click'))
-        SELECT 1 AS step, '浏览/搜索' AS name, n AS value, 100.0::DOUBLE AS pct FROM top
-        UNION ALL SELECT 2, '加入购物车', COUNT(*), ROUND(COUNT(*) * 100.0 / (SELECT n FROM top), 1) FROM ev WHERE event_type = 'signup'
-        UNION ALL SELECT 3, '下单购买', COUNT(*), ROUND(COUNT(*) * 100.0 / (SELECT n FROM top), 1) FROM ev WHERE event_type = 'purchase'""",
-    "funnel_union": _EV + """SELECT 1 AS step, '浏览/搜索' AS name, COUNT(*) AS value FROM ev WHERE event_type IN ('view', 'click')
-        UNION ALL SELECT 2, '加入购物车', COUNT(*) FROM ev WHERE event_type = 'signup'
-        UNION ALL SELECT 3, '下单购买', COUNT(*) FROM ev WHERE event_type = 'purchase'""",
-    "funnel_step_rates": _EV + """, steps AS (SELECT 1 AS step, '浏览/搜索' AS name, COUNT(*) AS value FROM ev WHERE event_type IN ('view', 'click')
-        UNION ALL SELECT 2, '加入购物车', COUNT(*) FROM ev WHERE event_type = 'signup'
-        UNION ALL SELECT 3, '下单购买', COUNT(*) FROM ev WHERE event_type = 'purchase')
+    "event_type_distribution": _EV + """, per AS (SELECT event_type, COUNT(*) AS n FROM folded GROUP BY ALL)
+        SELECT event_type, n AS cnt, ROUND(100.0 * n / whole, 2) AS pct FROM per, (SELECT SUM(n) AS whole FROM per)""",
+    "category_share": _EV + """, per AS (SELECT product_category AS c, COUNT(*) AS n, SUM((event_type = 'purchase')::BIGINT)::BIGINT AS p
+          FROM folded WHERE product_category IS NOT NULL GROUP BY ALL)
+        SELECT c AS category, n AS views, p AS purchases, ROUND(100.0 * n / whole, 1) AS pct FROM per, (SELECT SUM(n) AS whole FROM per)""",
+    "funnel": _EV + """, roles AS (SELECT CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 1 WHEN 'signup' THEN 2 WHEN 'purchase' THEN 3 END AS step FROM folded),
+        per AS (SELECT step, name, COUNT(roles.step) AS n FROM (VALUES (1, '浏览/搜索'), (2, '加入购物车'), (3, '下单购买')) s(step, name)
+          LEFT JOIN roles USING (step) GROUP BY ALL)
+        SELECT step, name, n AS value, ROUND(100.0 * n / (SELECT n FROM per WHERE step = 1), 1) AS pct FROM per""",
+    "funnel_union": _EV + """SELECT 1 AS step, '浏览/搜索' AS name, COUNT(*) AS value FROM folded WHERE event_type IN ('view', 'click')
+        UNION ALL SELECT 2, '加入购物车', COUNT(*) FROM folded WHERE event_type = 'signup'
+        UNION ALL SELECT 3, '下单购买', COUNT(*) FROM folded WHERE event_type = 'purchase'""",
+    "funnel_step_rates": _EV + """, steps AS (SELECT 1 AS step, '浏览/搜索' AS name, COUNT(*) AS value FROM folded WHERE event_type IN ('view', 'click')
+        UNION ALL SELECT 2, '加入购物车', COUNT(*) FROM folded WHERE event_type = 'signup'
+        UNION ALL SELECT 3, '下单购买', COUNT(*) FROM folded WHERE event_type = 'purchase')
         SELECT step, name, value, ROUND(value * 100.0 / FIRST_VALUE(value) OVER (ORDER BY step), 1) AS pct_of_first,
                ROUND(value * 100.0 / LAG(value) OVER (ORDER BY step), 1) AS pct_of_previous FROM steps""",
     "filter_agg_device": _EV + """SELECT device, ROUND(SUM(value), 4) AS sum_value, ROUND(AVG(value), 6) AS avg_value, COUNT(*) AS cnt
-        FROM ev WHERE event_type = 'purchase' GROUP BY device""",
-    "agg_type_device": _EV + "SELECT event_type, device, ROUND(SUM(value), 4) AS sum_value, COUNT(*) AS cnt FROM ev GROUP BY event_type, device",
+        FROM folded WHERE event_type = 'purchase' GROUP BY device""",
+    "agg_type_device": _EV + "SELECT event_type, device, ROUND(SUM(value), 4) AS sum_value, COUNT(*) AS cnt FROM folded GROUP BY event_type, device",
     "duration_stats": _EV + """SELECT event_type, COUNT(*) AS count, ROUND(AVG(duration_ms), 6) AS mean, MEDIAN(duration_ms) AS median,
         MIN(duration_ms) AS min, MAX(duration_ms) AS max,
         list_sort(list(duration_ms))[CAST(FLOOR(COUNT(*) * 0.95::DOUBLE) AS BIGINT) + 1] AS p95,
         list_sort(list(duration_ms))[CAST(FLOOR(COUNT(*) * 0.99::DOUBLE) AS BIGINT) + 1] AS p99,
         ROUND(COALESCE(STDDEV_SAMP(duration_ms), 0), 6) AS stdev
-        FROM ev GROUP BY event_type""",
+        FROM folded GROUP BY event_type""",
     # quality
     "dq_not_null": _EV + _union(*[_nulls(c) for c in ("event_id", "user_raw", "event_type", "product_id", "referrer")]),
     "dq_unique": _EV + _union(*[_dups(c) for c in ("event_id", "user_raw", "product_id")]),
@@ -392,14 +393,15 @@ ORACLES: dict[str, str] = {
         CASE WHEN total_views <> 0 THEN '浏览次数: ' || CAST(total_views AS VARCHAR) END,
         CASE WHEN total_purchases <> 0 THEN '购买次数: ' || CAST(total_purchases AS VARCHAR) END,
         CASE WHEN conversion_rate_pct <> 0 THEN '转化率: ' || CAST(conversion_rate_pct AS VARCHAR) || '%' END) AS text_content FROM products""",
-    "event_chunks": _EV + _TALK_EV + _chunk(20, 200) + "SELECT event_id, chunk FROM chunks",
-    "event_chunks_short": _EV + _TALK_EV + _chunk(80, 120) + "SELECT event_id, chunk FROM chunks",
+    "event_chunks": _EV + _TALK_EV + _chunk(20, 200) + "SELECT event_id, chunk_no, chunk FROM chunks",
+    "event_chunks_short": _EV + _TALK_EV + _chunk(80, 120) + "SELECT event_id, chunk_no, chunk FROM chunks",
     "chunk_length_stats": _EV + _TALK_EV + _chunk(20, 200) + """SELECT COUNT(*) AS cnt, MIN(LENGTH(chunk)) AS min, MAX(LENGTH(chunk)) AS max,
         CAST(FLOOR(AVG(LENGTH(chunk))) AS BIGINT) AS avg, list_sort(list(LENGTH(chunk)))[COUNT(*) // 2 + 1] AS median FROM chunks""",
     "vector_normalize": """SELECT vec_id AS id, 1.0::DOUBLE AS norm, ROUND(SQRT(list_dot_product(v, v)), 5) AS same,
         ROUND(v[1] / SQRT(list_dot_product(v, v)), 5) AS first_x
         FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)""",
     "vector_topk_exact": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
+    "vector_topk_dirty": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
     "vector_topk_filtered": _EV + _MEANS + _topk("vecs", "label_queries", 10, "label < 5") + _HITS,
     "vector_topk_ivf_all": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
     "vector_search_events": _EV + _MEANS + """, target AS (SELECT vecs.id, v, ev.* FROM vecs JOIN ev ON ev.eid = vecs.id)"""
@@ -437,6 +439,7 @@ ORACLES: dict[str, str] = {
     "kb_build": _EV + _TALK_EV + _chunk(20, 200) + """SELECT event_id, user_id, event_type, COALESCE(product_id, '') AS product_id, page,
         COALESCE(referrer, '') AS referrer, device, browser, COALESCE(product_category, '') AS product_category, duration_ms, chunk,
         CAST(384 AS INTEGER) AS dim FROM chunks""",
+    "kb_build_doubled": _EV + _TALK_EV + _chunk(20, 200) + "SELECT event_id, event_type, chunk FROM chunks",
     "hit_metadata": _EV + _MEANS + _topk("vecs", "label_queries", 10) + """SELECT h.query_id, h.id, h.rank,
         COALESCE(m.event_type, '?') AS event_type, COALESCE(m.user_id, '?') AS user_id
         FROM hits h LEFT JOIN (SELECT * FROM ev WHERE LOWER(event_type) = 'purchase') m ON m.eid = h.id""",
@@ -444,9 +447,9 @@ ORACLES: dict[str, str] = {
     "stream_land": _EV + f"SELECT {_RAW} FROM parsed",
     "stream_clean": _EV + f"SELECT {_CLEAN}, processing_date FROM cleaned",
     "stream_dedup": _EV + "SELECT event_id, user_raw AS user_id FROM ev",
-    "stream_window_counts": _EV + "SELECT * FROM (" + _HOURLY.format(src="ev") + """)
+    "stream_window_counts": _EV + "SELECT * FROM (" + _HOURLY.format(src="folded") + """)
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', MAX(event_ts)) - INTERVAL 10 MINUTE FROM ev)""",
-    "stream_sliding_counts": _EV + ", hourly AS (" + _HOURLY.format(src="ev") + """)
+    "stream_sliding_counts": _EV + ", hourly AS (" + _HOURLY.format(src="folded") + """)
         SELECT window_start - to_hours(i) AS window_start, CAST(SUM(events) AS BIGINT) AS events, CAST(SUM(purchases) AS BIGINT) AS purchases
         FROM hourly, range(3) r(i) GROUP BY 1""",
     "failure_rate_alert": _EV + """, minutes AS (SELECT date_trunc('minute', event_ts) AS m, COUNT(*) FILTER (event_type = 'error') AS failures,

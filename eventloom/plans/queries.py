@@ -57,6 +57,11 @@ def _stg(spark: SparkSession, d: str) -> DataFrame:
     return models.stg_user_events(user_events(spark, d))
 
 
+def _folded(spark: SparkSession, d: str) -> DataFrame:
+    """Events with their types folded, as cleaning leaves them."""
+    return user_events(spark, d).withColumn("event_type", F.lower("event_type"))
+
+
 def _users(spark: SparkSession, d: str) -> DataFrame:
     return models.dim_users(_stg(spark, d))
 
@@ -285,11 +290,11 @@ def row_count(spark, d):
 
 
 def dashboard_overview(spark, d):
-    return stats.overview(user_events(spark, d), TEST_ROLES)
+    return stats.overview(_folded(spark, d), TEST_ROLES)
 
 
 def sales_trend(spark, d):
-    return stats.trend(user_events(spark, d))
+    return stats.trend(_folded(spark, d))
 
 
 def hourly_histogram(spark, d):
@@ -297,7 +302,7 @@ def hourly_histogram(spark, d):
 
 
 def hourly_heatmap(spark, d):
-    return stats.heatmap(user_events(spark, d))
+    return stats.heatmap(_folded(spark, d))
 
 
 def daily_event_count(spark, d):
@@ -309,37 +314,37 @@ def user_activity_rank(spark, d):
 
 
 def event_type_distribution(spark, d):
-    return stats.type_distribution(user_events(spark, d))
+    return stats.type_distribution(_folded(spark, d))
 
 
 def category_share(spark, d):
-    return stats.category_share(user_events(spark, d, category=True))
+    return stats.category_share(user_events(spark, d, category=True).withColumn("event_type", F.lower("event_type")))
 
 
 def funnel(spark, d):
-    return stats.funnel(user_events(spark, d), TEST_ROLES)
+    return stats.funnel(_folded(spark, d), TEST_ROLES)
 
 
 def funnel_union(spark, d):
-    return stats.funnel_union(user_events(spark, d), TEST_ROLES)
+    return stats.funnel_union(_folded(spark, d), TEST_ROLES)
 
 
 def funnel_step_rates(spark, d):
-    return stats.step_rates(stats.funnel(user_events(spark, d), TEST_ROLES))
+    return stats.step_rates(stats.funnel(_folded(spark, d), TEST_ROLES))
 
 
 def filter_agg_device(spark, d):
-    out = stats.filter_agg(user_events(spark, d), F.col("event_type") == "purchase", "device", "value")
+    out = stats.filter_agg(_folded(spark, d), F.col("event_type") == "purchase", "device", "value")
     return out.select("device", F.round("sum_value", 4).alias("sum_value"), F.round("avg_value", 6).alias("avg_value"), "cnt")
 
 
 def agg_type_device(spark, d):
-    out = stats.multi_key_agg(user_events(spark, d), ["event_type", "device"], "value")
+    out = stats.multi_key_agg(_folded(spark, d), ["event_type", "device"], "value")
     return out.withColumn("sum_value", F.round("sum_value", 4))
 
 
 def duration_stats(spark, d):
-    return stats.duration_stats(user_events(spark, d))
+    return stats.duration_stats(_folded(spark, d))
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -567,12 +572,12 @@ def product_text(spark, d):
 
 
 def event_chunks(spark, d):
-    return ft.event_chunks(user_events(spark, d, category=True)).select("event_id", "chunk")
+    return ft.event_chunks(user_events(spark, d, category=True)).select("event_id", "chunk_no", "chunk")
 
 
 def event_chunks_short(spark, d):
-    """Limits tight enough that both the prefix and the ellipsis occur."""
-    return ft.event_chunks(user_events(spark, d, category=True), lo=80, hi=120).select("event_id", "chunk")
+    """Limits tight enough that sentences gain an id or fall into several chunks."""
+    return ft.event_chunks(user_events(spark, d, category=True), lo=80, hi=120).select("event_id", "chunk_no", "chunk")
 
 
 def chunk_length_stats(spark, d):
@@ -611,6 +616,15 @@ def vector_topk_exact(spark, d):
     return _hits(search.topk_exact(_corpus(spark, d), _label_queries(spark, d), 10))
 
 
+def vector_topk_dirty(spark, d):
+    """The exact search with every vector's copies that cannot be scored: not a number, a null, one element short."""
+    corpus = _corpus(spark, d).select("id", "embedding")
+    spoiled = [F.transform("embedding", lambda x: x * float("nan")), F.transform("embedding", lambda x: F.when(x > 0, x)), F.expr("slice(embedding, 1, size(embedding) - 1)")]
+    for i, bad in enumerate(spoiled, 1):
+        corpus = corpus.unionByName(_corpus(spark, d).select((-F.col("id") * 10 - i).alias("id"), bad.alias("embedding")))
+    return _hits(search.topk_exact(corpus, _label_queries(spark, d), 10))
+
+
 def vector_topk_filtered(spark, d):
     return _hits(search.topk_exact(_corpus(spark, d), _label_queries(spark, d), 10, where=F.col("label") < 5))
 
@@ -660,7 +674,7 @@ def vector_search_products(spark, d):
 
 
 def text_embed(spark, d):
-    out = embed.embed_text(se.spread(table(spark, d, "documents").select("doc_id", "text")), "text")
+    out = embed.embed_text(table(spark, d, "documents").select("doc_id", "text"), "text")
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(fv.inner_product("embedding", "embedding"), 4).alias("norm"))
 
 
@@ -719,6 +733,12 @@ def query_intent(spark, d):
     )
 
 
+def kb_build_doubled(spark, d):
+    """A knowledge base of events that all occur twice holds each once."""
+    ev = user_events(spark, d, category=True)
+    return retrieval.kb_rows(ev.unionByName(ev)).select("event_id", "event_type", "chunk")
+
+
 def kb_build(spark, d):
     kb = retrieval.build_knowledge_base(user_events(spark, d, category=True), scratch_path(spark, "kb"))
     return kb.entries.select(
@@ -745,10 +765,10 @@ def rag_text_hit_rate(spark, d):
 
 def hit_metadata(spark, d):
     """Metadata from another table: hits on anything but a purchase have none and get defaults."""
-    hits, most = search.exact_hits(_corpus(spark, d), _label_queries(spark, d), 10)
+    hits = search.topk_exact(_corpus(spark, d), _label_queries(spark, d), 10)
     bought = user_events(spark, d).filter(F.lower("event_type") == "purchase")
     meta = bought.select(F.col("event_no").alias("id"), "event_type", "user_id")
-    return search.attach_metadata(hits, meta, {"event_type": "?", "user_id": "?"}, most).select("query_id", "id", "rank", "event_type", "user_id")
+    return search.attach_metadata(hits, meta, {"event_type": "?", "user_id": "?"}).select("query_id", "id", "rank", "event_type", "user_id")
 
 
 # --- streaming -------------------------------------------------------------------------------
@@ -788,14 +808,14 @@ def stream_dedup(spark, d):
 
 def stream_window_counts(spark, d):
     """Hourly counts of the closed windows: an open window is not emitted in append mode."""
-    counts = sj.window_counts(_event_stream(spark, d), "1 hour", watermark="10 minutes")
+    counts = sj.window_counts(_event_stream(spark, d).withColumn("event_type", F.lower("event_type")), "1 hour", watermark="10 minutes")
     landed = spark.read.parquet(_finish(spark, counts, "windows"))
     return _edge(landed.select("window_start", "events", "purchases"))
 
 
 def stream_sliding_counts(spark, d):
     """The sliding-window counts of the live monitor, over the whole table as a batch."""
-    return _edge(sj.window_counts(user_events(spark, d), "3 hours", "1 hour").select("window_start", "events", "purchases"))
+    return _edge(sj.window_counts(_folded(spark, d), "3 hours", "1 hour").select("window_start", "events", "purchases"))
 
 
 def failure_rate_alert(spark, d):
@@ -879,9 +899,9 @@ QUERIES: dict[str, Query] = {
         feature_summary, on_demand_udf, training_frame, training_split,
         segment_model_metrics, segment_model_report, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
-        vector_normalize, vector_topk_exact, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall,
+        vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall,
         vector_search_events, vector_search_products, text_embed,
-        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build, rag_text_hit_rate, hit_metadata,
+        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_window_counts, stream_sliding_counts,
         failure_rate_alert, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,

@@ -70,18 +70,19 @@ def read_parquet_tree(
     nan_to_null: bool = True,
     missing_words: Sequence[str] = (),
     merge_schema: bool = True,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
     """Every Parquet file below ``path`` as one table.
 
-    Unreadable files are skipped, schemas are merged (which reads every footer; switch it off for
-    many files of one schema), column names are lower-cased and NaN
-    becomes null. Folder names are not read as partition columns.
+    Schemas are merged (which reads every footer; switch it off for many files of one schema), column names are
+    lower-cased and NaN becomes null. Folder names are not read as partition columns. An unreadable file is an error;
+    with ``skip_corrupt`` such files are left out, and ``unreadable_files`` lists them.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = (
         spark.read.option("recursiveFileLookup", "true")
         .option("mergeSchema", merge_schema)
-        .option("ignoreCorruptFiles", "true")
+        .option("ignoreCorruptFiles", skip_corrupt)
         .option("pathGlobFilter", "*.parquet")
         .parquet(*paths)
     )
@@ -96,14 +97,12 @@ def read_parquet_tree(
     return df.select(*columns)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has cores.
-
-    For costly per-row work on a few large files. A scan with enough splits, the normal case on a
-    cluster, is returned as it is. Meant for plain scans, whose split count is known from planning.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` of every Parquet file below a folder that holds no Parquet data: its first and last 4 bytes tell."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    mark = F.lit(b"PAR1")
+    ends = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
+    return files.filter((F.col("length") < 12) | ~ends).select("path")
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

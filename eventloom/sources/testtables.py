@@ -7,7 +7,7 @@ folding, bad timestamps and both duration bounds all occur.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom.schema import EventRoles
 from eventloom.session import use_utc
@@ -74,9 +74,7 @@ def user_events(spark: SparkSession, sf_dir: str, category: bool = False) -> Dat
     """
     ev = shape_events(table(spark, sf_dir, "events"))
     if category:
-        # Only k < 70 names a product, so no other part can match: the build side is 70 rows.
-        part = table(spark, sf_dir, "part").filter("p_partkey < 70").selectExpr(
-            "cast(p_partkey as int) as k", "p_type as product_category"
-        )
-        ev = ev.join(part, "k", "left")
+        part = table(spark, sf_dir, "part").selectExpr("cast(p_partkey as int) as k", "p_type")
+        named = F.when(F.col("k") < 70, F.col("p_type")).alias("product_category")
+        ev = ev.join(part, "k", "left").select(*ev.columns, named)
     return ev

@@ -14,10 +14,15 @@ def _in_folder(path: str | None) -> str:
     return f"LOCATION '{path}'" if path else ""
 
 
+def _create_database(spark: SparkSession, table: str, path: str | None) -> None:
+    """The table's database, beside the table's own folder if it has one."""
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]} {_in_folder(path and path + '.db')}")
+
+
 def create_raw_table(spark: SparkSession, table: str = "raw.user_events", path: str | None = None) -> None:
     """Create the database and the source table unless they exist."""
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    _create_database(spark, table, path)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({USER_EVENTS_DDL}) USING parquet {_in_folder(path)}")
 
 
@@ -64,8 +69,7 @@ def migrate_table(
     ordered = plain + [df.schema[c] for c in by]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
     parts = ", ".join(f"`{c}`" for c in by)
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    _create_database(spark, table, path)
     partitioned = f"PARTITIONED BY ({parts})" if by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} {partitioned} {_in_folder(path)}")
     return append_rows(df, table, by)
@@ -91,24 +95,17 @@ def high_water_mark(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def availability(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> DataFrame:
-    """Row count and availability per table; a missing table reports its error."""
-    out = None
-    for name, source in tables.items():
-        if isinstance(source, str) and not spark.catalog.tableExists(source):
-            row = spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("row_count"),
-                F.lit(False).alias("available"), F.lit(f"table {source} not found").alias("error"),
-            )
-        else:
-            df = spark.table(source) if isinstance(source, str) else source
-            row = df.agg(F.count("*").alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count",
-                (F.col("row_count") > 0).alias("available"), F.lit(None).cast("string").alias("error"),
-            )
-        out = row if out is None else out.unionByName(row)
-    if out is None:
+    """Row count and availability per table. Tables are counted now; whatever stops a read is reported as its error."""
+    if not tables:
         raise ValueError("no tables given")
-    return out
+    rows = []
+    for name, source in tables.items():
+        try:
+            count = (spark.table(source) if isinstance(source, str) else source).count()
+            rows.append((name, count, count > 0, None))
+        except Exception as error:  # a report of what cannot be read, whatever the reason
+            rows.append((name, 0, False, str(error).strip().splitlines()[0]))
+    return spark.createDataFrame(rows, "table_name string, row_count long, available boolean, error string")
 
 
 def table_schema(spark: SparkSession, source: str | DataFrame) -> DataFrame:

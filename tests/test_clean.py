@@ -140,7 +140,10 @@ def test_parquet_tree_skips_unreadable_files(spark, tmp_path):
     df = spark.createDataFrame([(1, float("nan"), "unknown"), (2, 1.0, "x")], "ID int, Val double, Tag string")
     df.write.parquet(str(tmp_path / "t/a/b"))
     (tmp_path / "t/broken.parquet").write_bytes(b"not parquet at all")
-    got = se.read_parquet_tree(spark, str(tmp_path / "t"), missing_words=("unknown",))
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        se.read_parquet_tree(spark, str(tmp_path / "t")).collect()
+    got = se.read_parquet_tree(spark, str(tmp_path / "t"), missing_words=("unknown",), skip_corrupt=True)
+    assert [r["path"].rsplit("/", 1)[-1] for r in se.unreadable_files(spark, str(tmp_path / "t")).collect()] == ["broken.parquet"]
     assert got.columns == ["id", "val", "tag"]
     assert sorted(map(tuple, got.collect())) == [(1, None, None), (2, 1.0, "x")]
 
@@ -247,11 +250,3 @@ def test_table_schema_and_limit(spark):
     assert got == [("id", "bigint"), ("s", "string")]
     assert [r["id"] for r in warehouse.read_table(spark, "nine", 3, ("id",)).collect()] == [0, 1, 2]
     assert warehouse.read_table(spark, "nine").count() == 9
-
-
-def test_spread_only_when_splits_are_few(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    scan = spark.read.parquet(str(tmp_path / "one"))
-    assert se.spread(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(64)
-    assert se.spread(wide) is wide

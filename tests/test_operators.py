@@ -78,14 +78,11 @@ def test_default_roles_of_the_funnel_and_overview(spark):
     assert [(r["pct_of_first"], r["pct_of_previous"]) for r in rates] == [(100.0, None), (50.0, 50.0), (25.0, 50.0)]
 
 
-def test_product_rank_small_and_large(spark, monkeypatch):
+def test_product_rank(spark):
     dim = spark.createDataFrame([(f"P{i}", 100 - i, i, 1.26) for i in range(6)], "product_id string, total_views long, total_purchases long, conversion_rate_pct double")
     ev = spark.createDataFrame([("P0", "b"), ("P0", "a"), ("P1", None), ("P5", "z")], "product_id string, product_category string")
     want = [("P0", "a", 1.3), ("P1", "unknown", 1.3), ("P2", "unknown", 1.3)]
-    for limits in ((10_000, 200), (10_000, 1), (1, 1)):
-        monkeypatch.setattr(stats, "BROADCAST_ROW_LIMIT", limits[0])
-        monkeypatch.setattr(stats, "IN_LIST_LIMIT", limits[1])
-        assert [(r["product_id"], r["category"], r["conversion_rate"]) for r in stats.product_rank(dim, ev, 3).collect()] == want
+    assert [(r["product_id"], r["category"], r["conversion_rate"]) for r in stats.product_rank(dim, ev, 3).collect()] == want
     assert stats.product_rank(dim.limit(0), ev, 3).count() == 0
 
 
@@ -200,8 +197,7 @@ def test_latest_and_materialize(spark, tmp_path):
     assert features.lookup(online, "k", online.filter("k = 'a'")).count() == 1
 
 
-def test_long_id_lists_become_a_semi_join(spark, monkeypatch):
-    monkeypatch.setattr(features, "BROADCAST_ROW_LIMIT", 2)
+def test_id_lists(spark):
     df = spark.range(10)
     assert features.lookup(df, "id", [1, 2, 3, 42]).count() == 3
 

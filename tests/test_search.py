@@ -35,18 +35,26 @@ def small(spark):
     return cv, corpus.repartition(5), qv, queries.withColumnRenamed("id", "query_id")
 
 
-def test_scan_in_place(small):
+def test_one_block(small):
     cv, corpus, qv, queries = small
-    plan_df = search.topk_exact(corpus, queries, 7)
-    assert _got(plan_df) == _brute(cv, qv, 7)
-    assert "Join" not in plan_df._jdf.queryExecution().executedPlan().toString()
+    assert _got(search.topk_exact(corpus, queries, 7)) == _brute(cv, qv, 7)
+
+
+def test_bad_vectors_take_no_part(spark, small):
+    cv, corpus, qv, queries = small
+    bad = [(1000, [float("nan")] * 8), (1001, [float("inf")] + [1.0] * 7), (1002, [9.0] * 7), (1003, [9.0] * 9), (1004, []), (1005, None), (1006, [None] + [9.0] * 7)]
+    mixed = corpus.unionByName(spark.createDataFrame(bad, "id long, embedding array<float>"))
+    asked = queries.unionByName(spark.createDataFrame(bad[:2] + bad[4:], "query_id long, embedding array<float>"))
+    assert _got(search.topk_exact(mixed, asked, 7)) == _brute(cv, qv, 7)
+    other = spark.createDataFrame([(5, [1.0] * 9)], "query_id long, embedding array<float>")
+    assert _got(search.topk_exact(mixed, other, 7)) == {5: [1003]}
 
 
 def test_grid_of_blocks(small, monkeypatch):
     cv, corpus, qv, queries = small
-    monkeypatch.setattr(search, "QUERY_ROW_LIMIT", 10)
-    monkeypatch.setattr(search, "CORPUS_BLOCK_ROWS", 70)
-    monkeypatch.setattr(search, "QUERY_BLOCK_ROWS", 6)
+    monkeypatch.setattr(search, "CORPUS_BLOCK_BYTES", 70 * 64)
+    monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 6 * 64)
+    monkeypatch.setattr(search, "QUERY_SLICE", 4)
     assert _got(search.topk_exact(corpus, queries, 7)) == _brute(cv, qv, 7)
 
 
@@ -56,12 +64,10 @@ def test_fewer_rows_than_k(small):
     assert all(len(h) == 4 for h in got.values())
 
 
-@pytest.mark.parametrize("limit", [search.QUERY_BYTES_LIMIT, 1])
-def test_pruned_search_both_ways(spark, small, tmp_path, monkeypatch, limit):
+def test_pruned_search(spark, small, tmp_path, monkeypatch):
     cv, corpus, qv, queries = small
-    monkeypatch.setattr(search, "CORPUS_BLOCK_ROWS", 70)
-    monkeypatch.setattr(search, "QUERY_BLOCK_ROWS", 6)
-    monkeypatch.setattr(search, "QUERY_BYTES_LIMIT", limit)
+    monkeypatch.setattr(search, "CORPUS_BLOCK_BYTES", 70 * 64)
+    monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 6 * 64)
     built = search.build_ivf(corpus, str(tmp_path / "ivf"), nlist=8)
     index = search.ClusterIndex.open(spark, str(tmp_path / "ivf"))
     assert np.allclose(built.centers, index.centers)
@@ -87,7 +93,7 @@ def test_pruned_search_reads_only_probed_clusters(spark, small, tmp_path):
 
 
 def test_index_size_rule():
-    assert [search.nlist_for(n) for n in (5, 100, 550, 10**9)] == [1, 1, 5, 128]
+    assert [search.nlist_for(n) for n in (5, 100, 550, 10**9)] == [2, 10, 23, 31623]
 
 
 def test_vector_expressions(spark):
@@ -130,8 +136,12 @@ def test_text_builders(spark):
     c, d = event_chunks(row, lo=60).orderBy("event_id").collect()
     assert c["chunk"] == "Event e1: User ? performed ?"
     assert d["chunk"] == "User U1 performed view on product P1 (category: toys) from google on page home via mobile Chrome duration 5ms"
-    cut = event_chunks(row, hi=30).orderBy("event_id").collect()[1]["chunk"]
-    assert len(cut) == 30 and cut.endswith("...")
+    cut = [r["chunk"] for r in event_chunks(row, hi=30).filter("event_id = 'e2'").orderBy("chunk_no").collect()]
+    assert " ".join(cut) == d["chunk"] and max(map(len, cut)) <= 30 and len(cut) > 3
+    long = row.withColumn("page", F.lit("x" * 70)).filter("event_id = 'e2'")
+    cut = [r["chunk"] for r in event_chunks(long, hi=30).orderBy("chunk_no").collect()]
+    assert "".join(cut).count("x") == 70 and max(map(len, cut)) <= 30
+    assert event_text(long.withColumn("page", F.lit("y" * 3000))).first()["text_content"].count("y") == 3000
     p = spark.createDataFrame([("P1", 0, 2, 12.5), ("P2", 3, 0, None)], "product_id string, total_views long, total_purchases long, conversion_rate_pct double")
     assert [r["text_content"] for r in product_text(p).orderBy("product_id").collect()] == ["商品ID: P1，购买次数: 2，转化率: 12.5%", "商品ID: P2，浏览次数: 3"]
 
