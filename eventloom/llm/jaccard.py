@@ -25,6 +25,17 @@ FILTER_BITS = 1 << 25
 _PAGE = 32_768
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """The low 48 bits of each token, for shipping sets: two different tokens agree in them once in 2.8e14."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return np.sort(out.view("<u8").reshape(-1))
+
+
 def _keys(tokens: np.ndarray) -> tuple[int, int]:
     """Two 64-bit keys of a set."""
     a, b = mixed(tokens + np.uint64(11)), mixed(tokens + np.uint64(29))
@@ -100,21 +111,21 @@ def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
             fresh = {ka: x for ka, x in found if ka not in seen}
             seen.update(fresh)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fresh.keys(), pa.int64()), pa.array([x.tobytes() for x in fresh.values()], pa.binary())], ["ka", "tokens"]
+                [pa.array(fresh.keys(), pa.int64()), pa.array([_packed(x) for x in fresh.values()], pa.binary())], ["ka", "tokens"]
             )
 
     return docs.withColumn("s", slot).mapInArrow(run, "ka long, tokens binary")
 
 
 def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` between classes that ask (``q, g``) and the members (``g, s``) of the groups asked.
+    """Links ``a, b`` between classes that ask (``q, g, root``) and the members (``g, s, root``) of the groups asked.
 
-    A group has a bounded number of members; its askers are cut into chunks of about ``ASK_SIZE``.
+    Classes of the same ``root`` are known to be connected and not linked again. A group has a bounded number of members; its askers are cut into chunks of about ``ASK_SIZE``.
     """
     chunks = ask.groupBy("g").agg(F.ceil(F.count("*") / ASK_SIZE).cast("int").alias("k"))
-    asking = ask.join(chunks, "g").select(F.col("q").alias("ka"), "g", F.pmod(F.xxhash64("q"), F.col("k")).cast("int").alias("c"), F.lit(True).alias("asks"))
+    asking = ask.join(chunks, "g").select(F.col("q").alias("ka"), "g", "root", F.pmod(F.xxhash64("q"), F.col("k")).cast("int").alias("c"), F.lit(True).alias("asks"))
     members = member.join(chunks, "g").select(
-        F.col("s").alias("ka"), "g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("c"), F.lit(False).alias("asks")
+        F.col("s").alias("ka"), "g", "root", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("c"), F.lit(False).alias("asks")
     )
     roles = stored(asking.unionByName(members), "roles")
     sets = _fetched(docs, classes, roles.select("ka"), width)
@@ -124,15 +135,15 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
         asks = rows["asks"].to_numpy(bool)
         askers, group = rows[asks], rows[~asks]
         if len(askers) and len(group):
-            sets_of = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
+            sets_of = [_unpacked(x) for x in group["tokens"]]
             sizes = np.array([len(x) for x in sets_of])
             owner = np.repeat(np.arange(len(sets_of)), sizes)
             tokens = np.concatenate(sets_of)
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], owner[order]
-            names = group["ka"].to_numpy()
-            for q, raw in zip(askers["ka"], askers["tokens"]):
-                x = np.frombuffer(raw, np.uint64)
+            names, roots = group["ka"].to_numpy(), group["root"].to_numpy()
+            for q, root, raw in zip(askers["ka"], askers["root"], askers["tokens"]):
+                x = _unpacked(raw)
                 lo = np.searchsorted(tokens, x, "left")
                 runs = np.searchsorted(tokens, x, "right") - lo
                 # The group's token union bounds what any member can share.
@@ -140,8 +151,8 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
                     continue
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
                 shared = np.bincount(owner[at], minlength=len(sizes))
-                linked = 100 * shared >= percent * (len(x) + sizes - shared)
-                out += [(q, s) for s in names[linked] if s != q]
+                linked = (100 * shared >= percent * (len(x) + sizes - shared)) & (roots != root)
+                out += [(q, s) for s in names[linked]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return sets.join(roles, "ka").groupBy("g", "c").applyInPandas(compare, "a long, b long")
@@ -242,9 +253,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     1. Documents with equal sets are one class; the work goes on with classes.
     2. Classes that share smallest tokens under two of 8 orders with the first class that has them are compared with it. Links found give
        clusters of similar documents, however many copies there are.
-    3. Every link left runs between clusters. Its ends share a prefix token; tokens of a single cluster fall away. Of
-       the others, a class asks the groups (at most about 128 classes of a larger cluster) that have one of its tokens.
-    4. Of those, it asks groups that share enough prefix tokens for their sizes. A group is opened if its token union holds enough of the asking set; all its members are then checked.
+    3. Every link left runs between clusters, and its ends share a prefix token; tokens of a single cluster fall away.
+       Classes with the same frequent smallest token form groups of at most about 128. For each token the matrix says
+       in which groups it stands; a class asks groups that share enough of its prefix tokens for their sizes.
+    4. A group is opened if its token union holds enough of the asking set; its members are then checked.
 
     Null and empty texts, and texts of white space, have no set and link with nothing. Repeated rows give a row each.
     A null id stays null, and is nobody's component_id unless no member has an id. No rows give no rows. Other columns
@@ -260,33 +272,36 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     firsts = marks.groupBy("i", "key").agg(F.min(F.struct("ka", "n")).alias("h"), F.count("*").alias("m")).filter("m > 1")
     near = marks.join(firsts, ["i", "key"]).filter("ka <> h.ka").filter(f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)")
     near = near.groupBy(F.col("h.ka").alias("q"), F.col("ka").alias("s")).count().filter(F.col("count") >= 2).select("q", "s")
-    near = stored(near, "near")
     member = stored(_blocks(near, "q", "s"), "members")
-    found = stored(_opened(docs, classes, member.select("q", "g").distinct(), member.select("g", "s"), width, percent), "links")
-    clusters = components(found)
+    found = _opened(docs, classes, member.select("q", "g", F.col("q").alias("root")).distinct(), member.select("g", "s", F.col("s").alias("root")), width, percent)
+    clusters = components(stored(found, "links"))
 
-    sizes = classes.join(clusters.withColumnRenamed("node", "ka"), "ka", "left").select("ka", "n", F.coalesce("root", "ka").alias("root"))
-    weights = sizes.groupBy("root").agg(F.count("*").alias("m"))
-    placed = stored(_blocks(sizes, "root", "ka").join(weights, "root"), "placed")
+    # A class belongs to the group of its most frequent smallest token.
+    full = marks.join(firsts.select("i", "key", "m"), ["i", "key"]).groupBy("ka").agg(F.max(F.struct("m", "i", "key")).alias("t"))
+    sizes = classes.select("ka", "n").join(clusters.withColumnRenamed("node", "ka"), "ka", "left").join(full, "ka", "left").select(
+        "ka", "n", F.coalesce("root", "ka").alias("root"), F.coalesce(F.xxhash64("t.i", "t.key"), "ka").alias("bucket")
+    )
+    placed = stored(_blocks(sizes, "bucket", "ka"), "placed")
     total = classes.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0] or 0
     buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // BUCKET_TOKENS))
     shared = stored(_shared_tokens(docs, _common_tokens(profiles), buckets, width, percent), "shared")
     rows = shared.join(placed, "ka")
     several = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
     rows = stored(rows.join(several, "token", "left_semi"), "matrix")
-    matrix = rows.groupBy("token", "g", "root", "m").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    matrix = rows.groupBy("token", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("x"), F.max("root").alias("y"))
     r, t = rows.alias("r"), matrix.alias("t")
-    apart = "struct(r.m, r.root) < struct(t.m, t.root)"
+    # Each pair of groups is asked once, from one side; a class asks its own group for other clusters in it.
+    apart = "r.g <= t.g and (t.x <> r.root or t.y <> r.root)"
     fits = f"100 * r.n <= {100 * 100} * t.hi / {percent} and 100 * t.lo <= {100 * 100} * r.n / {percent}"
     pairs = r.join(t, F.expr(f"r.token = t.token and {apart} and {fits}"))
     ask = pairs.groupBy(F.col("r.ka").alias("q"), F.col("t.g").alias("g")).agg(
-        F.count("*").alias("overlap"), F.first("r.n").alias("n"), F.min("t.lo").alias("lo"), F.max("t.hi").alias("hi")
+        F.count("*").alias("overlap"), F.first("r.n").alias("n"), F.first("r.root").alias("root"), F.min("t.lo").alias("lo"), F.max("t.hi").alias("hi")
     )
     least = F.least(_least_shared("greatest(lo, " + _up(f"{percent} * n", "100") + ")", percent), _least_shared(f"least(hi, (100 * n) div {percent})", percent))
     ask = ask.filter(F.col("overlap") >= least)
-    ask = stored(ask.select("q", "g"), "ask")
-    asked = placed.join(ask.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"))
-    more = _opened(docs, classes, ask, stored(asked, "asked"), width, percent)
+    ask = stored(ask.select("q", "g", "root"), "ask")
+    asked = placed.join(ask.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"), "root")
+    more = _opened(docs, classes, ask, asked, width, percent)
     roots = placed.select("ka", "root")
     bridges = more.join(roots.withColumnRenamed("ka", "a").withColumnRenamed("root", "x"), "a").join(
         roots.withColumnRenamed("ka", "b").withColumnRenamed("root", "y"), "b"
