@@ -3,7 +3,7 @@
 Ids are cut into blocks that are coded independently, each from a fresh model, and carry the crc32 of their ids. Per id,
 the first symbol says which prediction holds: that of order 2 (the id that last followed the two before it), that of
 order 1 (the one before it), or neither; its odds adapt to how the predictions agree. An id that neither predicts is
-spelled in 4-bit digits by adaptive order-0 odds, which learn every id. All blocks of a chunk advance together, one id
+spelled in 4-bit digits by adaptive order-0 odds. All blocks of a chunk advance together, one id
 at a time, so each step is a few array operations over all of them.
 
 Chunk layout, little-endian: ``<4I`` ids, ids per block, digits, blocks; then per block ``<2I`` 16-bit words and crc32;
@@ -27,14 +27,31 @@ _MASK = _U((1 << 48) - 1)
 
 
 def _odds(symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Even cumulative odds, and what they move towards after each symbol (no symbol ever gets less than 1)."""
-    even = (np.arange(symbols + 1) * _TOTAL // symbols).astype(np.int16)
-    place, s = np.arange(symbols + 1), np.arange(symbols)[:, None]
+    """Even cumulative odds up to each symbol's end, and what they move towards after each symbol.
+
+    No symbol ever gets less than 1.
+    """
+    place, s = np.arange(1, symbols + 1), np.arange(symbols)[:, None]
+    even = (place * _TOTAL // symbols).astype(np.int16)
     return even, np.where(place <= s, place * _FLOOR, _TOTAL - (symbols - place) * _FLOOR).astype(np.int16)
 
 
 _FLAG, _FLAG_AIM = _odds(3)
 _DIGIT, _DIGIT_AIM = _odds(16)
+_ONES, _TOP_BYTE = _U(0x0101010101010101), _U(56)
+
+
+def _ends(rows: np.ndarray, place: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of each row's symbol; ``place`` is where its end stands in the flat rows."""
+    start = rows.take(place - 1)
+    start *= symbol != 0
+    return start, rows.take(place) - start
+
+
+def _below(rows: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """How many of each row's 16 ends do not pass its goal: eight comparisons are summed in one multiplication."""
+    hits = (rows <= goal[:, None]).view(_U)
+    return (((hits[:, 0] + hits[:, 1]) * _ONES) >> _TOP_BYTE).astype(np.int64)
 
 
 class _Model:
@@ -68,7 +85,8 @@ class _Model:
         step -= rows
         step >>= self.rate
         step += rows
-        table[index] = step
+        row = np.dtype((np.void, table.shape[1] * 2))  # a whole row as one item
+        np.put(table.view(row), index, step.view(row))
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -82,25 +100,25 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     padded[:n] = ids
     columns = np.ascontiguousarray(padded.reshape(lanes, block).T)
     model, lane = _Model(lanes, digits), np.arange(lanes)
-    lane4, lane17 = lane * 4, lane * 17
+    lane3, lane16 = lane * 3, lane * 16
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 48) - 1, _U)
     width = block + 64
     out, at = np.zeros((lanes, width), np.uint32), np.zeros(lanes, np.int64)
 
-    def put(start: np.ndarray, size: np.ndarray) -> None:
-        nonlocal low, span
+    def put(low: np.ndarray, span: np.ndarray, start: np.ndarray, size: np.ndarray, who: np.ndarray) -> None:
+        """Narrow the intervals of the blocks ``who`` in place; words that are settled go out."""
         span >>= _U(_BITS)
         low += span * start.astype(_U)
         span *= size.astype(_U)
-        if low.max() > _MASK:
-            carry = np.flatnonzero(low > _MASK)
+        if low.max(initial=_U(0)) > _MASK:
+            carry = who[low > _MASK]
             out[carry, at[carry] - 1] += np.uint32(1)
             low &= _MASK
         short = np.flatnonzero(span < _U(1 << 32))
         if len(short):
-            x = low[short]
-            out[short, at[short]] = x >> _U(32)
-            at[short] += 1
+            x, place = low[short], who[short]
+            out[place, at[place]] = x >> _U(32)
+            at[place] += 1
             low[short] = (x << _U(16)) & _MASK
             span[short] <<= _U(16)
 
@@ -111,25 +129,18 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         model.predict()
         flag = np.where(model.p2 == x + 1, 0, np.where(model.p1 == x + 1, 1, 2))
         rows = model.flags.take(model.context, 0)
-        at_flag = lane4 + flag
-        start = rows.take(at_flag)
-        put(start, rows.take(at_flag + 1) - start)
+        put(low, span, *_ends(rows, lane3 + flag, flag), lane)
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
-        told, before = flag < 2, 0
-        spelled = (~told).astype(np.int16)
+        spelled = np.flatnonzero(flag == 2)
+        l, s, y, before = low[spelled], span[spelled], x[spelled], 0
         for d in range(digits):
-            table, digit = model.digits[d], (x >> (4 * (digits - 1 - d))) & 15
-            index = lane * 16 + before if d else lane
+            table, digit = model.digits[d], (y >> (4 * (digits - 1 - d))) & 15
+            index = spelled * 16 + before if d else spelled
             rows = table.take(index, 0)
-            at_digit = lane17 + digit
-            start = rows.take(at_digit)
-            size = rows.take(at_digit + 1)
-            size -= start
-            start *= spelled
-            np.copyto(size, _TOTAL, where=told)
-            put(start, size)
+            put(l, s, *_ends(rows, lane16[: len(y)] + digit, digit), spelled)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
             before = digit
+        low[spelled], span[spelled] = l, s
         model.learn(x)
     for shift in (32, 16, 0):
         if at.max() + 1 > width:
@@ -157,20 +168,20 @@ def decode(chunk: bytes) -> np.ndarray:
     sizes = heads[:, 0].astype(np.int64)
     at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     model, lane = _Model(lanes, digits), np.arange(lanes)
-    lane4, lane17 = lane * 4, lane * 17
+    lane3, lane16 = lane * 3, lane * 16
     code = (words[at] << _U(32)) | (words[at + 1] << _U(16)) | words[at + 2]
     at = at + 3
     span = np.full(lanes, (1 << 48) - 1, _U)
     top = len(words) - 1
 
-    def take(start: np.ndarray, size: np.ndarray, part: np.ndarray) -> None:
-        nonlocal code, span
+    def take(code: np.ndarray, span: np.ndarray, start: np.ndarray, size: np.ndarray, part: np.ndarray, who: np.ndarray) -> None:
         code -= part * start.astype(_U)
         np.multiply(part, size.astype(_U), out=span)
         short = np.flatnonzero(span < _U(1 << 32))
         if len(short):
-            code[short] = (code[short] << _U(16)) | words[np.minimum(at[short], top)]
-            at[short] += 1
+            place = who[short]
+            code[short] = (code[short] << _U(16)) | words[np.minimum(at[place], top)]
+            at[place] += 1
             span[short] <<= _U(16)
 
     out = np.zeros((block, lanes), np.int64)
@@ -179,33 +190,24 @@ def decode(chunk: bytes) -> np.ndarray:
         rows = model.flags.take(model.context, 0)
         part = span >> _U(_BITS)
         goal = np.minimum(code // part, _U(_TOTAL - 1)).astype(np.int16)
-        flag = (goal >= rows[:, 1]).astype(np.int64) + (goal >= rows[:, 2])
-        at_flag = lane4 + flag
-        start = rows.take(at_flag)
-        take(start, rows.take(at_flag + 1) - start, part)
+        flag = (goal >= rows[:, 0]).astype(np.int64) + (goal >= rows[:, 1])
+        take(code, span, *_ends(rows, lane3 + flag, flag), part, lane)
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
-        told, before = flag < 2, 0
-        spelled = (~told).astype(np.int16)
-        known = np.where(flag == 0, model.p2, model.p1).astype(np.int64) - 1
-        x = np.zeros(lanes, np.int64)
+        x = np.where(flag == 0, model.p2, model.p1).astype(np.int64) - 1
+        spelled = np.flatnonzero(flag == 2)
+        c, s, y, before = code[spelled], span[spelled], np.zeros(len(spelled), np.int64), 0
         for d in range(digits):
             table = model.digits[d]
-            index = lane * 16 + before if d else lane
+            index = spelled * 16 + before if d else spelled
             rows = table.take(index, 0)
-            part = span >> _U(_BITS)
-            goal = np.minimum(code // part, _U(_TOTAL - 1)).astype(np.int16)
-            digit = np.count_nonzero(rows[:, 1:16] <= goal[:, None], axis=1)
-            digit = np.where(told, (known >> (4 * (digits - 1 - d))) & 15, digit)
-            at_digit = lane17 + digit
-            start = rows.take(at_digit)
-            size = rows.take(at_digit + 1)
-            size -= start
-            start *= spelled
-            np.copyto(size, _TOTAL, where=told)
-            take(start, size, part)
+            part = s >> _U(_BITS)
+            goal = np.minimum(c // part, _U(_TOTAL - 1)).astype(np.int16)
+            digit = _below(rows, goal)
+            take(c, s, *_ends(rows, lane16[: len(y)] + digit, digit), part, spelled)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
-            x = x * 16 + digit
+            y = y * 16 + digit
             before = digit
+        code[spelled], span[spelled], x[spelled] = c, s, y
         model.learn(x)
         out[step] = x
     ids = np.ascontiguousarray(out.T).reshape(-1)[:n].astype("<u4")
