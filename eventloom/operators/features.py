@@ -160,8 +160,9 @@ def point_in_time(
     facts = view.source.filter(F.col(ts).isNotNull() & F.col(entity).isNotNull()).select(
         F.col(entity).alias("_e"), bucket(ts).alias("_b"), F.struct(*fields).alias("_f")
     )
-    # Spine rows without a key or a time match nothing; they pass through with null features.
-    asked = spine.select(
+    # Spine rows without a key or a time match nothing: they stay out of the shuffles and come back with null features.
+    known = F.col(entity).isNotNull() & F.col(as_of).isNotNull()
+    asked = spine.filter(known).select(
         F.col(entity).alias("_e"), bucket(as_of).alias("_b"), F.col(as_of).alias("_t"), F.struct("*").alias("_s")
     )
     closing = facts.groupBy("_e", "_b").agg(F.max("_f").alias("_last"))
@@ -189,7 +190,7 @@ def point_in_time(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = both.withColumn("_hit", F.last("_f", ignorenulls=True).over(upto)).filter("_k = 1")
-    usable = F.col("_e").isNotNull() & F.col("_t").isNotNull()
+    usable = F.lit(True)
     if view.ttl_seconds is not None:
         age = F.unix_micros(F.col("_t").cast("timestamp")) - F.unix_micros(F.col("_hit._fts").cast("timestamp"))
         usable = usable & (age <= view.ttl_seconds * 1_000_000)
@@ -197,7 +198,9 @@ def point_in_time(
     spine_columns = [F.col(f"_s.{c}").alias(c) for c in spine.columns]
     taken = [hit.getField("_fts").alias(f"{view.name}_ts")]
     taken += [hit.getField(c).alias(f"{view.name}_{c}" if c in spine.columns else c) for c in view.columns]
-    return found.select(*spine_columns, *taken)
+    out = found.select(*spine_columns, *taken)
+    features = [F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields[len(spine_columns) :]]
+    return out.unionByName(spine.filter(~known).select(*spine.columns, *features))
 
 
 def historical(spine: DataFrame, views: Sequence[FeatureView], as_of: str) -> DataFrame:

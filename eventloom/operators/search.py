@@ -189,17 +189,21 @@ def nlist_for(n: int, most: int | None = None) -> int:
 
 
 def build_ivf(
-    corpus: DataFrame, path: str, nlist: int | None = None, seed: int = 42, max_iter: int = 10, stored: bool = False
+    corpus: DataFrame, path: str, nlist: int | None = None, seed: int = 42, max_iter: int = 10, stored: bool = False,
+    centers: np.ndarray | None = None,
 ) -> ClusterIndex:
     """Cluster the corpus and store it partitioned by cluster.
 
     A search then reads only the probed clusters' folders. Writing is rebalanced by cluster, and
     AQE splits a cluster that holds much of the corpus into several tasks and files. Clustering
     reads the corpus once per iteration, so it is written out first unless it is already
-    ``stored``: vectors that an encoder computes must not be computed again each time.
+    ``stored``: vectors that an encoder computes must not be computed again each time. Given ``centers`` are taken as
+    they are.
     """
     spark = corpus.sparkSession
     rows = _corpus(corpus, None)
+    if centers is not None:
+        return _store_index(_assigned(rows, centers), centers, path)
     if not stored:
         write_vectors(rows, f"{path}/staged")
         rows = spark.read.parquet(f"{path}/staged")
@@ -207,12 +211,24 @@ def build_ivf(
         nlist = nlist_for(rows.count())
     features = rows.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
     model = KMeans(k=max(nlist, 2), seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol="cluster").fit(features)
-    (
-        model.transform(features).drop("_v").hint("rebalance", "cluster")
-        .write.mode("overwrite").partitionBy("cluster").parquet(f"{path}/vectors")
-    )
-    centers = np.array(model.clusterCenters())
-    stored = spark.createDataFrame(
+    return _store_index(model.transform(features).drop("_v"), np.array(model.clusterCenters()), path)
+
+
+def _assigned(rows: DataFrame, centers: np.ndarray) -> DataFrame:
+    """``id, embedding, cluster``: each vector with its nearest given centre."""
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = _nearest(_matrix(batch.column("embedding"), centers.shape[1]), centers, 1)[:, 0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int32())], names=["id", "embedding", "cluster"])
+
+    kept = rows.filter(F.size("embedding") == centers.shape[1]).select("id", F.col("embedding").cast("array<double>"))
+    return kept.mapInArrow(assign, "id long, embedding array<double>, cluster int")
+
+
+def _store_index(rows: DataFrame, centers: np.ndarray, path: str) -> ClusterIndex:
+    rows.hint("rebalance", "cluster").write.mode("overwrite").partitionBy("cluster").parquet(f"{path}/vectors")
+    stored = rows.sparkSession.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(centers)], "cluster int, center array<double>"
     )
     stored.coalesce(1).write.mode("overwrite").parquet(f"{path}/centers")

@@ -131,6 +131,31 @@ hits AS (
 """
 
 
+# The nearest label mean is a vector's cluster; a query looks into the clusters of its 3 nearest means.
+_PROBED = """,
+homes AS (SELECT id, arg_min(query_id, list_distance(q, v)) AS cluster FROM vecs CROSS JOIN label_queries GROUP BY id),
+looks AS (
+  SELECT * FROM (SELECT a.query_id, b.query_id AS cluster, ROW_NUMBER() OVER (PARTITION BY a.query_id ORDER BY list_distance(a.q, b.q), b.query_id) AS r
+    FROM label_queries a CROSS JOIN label_queries b) WHERE r <= 3),
+near AS (
+  SELECT CAST(looks.query_id AS BIGINT) AS query_id, vecs.id, ROUND(list_dot_product(q, v), 9) AS score
+  FROM looks JOIN homes USING (cluster) JOIN vecs ON vecs.id = homes.id JOIN label_queries l ON l.query_id = looks.query_id),
+hits AS (
+  SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM near) WHERE rank <= 10)
+"""
+
+_RULED = """,
+judged AS (
+  SELECT CASE WHEN total_events >= 80 THEN 'power_user' WHEN total_events >= 68 THEN 'active' WHEN total_events >= 58 THEN 'regular' ELSE 'new' END AS y,
+         CASE WHEN total_events >= 84 THEN 'power_user' WHEN total_events >= 66 THEN 'active' WHEN total_events >= 60 THEN 'regular' ELSE 'new' END AS z
+  FROM users),
+names AS (SELECT y AS s FROM judged UNION SELECT z FROM judged),
+tallied AS (SELECT s, COUNT(*) FILTER (y = s) AS support, COUNT(*) FILTER (z = s) AS told, COUNT(*) FILTER (y = s AND z = s) AS hit
+  FROM names CROSS JOIN judged GROUP BY s),
+per AS (SELECT s, support, hit, IF(told = 0, 0, hit / told) AS p, IF(support = 0, 0, hit / support) AS r FROM tallied),
+report AS (SELECT *, IF(p + r = 0, 0, 2 * p * r / (p + r)) AS f FROM per)
+"""
+
 _HITS = "SELECT query_id, id, ROUND(score, 6) AS score, rank FROM hits"
 
 _KNOWLEDGE = (
@@ -385,6 +410,10 @@ ORACLES: dict[str, str] = {
         ROUND(score, 6) AS activity_score FROM user_features""",
     "training_split": _EV + _TRAINING_USERS + """SELECT user_segment, COUNT(*) AS users,
         CAST(FLOOR(COUNT(*) * 0.2::DOUBLE) AS BIGINT) AS test_users FROM labelled GROUP BY user_segment""",
+    "rule_report": _EV + _RULED + "SELECT s AS segment, ROUND(p, 9) AS precision, ROUND(r, 9) AS recall, ROUND(f, 9) AS f1, support FROM report",
+    "rule_metrics": _EV + _RULED + """SELECT ROUND(SUM(hit) / SUM(support), 9) AS accuracy, ROUND(SUM(p * support) / SUM(support), 9) AS precision_weighted,
+        ROUND(SUM(r * support) / SUM(support), 9) AS recall_weighted, ROUND(SUM(f * support) / SUM(support), 9) AS f1_weighted,
+        CAST(SUM(support) AS BIGINT) AS users FROM report""",
     # text and vectors
     "event_text": _EV + """SELECT event_id, CONCAT_WS('，', '事件类型: ' || event_type, '用户: ' || COALESCE(user_raw, 'unknown'),
         '商品: ' || product_id, '页面: ' || page, CASE WHEN referrer <> 'direct' THEN '来源: ' || referrer END,
@@ -403,6 +432,12 @@ ORACLES: dict[str, str] = {
     "vector_topk_exact": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
     "vector_topk_dirty": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
     "vector_topk_filtered": _EV + _MEANS + _topk("vecs", "label_queries", 10, "label < 5") + _HITS,
+    "vector_topk_centres": _EV + _MEANS + _PROBED + _HITS,
+    "centres_recall": _EV + _MEANS + _PROBED + """, every AS (
+          SELECT * FROM (SELECT CAST(query_id AS BIGINT) AS query_id, id,
+            ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY ROUND(list_dot_product(q, v), 9) DESC, id) AS r FROM label_queries CROSS JOIN vecs) WHERE r <= 10)
+        SELECT COUNT(*) AS exact_hits, COUNT(hits.id) AS found_hits, COUNT(hits.id) / COUNT(*) AS recall
+        FROM every LEFT JOIN hits USING (query_id, id)""",
     "vector_topk_ivf_all": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
     "vector_search_events": _EV + _MEANS + """, target AS (SELECT vecs.id, v, ev.* FROM vecs JOIN ev ON ev.eid = vecs.id)"""
         + _topk("target", "label_queries", 10, "LOWER(event_type) = 'purchase'")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -542,6 +543,23 @@ def segment_model_report(spark, d):
     return learning.class_report(_fitted(spark, d)[1])
 
 
+def _rule_made(spark: SparkSession, d: str) -> DataFrame:
+    """A prediction with known errors: the segments under other thresholds."""
+    stg = _stg(spark, d)
+    guess = models.dim_users(stg, (84, 66, 60)).select("user_id", F.col("user_segment").alias("predicted"))
+    return models.dim_users(stg, LEARNING_CUTS).select("user_id", "user_segment").join(guess, "user_id")
+
+
+def rule_report(spark, d):
+    out = learning.class_report(_rule_made(spark, d))
+    return out.select(F.col(out.columns[0]).alias("segment"), F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"), F.round("f1", 9).alias("f1"), "support")
+
+
+def rule_metrics(spark, d):
+    out = learning.evaluate(_rule_made(spark, d))
+    return out.select(*[F.round(c, 9).alias(c) for c in out.columns if c != "rows"], F.col("rows").alias("users"))
+
+
 def segment_model_importance(spark, d):
     return _fitted(spark, d)[0].importance(spark)
 
@@ -648,6 +666,21 @@ def vector_topk_ivf_all(spark, d):
     return _hits(_ivf(spark, d, TEST_NLIST))
 
 
+# Clusters around given centres: the mean vector of each label. A query looks into 3 of them.
+def _given_centres(spark: SparkSession, d: str) -> DataFrame:
+    means = _label_queries(spark, d).orderBy("query_id").toPandas()["embedding"]
+    index = search.build_ivf(_corpus(spark, d), scratch_path(spark, "ivf"), centers=np.array(means.tolist()))
+    return search.topk_ivf(spark, index, _label_queries(spark, d), 10, 3)
+
+
+def vector_topk_centres(spark, d):
+    return _hits(_given_centres(spark, d))
+
+
+def centres_recall(spark, d):
+    return search.recall(_given_centres(spark, d), search.topk_exact(_corpus(spark, d), _label_queries(spark, d), 10))
+
+
 def ivf_recall(spark, d):
     exact = search.topk_exact(_corpus(spark, d), _label_queries(spark, d), 10)
     return search.recall(_ivf(spark, d, TEST_NPROBE), exact)
@@ -897,9 +930,9 @@ QUERIES: dict[str, Query] = {
         user_features, user_features_fractional, product_features, feature_service_user, feature_service_product,
         feature_lookup, feature_latest, feature_point_in_time, feature_point_in_time_ttl, recommendation_inputs,
         feature_summary, on_demand_udf, training_frame, training_split,
-        segment_model_metrics, segment_model_report, segment_model_importance, segment_cv, segment_run_record,
+        segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
-        vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall,
+        vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall, vector_topk_centres, centres_recall,
         vector_search_events, vector_search_products, text_embed,
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_window_counts, stream_sliding_counts,

@@ -7,11 +7,9 @@ windows without rows or across windows and are batch jobs over the window table,
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def failure_rate(
@@ -52,16 +50,21 @@ def _floor_to(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds) * seconds
 
 
+# Windows that one row of the spine stands for before it is unfolded.
+SPINE_RUN = 10_000
+
+
 def absence(df: DataFrame, size_seconds: int = 120, where: Column | None = None, ts: str = "event_ts") -> DataFrame:
     """Windows between the first and the last event in which no (matching) event was seen.
 
     The spine of windows comes from the two ends of the time range; its length depends on the
-    range and the window size, not on the number of events.
+    range and the window size, not on the number of events. It is built a run of windows at a time.
     """
-    ends = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    spine = ends.select(
-        F.explode(F.sequence(_floor_to(F.col("lo"), size_seconds), _floor_to(F.col("hi"), size_seconds), F.lit(size_seconds))).alias("w")
-    )
+    run = SPINE_RUN * size_seconds
+    ends = df.agg(_floor_to(F.min(ts), size_seconds).alias("lo"), _floor_to(F.max(ts), size_seconds).alias("hi"))
+    runs = ends.select("hi", F.explode(F.sequence("lo", "hi", F.lit(run))).alias("r"))
+    last = F.least(F.col("hi"), F.col("r") + (run - size_seconds))
+    spine = runs.select(F.explode(F.sequence("r", last, F.lit(size_seconds))).alias("w"))
     beats = df if where is None else df.filter(where)
     seen = beats.filter(F.col(ts).isNotNull()).select(_floor_to(F.col(ts), size_seconds).alias("w")).distinct()
     return spine.join(seen, "w", "left_anti").select(
@@ -99,38 +102,8 @@ def request_rate(df: DataFrame, size_seconds: int = 300, keys: Sequence[str] = (
 def absence_stream(sdf: DataFrame, key: str, gap_ms: int, delay: str = "1 minute", ts: str = "event_ts") -> DataFrame:
     """One row per silence: a key not seen for ``gap_ms`` of event time after its last event.
 
-    State is one timestamp per key. A silence shows either when the watermark passes last + gap
-    (the timer) or when the key's next events turn out to lie further away than the gap. New
-    events are kept only as first and last time per ``gap_ms`` span, since two events of one span
-    cannot be a silence apart: a busy key costs as much memory as it covers time.
+    Events of a key less than the gap apart are one session, which ends the gap after its last event and is given out
+    when the watermark passes that end. State is one session per key and gap, merged map-side; no Python is involved.
     """
-
-    def watch(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({key: [k[0]], "last_seen": [pd.Timestamp(last, unit="ms")]})
-            return
-        spans: dict[int, tuple[int, int]] = {}
-        for f in frames:
-            for s, ends in f["ms"].groupby(f["ms"] // gap_ms).agg(["min", "max"]).iterrows():
-                lo, hi = spans.get(s, (ends["min"], ends["max"]))
-                spans[s] = (min(lo, ends["min"]), max(hi, ends["max"]))
-        last = state.get[0] if state.exists else None
-        silences = []
-        for s in sorted(spans):
-            lo, hi = (int(x) for x in spans[s])
-            if last is not None and lo - last > gap_ms:
-                silences.append(last)
-            last = hi if last is None else max(last, hi)
-        state.update((last,))
-        # A timer may not lie at or before the watermark.
-        state.setTimeoutTimestamp(max(last + gap_ms, state.getCurrentWatermarkMs() + 1))
-        if silences:
-            yield pd.DataFrame({key: k[0], "last_seen": pd.to_datetime(silences, unit="ms")})
-
-    beats = sdf.withWatermark(ts, delay).select(key, ts, F.unix_millis(ts).alias("ms"))
-    return beats.groupBy(key).applyInPandasWithState(
-        watch, f"{key} {sdf.schema[key].dataType.simpleString()}, last_seen timestamp", "last long", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    sessions = sdf.withWatermark(ts, delay).groupBy(key, F.session_window(ts, f"{gap_ms} milliseconds").alias("session")).agg(F.count("*").alias("events"))
+    return sessions.select(key, (F.col("session.end") - F.make_dt_interval(secs=F.lit(gap_ms / 1000))).alias("last_seen"))
