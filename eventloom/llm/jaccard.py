@@ -255,7 +255,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
        clusters of similar documents, however many copies there are.
     3. Every link left runs between clusters, and its ends share a prefix token; tokens of a single cluster fall away.
        Classes with the same frequent smallest token form groups of at most about 128. For each token the matrix says
-       in which groups it stands; a class asks groups that share enough of its prefix tokens for their sizes.
+       in which groups it stands; a class asks groups with classes of a larger cluster that share enough of its prefix
+       tokens for their sizes.
     4. A group is opened if its token union holds enough of the asking set; its members are then checked.
 
     Null and empty texts, and texts of white space, have no set and link with nothing. Repeated rows give a row each.
@@ -281,17 +282,18 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     sizes = classes.select("ka", "n").join(clusters.withColumnRenamed("node", "ka"), "ka", "left").join(full, "ka", "left").select(
         "ka", "n", F.coalesce("root", "ka").alias("root"), F.coalesce(F.xxhash64("t.i", "t.key"), "ka").alias("bucket")
     )
-    placed = stored(_blocks(sizes, "bucket", "ka"), "placed")
+    weights = sizes.groupBy("root").agg(F.count("*").alias("w"))
+    placed = stored(_blocks(sizes, "bucket", "ka").join(weights, "root"), "placed")
     total = classes.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0] or 0
     buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // BUCKET_TOKENS))
     shared = stored(_shared_tokens(docs, _common_tokens(profiles), buckets, width, percent), "shared")
     rows = shared.join(placed, "ka")
     several = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
     rows = stored(rows.join(several, "token", "left_semi"), "matrix")
-    matrix = rows.groupBy("token", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("x"), F.max("root").alias("y"))
+    matrix = rows.groupBy("token", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.struct("w", "root")).alias("top"))
     r, t = rows.alias("r"), matrix.alias("t")
-    # Each pair of groups is asked once, from one side; a class asks its own group for other clusters in it.
-    apart = "r.g <= t.g and (t.x <> r.root or t.y <> r.root)"
+    # Of two clusters the smaller asks, so the copies of a large one do not ask for each of its strays.
+    apart = "struct(r.w, r.root) < struct(t.top.w, t.top.root)"
     fits = f"100 * r.n <= {100 * 100} * t.hi / {percent} and 100 * t.lo <= {100 * 100} * r.n / {percent}"
     pairs = r.join(t, F.expr(f"r.token = t.token and {apart} and {fits}"))
     ask = pairs.groupBy(F.col("r.ka").alias("q"), F.col("t.g").alias("g")).agg(
