@@ -20,7 +20,7 @@ from eventloom.llm.shingles import mixed, shingle_sets
 # One class of equal sets in SAMPLE is looked at to find common tokens; at most COMMON tokens are treated as common.
 SAMPLE, COMMON = 32, 500_000
 SIGNATURE = 8
-GROUP_SIZE, ASK_SIZE, BUCKET_TOKENS = 128, 512, 500_000
+GROUP_SIZE, GROUP_FROM, ASK_SIZE, BUCKET_TOKENS = 64, 64, 512, 500_000
 FILTER_BITS = 1 << 25
 _PAGE = 32_768
 
@@ -152,7 +152,9 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
                 shared = np.bincount(owner[at], minlength=len(sizes))
                 linked = (100 * shared >= percent * (len(x) + sizes - shared)) & (roots != root)
-                out += [(q, s) for s in names[linked]]
+                # One link to each cluster found.
+                first = np.unique(roots[linked], return_index=True)[1]
+                out += [(q, s) for s in names[linked][first]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return sets.join(roles, "ka").groupBy("g", "c").applyInPandas(compare, "a long, b long")
@@ -254,7 +256,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     2. Classes that share smallest tokens under two of 8 orders with the first class that has them are compared with it. Links found give
        clusters of similar documents, however many copies there are.
     3. Every link left runs between clusters, and its ends share a prefix token; tokens of a single cluster fall away.
-       Classes with the same frequent smallest token form groups of at most about 128. For each token the matrix says
+       Clusters, and classes that share a frequent smallest token, form groups of at most about 64. For each token the matrix says
        in which groups it stands; a class asks groups with classes of a larger cluster that share enough of its prefix
        tokens for their sizes.
     4. A group is opened if its token union holds enough of the asking set; its members are then checked.
@@ -277,10 +279,11 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     found = _opened(docs, classes, member.select("q", "g", F.col("q").alias("root")).distinct(), member.select("g", "s", F.col("s").alias("root")), width, percent)
     clusters = components(stored(found, "links"))
 
-    # A class belongs to the group of its most frequent smallest token.
+    # Clusters are groups; a class without links joins the group of its most frequent smallest token, if many have that.
     full = marks.join(firsts.select("i", "key", "m"), ["i", "key"]).groupBy("ka").agg(F.max(F.struct("m", "i", "key")).alias("t"))
     sizes = classes.select("ka", "n").join(clusters.withColumnRenamed("node", "ka"), "ka", "left").join(full, "ka", "left").select(
-        "ka", "n", F.coalesce("root", "ka").alias("root"), F.coalesce(F.xxhash64("t.i", "t.key"), "ka").alias("bucket")
+        "ka", "n", F.coalesce("root", "ka").alias("root"),
+        F.coalesce("root", F.when(F.col("t.m") >= GROUP_FROM, F.xxhash64("t.i", "t.key")), "ka").alias("bucket"),
     )
     weights = sizes.groupBy("root").agg(F.count("*").alias("w"))
     placed = stored(_blocks(sizes, "bucket", "ka").join(weights, "root"), "placed")

@@ -305,7 +305,7 @@ def test_jaccard(docs, rows, spark):
 
 def test_jaccard_families_and_shared_passages(spark, monkeypatch):
     # Small groups and chunks, borderline pairs, a passage in every text, families of near copies that touch.
-    for name, value in (("GROUP_SIZE", 3), ("ASK_SIZE", 2), ("BUCKET_TOKENS", 200), ("SAMPLE", 2)):
+    for name, value in (("GROUP_SIZE", 3), ("GROUP_FROM", 4), ("ASK_SIZE", 2), ("BUCKET_TOKENS", 200), ("SAMPLE", 2)):
         monkeypatch.setattr(jaccard, name, value)
     dice = random.Random(9)
     passage = cases.sentence(dice, 30)
