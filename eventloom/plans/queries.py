@@ -706,6 +706,39 @@ def vector_search_products(spark, d):
     return hits.select("query_id", "id", "score", "rank", *fields)
 
 
+def _event_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Every event with its text and the text's vector, written once."""
+    path = scratch_path(spark, "event_vectors")
+    ev = ft.event_text(user_events(spark, d)).withColumnRenamed("event_no", "id")
+    search.write_vectors(embed.embed_text(ev, "text_content"), path)
+    return spark.read.parquet(path)
+
+
+def _page_queries(vectors: DataFrame) -> DataFrame:
+    """One question per page, numbered by name: the mean vector of its events."""
+    asked = _mean_vectors(vectors, "page")
+    pages = vectors.agg(F.array_sort(F.collect_set("page")).alias("pages"))
+    return asked.crossJoin(pages).select(F.array_position("pages", F.col("page")).alias("query_id"), "embedding")
+
+
+def vector_search_events_all(spark, d):
+    """``vector_search_events`` over every event, by vectors of the events' texts and one question per page."""
+    corpus = _event_vectors(spark, d)
+    fields = {"event_id": "", "user_id": "", "event_type": "", "text_content": ""}
+    hits = retrieval.search_rows(corpus, _page_queries(corpus), fields, 10, where=F.lower("event_type") == "purchase")
+    return hits.select("query_id", "id", "score", "rank", *fields)
+
+
+def vector_search_products_all(spark, d):
+    """``vector_search_products`` over every product: the mean over the vectors of all its events."""
+    ev = _event_vectors(spark, d)
+    vectors = _mean_vectors(ev.filter("product_id IS NOT NULL"), "product_id")
+    corpus = vectors.join(_products(spark, d), "product_id").withColumn("id", F.substring("product_id", 2, 8).cast("long"))
+    fields = {"product_id": "", "total_views": 0, "total_purchases": 0}
+    hits = retrieval.search_rows(corpus, _page_queries(ev), fields, 5)
+    return hits.select("query_id", "id", "score", "rank", *fields)
+
+
 def text_embed(spark, d):
     out = embed.embed_text(table(spark, d, "documents").select("doc_id", "text"), "text")
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(fv.inner_product("embedding", "embedding"), 4).alias("norm"))
@@ -715,7 +748,7 @@ def text_embed(spark, d):
 
 
 def _knowledge(spark: SparkSession, d: str) -> DataFrame:
-    """Events that have a vector, with their sentence."""
+    """Events that have a given vector, with their sentence; ``_whole_knowledge`` holds every event."""
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("event_no"), "embedding")
     # Joined before the sentences are built, so only events with a vector get one.
     ev = clean.clean_events(user_events(spark, d, category=True).join(vectors, "event_no"), mode="clip")
@@ -755,9 +788,7 @@ def rag_first_types(spark, d):
     return retrieval.first_types(retrieval.retrieve(kb, _questions(kb), 10))
 
 
-def query_intent(spark, d):
-    kb = _knowledge(spark, d)
-    out = retrieval.query_intent(retrieval.retrieve(kb, _questions(kb), 10))
+def _intent_columns(out: DataFrame) -> DataFrame:
     entries = F.array_sort(F.map_entries("event_type_distribution"))
     return out.select(
         "query_id", "interpreted_intent", "distinct_users", "distinct_products", "suggested_sql",
@@ -766,6 +797,47 @@ def query_intent(spark, d):
     )
 
 
+def query_intent(spark, d):
+    kb = _knowledge(spark, d)
+    return _intent_columns(retrieval.query_intent(retrieval.retrieve(kb, _questions(kb), 10)))
+
+
+def _whole_knowledge(spark: SparkSession, d: str) -> DataFrame:
+    """The knowledge base of every event, with vectors of its own text; built once per query."""
+    ev = clean.clean_events(user_events(spark, d, category=True), mode="clip")
+    return retrieval.build_knowledge_base(ev, scratch_path(spark, "kb")).entries
+
+
+def rag_retrieve_all(spark, d):
+    """``rag_retrieve`` over the knowledge base of every event, as are the four queries below."""
+    kb = _whole_knowledge(spark, d)
+    return retrieval.retrieve(kb, _questions(kb), 5).select(
+        "query_id", "id", "score", "rank", "event_type", "user_id", "product_id", "chunk"
+    )
+
+
+def rag_prompt_all(spark, d):
+    kb = _whole_knowledge(spark, d)
+    asked = _questions(kb)
+    return retrieval.build_prompts(retrieval.retrieve(kb, asked, 5), asked.select("query_id", "question"))
+
+
+def rag_hit_rate_all(spark, d):
+    kb = _whole_knowledge(spark, d)
+    asked = _questions(kb)
+    return retrieval.hit_rate(retrieval.retrieve(kb, asked, 10), asked, 10)
+
+
+def rag_first_types_all(spark, d):
+    kb = _whole_knowledge(spark, d)
+    return retrieval.first_types(retrieval.retrieve(kb, _questions(kb), 10))
+
+
+def query_intent_all(spark, d):
+    kb = _whole_knowledge(spark, d)
+    return _intent_columns(retrieval.query_intent(retrieval.retrieve(kb, _questions(kb), 10)))
+
+
 def kb_build_doubled(spark, d):
     """A knowledge base of events that all occur twice holds each once."""
     ev = user_events(spark, d, category=True)
@@ -933,8 +1005,9 @@ QUERIES: dict[str, Query] = {
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
         vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall, vector_topk_centres, centres_recall,
-        vector_search_events, vector_search_products, text_embed,
-        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
+        vector_search_events, vector_search_products, vector_search_events_all, vector_search_products_all, text_embed,
+        rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
+        rag_retrieve_all, rag_prompt_all, rag_hit_rate_all, rag_first_types_all, query_intent_all, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_window_counts, stream_sliding_counts,
         failure_rate_alert, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.text import event_chunks, event_text, product_text
 from eventloom.functions.vectors import inner_product, l2_normalize
 from eventloom.operators import embed, retrieval, search
+from eventloom.plans import queries
 
 
 def _vectors(spark, n, dim, seed, copies=0):
@@ -206,3 +207,44 @@ def test_knowledge_base_with_an_encoder(spark, tmp_path):
     )
     kb = retrieval.build_knowledge_base(ev, str(tmp_path / "kb"), encoder=counts, dim=3)
     assert kb.ask(spark.createDataFrame([(1, "a question")], "query_id long, question string"), 1).first()["event_type"] == "view"
+
+
+def _ranked(vectors, asked, k):
+    """Ids and scores of the best rows per question, by brute force on what was stored."""
+    scores = np.round(np.array(asked["embedding"].tolist(), float) @ np.array(vectors["embedding"].tolist(), float).T, search.SCORE_DIGITS)
+    ids = vectors["id"].to_numpy()
+    return {q: [(ids[i], round(row[i], 4)) for i in np.lexsort((ids, -row))[:k]] for q, row in zip(asked["query_id"], scores)}
+
+
+def _scored(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["id"], r["score"]))
+    return out
+
+
+def test_retrieval_covers_every_event(spark, sf_dir):
+    kb = queries._whole_knowledge(spark, sf_dir)
+    ids = {r[0] for r in queries.user_events(spark, sf_dir).select("event_id").collect()}
+    assert {r[0] for r in kb.select("event_id").distinct().collect()} == ids
+    hits = queries.rag_retrieve_all(spark, sf_dir)
+    assert _scored(hits) == _ranked(kb.select("id", "embedding").toPandas(), queries._questions(kb).toPandas(), 5)
+    with_vector = {str(r[0]) for r in queries.table(spark, sf_dir, "embeddings").select("vec_id").collect()}
+    found = {r[0] for r in kb.join(hits.select("id"), "id").select("event_id").collect()}
+    assert found - with_vector
+    assert queries.rag_hit_rate_all(spark, sf_dir).first()["queries"] == 5
+    assert queries.rag_first_types_all(spark, sf_dir).count() == 5
+    assert queries.rag_prompt_all(spark, sf_dir).count() == 5
+    assert queries.query_intent_all(spark, sf_dir).count() == 5
+
+
+def test_event_and_product_search_cover_everything(spark, sf_dir):
+    vectors = queries._event_vectors(spark, sf_dir)
+    assert vectors.count() == queries.user_events(spark, sf_dir).count()
+    asked = queries._page_queries(vectors).toPandas()
+    bought = vectors.filter(F.lower("event_type") == "purchase").select("id", "embedding").toPandas()
+    assert _scored(queries.vector_search_events_all(spark, sf_dir)) == _ranked(bought, asked, 10)
+    means = queries._mean_vectors(vectors.filter("product_id IS NOT NULL"), "product_id").toPandas()
+    assert len(means) == queries._products(spark, sf_dir).count()
+    means["id"] = means["product_id"].str[1:].astype(int)
+    assert _scored(queries.vector_search_products_all(spark, sf_dir)) == _ranked(means, asked, 5)
