@@ -235,14 +235,27 @@ def _up(a: str, b: str) -> str:
     return f"(({a} + {b} - 1) div {b})"
 
 
-def _least_shared(size: str, percent: int):
+def _least_shared(size: str, percent: int) -> str:
     """How many prefix tokens sets of ``n`` and ``size`` tokens share at least if they link.
 
     Up to the end of the shorter prefix all shared tokens are known; behind it, the set that ends there has
-    ceil(percent * tokens / 100) - 1 left. In between the two ends of a group's sizes the number is larger.
+    ceil(percent * tokens / 100) - 1 left.
     """
     overlap = _up(f"{percent} * (n + {size})", str(100 + percent))
-    return F.expr(f"{overlap} - greatest({_up(f'{percent} * n', '100')}, {_up(f'{percent} * {size}', '100')}) + 1")
+    return f"({overlap} - greatest({_up(f'{percent} * n', '100')}, {_up(f'{percent} * {size}', '100')}) + 1)"
+
+
+def _least_in_group(percent: int):
+    """The smallest ``_least_shared`` of all sizes from ``lo`` to ``hi`` that can link with ``n``.
+
+    Up to ``n`` the number never falls with the size. From ``n`` on it falls, but not at each step: d sizes before the
+    upper end it is smaller than there by less than 2 - d * percent^2 / (100 * (100 + percent)), so only that many last
+    sizes are tried for which this is above 1.
+    """
+    last = 100 * (100 + percent) // percent**2
+    low, high = f"greatest(lo, {_up(f'{percent} * n', '100')})", f"least(hi, (100 * n) div {percent})"
+    ends = f"transform(sequence(greatest({low}, {high} - {last}), {high}), m -> {_least_shared('m', percent)})"
+    return F.expr(f"least({_least_shared(low, percent)}, array_min({ends}))")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
@@ -302,8 +315,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     ask = pairs.groupBy(F.col("r.ka").alias("q"), F.col("t.g").alias("g")).agg(
         F.count("*").alias("overlap"), F.first("r.n").alias("n"), F.first("r.root").alias("root"), F.min("t.lo").alias("lo"), F.max("t.hi").alias("hi")
     )
-    least = F.least(_least_shared("greatest(lo, " + _up(f"{percent} * n", "100") + ")", percent), _least_shared(f"least(hi, (100 * n) div {percent})", percent))
-    ask = ask.filter(F.col("overlap") >= least)
+    ask = ask.filter(F.col("overlap") >= _least_in_group(percent))
     ask = stored(ask.select("q", "g", "root"), "ask")
     asked = placed.join(ask.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"), "root")
     more = _opened(docs, classes, ask, asked, width, percent)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -323,6 +324,46 @@ def test_jaccard_families_and_shared_passages(spark, monkeypatch):
     assert got == brute_jaccard(rows)
 
 
+@pytest.mark.parametrize("percent", [50, 75, 90, 100])
+def test_least_shared_of_every_size_range(spark, percent):
+    def up(a, b):
+        return -(-a // b)
+
+    def least(n, m):
+        return up(percent * (n + m), 100 + percent) - max(up(percent * n, 100), up(percent * m, 100)) + 1
+
+    asked, want = [], []
+    for n in range(1, 80):
+        for lo in range(up(percent * n, 100), 100 * n // percent + 1):
+            for hi in range(lo, 100 * n // percent + 1):
+                asked.append((n, lo, hi))
+                want.append(min(least(n, m) for m in range(lo, hi + 1)))
+    df = spark.createDataFrame(pd.DataFrame(asked, columns=["n", "lo", "hi"])).coalesce(1)
+    assert df.select(jaccard._least_in_group(percent).alias("x")).toPandas()["x"].tolist() == want
+
+
+def planted_passages(families):
+    """Passages of 12 shingles: one set of 13 and six of 15 that link at 12/16 exactly, among sets of 14 and 16 that do not."""
+    dice, texts = random.Random(3), []
+
+    def words(k):
+        return " ".join("x%d" % dice.randrange(10**9) for _ in range(k))
+
+    for _ in range(families):
+        passage = words(16)
+        texts += [f"{passage} {words(1)}"] + [f"{passage} {words(3)}" for _ in range(6)]
+        texts += [f"{passage.rsplit(' ', 1)[0]} {words(3)}" for _ in range(12)] + [f"{passage} {words(4)}" for _ in range(12)]
+    return [(i, x, None, None, None, None, None) for i, x in enumerate(texts)]
+
+
+def test_jaccard_borderline_link_in_mixed_group(spark, monkeypatch):
+    for name, value in (("GROUP_SIZE", 8), ("GROUP_FROM", 4), ("SAMPLE", 1)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = planted_passages(30)
+    got = Counter(map(tuple, jaccard.jaccard_components(spark.createDataFrame(rows, cases.DOCS)).collect()))
+    assert got == brute_jaccard(rows)
+
+
 def test_one_per_component(docs, rows):
     kept = jaccard.one_per_component(docs)
     assert kept.columns == docs.columns
