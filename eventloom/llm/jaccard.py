@@ -43,7 +43,7 @@ def _keys(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Per document: set size, two keys of the set, its smallest tokens under 8 orders, and its tokens if sampled."""
+    """Per document: a hash of its text, set size, two keys of the set, its smallest tokens under 8 orders, and its tokens if sampled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = [np.uint64(mixed(np.array([k + 1], np.uint64))[0]) for k in range(SIGNATURE)]
@@ -59,12 +59,12 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                 rows.append((len(s), ka, kb, least, s.tobytes() if sampled else None))
             n, ka, kb, least, tokens = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ka, pa.int64()), pa.array(kb, pa.int64()),
+                [batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(ka, pa.int64()), pa.array(kb, pa.int64()),
                  pa.array(least, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
-                ["doc_id", "n", "ka", "kb", "least", "tokens"],
+                ["doc_id", "h", "n", "ka", "kb", "least", "tokens"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, ka long, kb long, least array<long>, tokens binary")
+    return docs.withColumn("h", F.xxhash64("text")).mapInArrow(run, "doc_id long, h long, n long, ka long, kb long, least array<long>, tokens binary")
 
 
 def _common_tokens(profiles: DataFrame) -> np.ndarray:
@@ -278,6 +278,11 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     A null id stays null, and is nobody's component_id unless no member has an id. No rows give no rows. Other columns
     are ignored.
     """
+    return _placed_rows(docs, percent, width).select("doc_id", "n_shingles", "component_id")
+
+
+def _placed_rows(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """The rows of ``jaccard_components`` with ``h``, a hash of the text, and ``top``, which names the component even where ids repeat."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     profiles = stored(_profiles(docs, width), "profiles")
@@ -327,17 +332,21 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     final = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
     final = final.select("ka", F.coalesce("top", "root").alias("top")).join(classes.select("ka", "kb", "first_id"), "ka")
     names = final.groupBy("top").agg(F.min("first_id").alias("component_id"))
-    named = stored(final.join(names, "top").select("ka", "kb", "component_id"), "named")
+    named = stored(final.join(names, "top").select("ka", "kb", "top", "component_id"), "named")
     return profiles.drop("least", "tokens").join(named, ["ka", "kb"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "h", "top", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
 def one_per_component(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """The documents that name their component, all columns kept; of rows with the same id one stays.
+    """The document that names its component, all columns kept.
 
-    Rows without an id all stay.
+    Rows are told apart by id and text: of equal ones one stays, and where different texts of a component share the id
+    that names it, the one with the smallest hash stays. Texts that nothing links stay whatever their ids. Rows without
+    an id all stay.
     """
-    found = jaccard_components(docs, percent, width)
-    kept = stored(found.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    naming = _placed_rows(docs, percent, width).filter("doc_id = component_id")
+    named = naming.filter("top is not null").groupBy("top").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("r.*")
+    kept = stored(named.unionByName(naming.filter("top is null").select("doc_id", "h").distinct()), "kept")
+    rows = docs.withColumn("_h", F.xxhash64("text")).join(kept.withColumnRenamed("h", "_h"), ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"])
+    return rows.select(docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -372,6 +372,20 @@ def test_one_per_component(docs, rows):
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 2
 
 
+def test_one_per_component_tells_texts_of_one_id_apart(spark):
+    dice = random.Random(11)
+    first, own, other = (cases.sentence(dice, 40) for _ in range(3))
+    # Id 2 holds a copy of id 1 and a text of its own, id 3 two texts that link, id 4 equal rows, id 5 two blank texts.
+    near = other.split()
+    near[0] = "changed"
+    texts = [(1, first), (2, first), (2, own), (3, other), (3, " ".join(near)), (4, "two words"), (4, "two words"), (5, ""), (5, " ")]
+    docs = spark.createDataFrame([(i, x, None, None, None, None, None) for i, x in texts], cases.DOCS).repartition(3)
+    kept = sorted((r["doc_id"], r["text"]) for r in jaccard.one_per_component(docs).collect())
+    linked = [x for i, x in kept if i == 3]
+    assert len(linked) == 1 and linked[0] in (other, " ".join(near))
+    assert [r for r in kept if r[0] != 3] == sorted([(1, first), (2, own), (4, "two words"), (5, ""), (5, " ")])
+
+
 # fingerprints
 
 def test_fingerprints(docs, rows, spark):
