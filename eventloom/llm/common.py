@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -26,6 +27,18 @@ def stored(df: DataFrame, label: str, **partitioning) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def one_shuffle_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark removes the shuffle files of a query when it ends: for steps that are stored one after the other."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for rows that no fit may learn from. A null id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == HELD_OUT, F.lit(True))

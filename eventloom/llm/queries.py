@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import collisions, fingerprints, jaccard, licenses, mixing, packing, quality, token_counts, token_files, toxicity
+from eventloom.llm import collisions, fingerprints, jaccard, licenses, mixing, packing, quality, suffixes, token_counts, token_files, toxicity
 from eventloom.llm.common import held_out, read_table
 from eventloom.session import scratch_path
 
@@ -81,6 +81,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that an earlier one has as well, and a digest of the others."""
+    cut = suffixes.without_repeats(read_table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_collision_search": op1_collision_search,
     "op2_toxicity": op2_toxicity,
@@ -92,6 +101,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 ORACLES = {
