@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import collisions, fingerprints, jaccard, licenses, mixing, packing, quality, suffixes, token_counts, token_files, toxicity
+from eventloom.llm import collisions, fingerprints, jaccard, licenses, manifest, mixing, packing, quality, suffixes, token_counts, token_files, toxicity
 from eventloom.llm.common import held_out, read_table
 from eventloom.session import scratch_path
 
@@ -90,6 +90,55 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of each document against the manifest's root; every fifth document has been tampered with."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, manifest.leaf({"text": lowered}))
+    rows = manifest.proofs(read_table(spark, sf_dir, "documents"), {"tampered": tampered})
+    siblings = F.array_join(F.transform("proof", lambda level: F.concat(level["left"], level["right"])), "")
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """The manifest level by level: room for 16^8 rows a source and as many sources."""
+    field = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+    steps = []
+    for t in ("d", "s"):
+        for k in range(levels):
+            steps += [
+                f"""{t}p{k} AS (SELECT g, r, n > 1 AS up,
+                    coalesce(string_agg(h, '') OVER (PARTITION BY g, r // 16 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                    coalesce(string_agg(h, '') OVER (PARTITION BY g, r // 16 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS e
+                    FROM {t}{k})""",
+                f"""{t}{k + 1} AS (SELECT g, r // 16 AS r, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h
+                    FROM {t}{k} GROUP BY g, r // 16, n)""",
+            ]
+        if t == "d":
+            steps += [f"s0 AS (SELECT 0 AS g, g AS member, h, row_number() OVER (ORDER BY g) - 1 AS r, count(*) OVER () AS n FROM d{levels})"]
+    chain = "SELECT d0.doc_id, d0.h AS leaf, g, r, m.sr, coalesce(tampered, d0.h) AS f, '' AS p FROM d0 JOIN (SELECT member, r AS sr FROM s0) m ON m.member = d0.g"
+    for t, g, r in (("d", "g", "r"), ("s", "0", "sr")):
+        for k in range(levels):
+            chain = f"""SELECT c.* REPLACE (CASE WHEN up THEN sha256(l || f || e) ELSE f END AS f, CASE WHEN up THEN p || l || e ELSE p END AS p)
+                FROM ({chain}) c JOIN {t}p{k} x ON x.g = c.{g} AND x.r = c.{r} // {16**k}""".replace("c.0", "0")
+    return f"""
+        WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        leaves AS (
+            SELECT doc_id, coalesce('=' || source, '') AS g, {leaf("text")} AS h,
+                   CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0
+                        THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+            FROM documents, crc),
+        d0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS r, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+        {", ".join(steps)}
+        SELECT c.doc_id, c.leaf, top.h AS subroot, root.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = root.h AS verified
+        FROM ({chain}) c JOIN d{levels} top ON top.g = c.g, s{levels} root"""
+
+
 QUERIES = {
     "op1_collision_search": op1_collision_search,
     "op2_toxicity": op2_toxicity,
@@ -102,9 +151,11 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
+    "op13_merkle_manifest": _merkle_sql(),
     "op3_source_mix": """
         WITH d AS (
             SELECT doc_id, source, coalesce('=' || source, '~') AS s, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
