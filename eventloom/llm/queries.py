@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventloom.llm import collisions, fingerprints, jaccard, licenses, manifest, mixing, packing, quality, suffixes, token_counts, token_files, toxicity
+from eventloom.llm import collisions, fingerprints, jaccard, licenses, manifest, mixing, packing, quality, suffixes, token_counts, token_files, toxicity, variants
 from eventloom.llm.common import held_out, read_table
 from eventloom.session import scratch_path
 
@@ -81,6 +81,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some misspelt on purpose, with their near words and forms."""
+    return variants.spelling_groups(variants.word_counts(read_table(spark, sf_dir, "documents"), 7, variants.drop_letter))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document that an earlier one has as well, and a digest of the others."""
     cut = suffixes.without_repeats(read_table(spark, sf_dir, "documents"))
@@ -150,6 +155,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
