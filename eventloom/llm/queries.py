@@ -107,6 +107,17 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# crc32 in SQL: the table of one byte, and the checksum of a string of ASCII and U+0080 to U+00FF.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    octets = f"""flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+        ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))"""
+    return f"xor(list_reduce(list_concat([4294967295], {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 def _merkle_sql(levels: int = 8) -> str:
     """The manifest level by level: room for 16^8 rows a source and as many sources."""
     field = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
@@ -130,12 +141,10 @@ def _merkle_sql(levels: int = 8) -> str:
             chain = f"""SELECT c.* REPLACE (CASE WHEN up THEN sha256(l || f || e) ELSE f END AS f, CASE WHEN up THEN p || l || e ELSE p END AS p)
                 FROM ({chain}) c JOIN {t}p{k} x ON x.g = c.{g} AND x.r = c.{r} // {16**k}""".replace("c.0", "0")
     return f"""
-        WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
-                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        WITH {_CRC_TABLE},
         leaves AS (
             SELECT doc_id, coalesce('=' || source, '') AS g, {leaf("text")} AS h,
-                   CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
-                                             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0
+                   CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 5 = 0
                         THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
             FROM documents, crc),
         d0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS r, count(*) OVER (PARTITION BY g) AS n FROM leaves),
@@ -161,6 +170,34 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        runs AS (
+            SELECT doc_id, w, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents)
+            WHERE length(w) >= 7 GROUP BY ALL),
+        hashed AS (SELECT w, n, {_crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w")} AS h FROM runs, crc),
+        words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n
+            FROM (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substring(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cuts AS (SELECT DISTINCT word, n, i, left(word, i - 1) || substring(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) u(i)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+        best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+        forms AS (
+            SELECT w.word, min(other) AS form, b.m AS form_n
+            FROM words w JOIN best b USING (word) JOIN near o ON o.word = w.word AND o.m = b.m WHERE b.m >= 10 * w.n GROUP BY ALL),
+        chain AS (
+            SELECT word, word AS root FROM words
+            UNION ALL
+            SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root)
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, form, form_n, root
+        FROM words w LEFT JOIN best USING (word) LEFT JOIN forms USING (word)
+        JOIN (SELECT word, root FROM chain c WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.word = c.root)) r USING (word)""",
     "op13_merkle_manifest": _merkle_sql(),
     "op3_source_mix": """
         WITH d AS (
