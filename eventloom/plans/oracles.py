@@ -482,8 +482,10 @@ ORACLES: dict[str, str] = {
     "stream_land": _EV + f"SELECT {_RAW} FROM parsed",
     "stream_clean": _EV + f"SELECT {_CLEAN}, processing_date FROM cleaned",
     "stream_dedup": _EV + "SELECT event_id, user_raw AS user_id FROM ev",
-    "stream_window_counts": _EV + "SELECT * FROM (" + _HOURLY.format(src="folded") + """)
-        WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', MAX(event_ts)) - INTERVAL 10 MINUTE FROM ev)""",
+    "stream_dedup_batches": _EV + "SELECT event_id, user_raw AS user_id FROM ev",
+    "stream_window_counts": _EV + _HOURLY.format(src="folded"),
+    "stream_bounded": _EV + """SELECT CASE WHEN ROW_NUMBER() OVER (ORDER BY eid // 3, eid % 3) <= 1000 THEN 1 ELSE 2 END AS run,
+        eid // 3 AS "offset", event_id, user_raw AS user_id, event_type FROM ev""",
     "stream_sliding_counts": _EV + ", hourly AS (" + _HOURLY.format(src="folded") + """)
         SELECT window_start - to_hours(i) AS window_start, CAST(SUM(events) AS BIGINT) AS events, CAST(SUM(purchases) AS BIGINT) AS purchases
         FROM hourly, range(3) r(i) GROUP BY 1""",

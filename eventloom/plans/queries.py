@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from eventloom.functions import columns as fc, text as ft, vectors as fv
 from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, stats
 from eventloom.plans import jobs, models
-from eventloom.schema import EVENT_SCHEMA, EVENT_TYPES
+from eventloom.schema import EVENT_SCHEMA, EVENT_TYPES, RECORD_SCHEMA
 from eventloom.session import scratch_path
 from eventloom.sources import events as se, layout, records, testtables, warehouse
 from eventloom.sources.testtables import TEST_ROLES, raw_events, table, user_events
+from eventloom.sources.stored import RecordLog
 from eventloom.streaming import alerts, jobs as sj
+from eventloom.streaming.live import FirstArrivals, LiveWindows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -911,11 +913,48 @@ def stream_dedup(spark, d):
     return spark.read.parquet(_finish(spark, once, "dedup"))
 
 
+def _shaped(spark: SparkSession, d: str) -> DataFrame:
+    return testtables.shape_events(table(spark, d, "events"), missing_users=True)
+
+
+def _in_batches(spark: SparkSession, rows: DataFrame, label: str, files: int = 5) -> DataFrame:
+    """The rows as a stream of one file per micro-batch, each with events of all times: most rows of a later file are late."""
+    path = scratch_path(spark, label)
+    rows.repartition(files).write.parquet(path)
+    return sj.read_event_stream(spark, path, rows.schema, fmt="parquet", max_files=1)
+
+
+def stream_dedup_batches(spark, d):
+    """Every event twice, over five micro-batches that are out of order: each comes out once and none is lost."""
+    ev = _shaped(spark, d).select("event_id", "user_id", "event_ts")
+    base = scratch_path(spark, "arrivals")
+    store = FirstArrivals(spark, f"{base}/store", ev.schema, buckets=8, pages=256)
+    store.run(_in_batches(spark, ev.unionByName(ev), "arrivals-in"), f"{base}/checkpoint").awaitTermination()
+    return store.rows().select("event_id", "user_id")
+
+
 def stream_window_counts(spark, d):
-    """Hourly counts of the closed windows: an open window is not emitted in append mode."""
-    counts = sj.window_counts(_event_stream(spark, d).withColumn("event_type", F.lower("event_type")), "1 hour", watermark="10 minutes")
-    landed = spark.read.parquet(_finish(spark, counts, "windows"))
-    return _edge(landed.select("window_start", "events", "purchases"))
+    """Hourly counts of a live table that five micro-batches out of order have filled: every window, open ones too."""
+    ev = _shaped(spark, d).select("event_ts", F.lower("event_type").alias("event_type"))
+    base = scratch_path(spark, "windows")
+    live = LiveWindows(spark, f"{base}/live", "1 hour")
+    live.run(_in_batches(spark, ev, "windows-in"), f"{base}/checkpoint").awaitTermination()
+    return _edge(live.counts().select("window_start", "events", "purchases"))
+
+
+def stream_bounded(spark, d):
+    """Events as stored records: one run that stops after 1,000 rows, and one that takes the rest in batches of 4,000."""
+    ev = _shaped(spark, d).select(*EVENT_COLUMNS)
+    no = F.col("key").cast("string").cast("long")
+    place = {"partition": (no % 3).cast("int"), "offset": F.floor(no / 3).cast("long"), "timestamp": F.lit(None).cast("timestamp")}
+    base = scratch_path(spark, "bounded")
+    records.encode_records(ev).withColumns(place).select(*RECORD_SCHEMA.names).write.parquet(f"{base}/log")
+    log = RecordLog(spark, f"{base}/log", f"{base}/out")
+    log.consume(stop_after=1000)
+    first = spark.createDataFrame(log.offsets.read().select("partition", F.col("next").alias("_next")).collect(), "partition int, _next long")
+    log.consume(per_batch=4000)
+    rows = log.rows.read().join(first, "partition", "left").withColumn("run", F.when(F.col("offset") < F.col("_next"), 1).otherwise(2))
+    return rows.select("run", "offset", records.decoded().alias("e")).select("run", "offset", "e.event_id", "e.user_id", "e.event_type")
 
 
 def stream_sliding_counts(spark, d):
@@ -1008,7 +1047,7 @@ QUERIES: dict[str, Query] = {
         vector_search_events, vector_search_products, vector_search_events_all, vector_search_products_all, text_embed,
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
         rag_retrieve_all, rag_prompt_all, rag_hit_rate_all, rag_first_types_all, query_intent_all, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
-        stream_land, stream_clean, stream_dedup, stream_window_counts, stream_sliding_counts,
+        stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,
         failure_rate_alert, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,
     )

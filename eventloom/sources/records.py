@@ -6,7 +6,7 @@ installed and any frame of the same schema where it is not.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from eventloom.schema import EVENT_SCHEMA
 
@@ -20,7 +20,11 @@ def encode_records(df: DataFrame, key: str = "event_id", topic: str = "events")
     )
 
 
+def decoded(schema: T.StructType = EVENT_SCHEMA) -> Column:
+    """The event in the ``value`` bytes."""
+    return F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
+
+
 def decode_records(records: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """Events from the ``value`` bytes; an undecodable record becomes an all-null row."""
-    parsed = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
-    return records.select(parsed.alias("e")).select("e.*")
+    return records.select(decoded(schema).alias("e")).select("e.*")
