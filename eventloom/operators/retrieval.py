@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventloom.functions.text import event_chunks
-from eventloom.operators.embed import VECTOR_DIM, Encoder, apply_encoder, apply_lexical, fit_lexical
+from eventloom.operators.embed import VECTOR_DIM, Encoder, LexicalModel, apply_encoder, apply_lexical, fit_lexical
 from eventloom.operators.search import topk_exact, with_fields, write_vectors
 
 # System instruction and section headings of the prompt.
@@ -30,13 +29,14 @@ METADATA_COLUMNS = ("event_id", "user_id", "event_type", "product_id", "page", "
 def kb_rows(ev: DataFrame) -> DataFrame:
     """One row per chunk of each event: id, metadata and chunk. An event that occurs twice counts once.
 
-    The id is a hash of ``event_id`` and the chunk's number: the same on every run and computed without ordering rows.
+    The id is 60 bits of the md5 of ``event_id`` and the chunk's number: the same on every run, in any engine, and computed
+    without ordering rows.
     """
     chunks = event_chunks(ev.dropDuplicates(["event_id"]))
     category = F.col("product_category") if "product_category" in ev.columns else F.lit(None).cast("string")
     text = [F.coalesce(F.col(c), F.lit("?" if c in ("user_id", "event_type") else "")).alias(c) for c in METADATA_COLUMNS]
     return chunks.select(
-        F.xxhash64("event_id", "chunk_no").alias("id"), *text,
+        F.conv(F.substring(F.md5(F.concat_ws("#", "event_id", "chunk_no")), 1, 15), 16, 10).cast("long").alias("id"), *text,
         F.coalesce(category, F.lit("")).alias("product_category"),
         F.coalesce("duration_ms", F.lit(0)).alias("duration_ms"), "chunk",
     )
@@ -47,7 +47,7 @@ class KnowledgeBase:
     """Stored entries with their vectors, and what turns a question into a vector of the same kind."""
 
     entries: DataFrame
-    model: PipelineModel | None = None
+    model: LexicalModel | None = None
     encoder: Encoder | None = None
     dim: int = VECTOR_DIM
 
@@ -68,14 +68,14 @@ def build_knowledge_base(ev: DataFrame, path: str, encoder: Encoder | None = Non
         entries = apply_encoder(rows, "chunk", encoder, dim)
     else:
         model = fit_lexical(rows, "chunk", dim)
-        model.write().overwrite().save(f"{path}/model")
+        model.save(ev.sparkSession, f"{path}/model")
         entries = apply_lexical(rows, "chunk", model)
     write_vectors(entries, f"{path}/entries")
     return open_knowledge_base(ev.sparkSession, path, encoder, dim)
 
 
 def open_knowledge_base(spark: SparkSession, path: str, encoder: Encoder | None = None, dim: int = VECTOR_DIM) -> KnowledgeBase:
-    model = None if encoder is not None else PipelineModel.load(f"{path}/model")
+    model = None if encoder is not None else LexicalModel.load(spark, f"{path}/model")
     return KnowledgeBase(spark.read.parquet(f"{path}/entries"), model, encoder, dim)
 
 

@@ -129,14 +129,16 @@ def _grid(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     left = corpus.join(sizes, keys).select(*keys, own("id", "cn").alias("cb"), every("qn").alias("qb"), "id", "embedding")
-    right = queries.join(sizes, keys).select(*keys, every("cn").alias("cb"), own("query_id", "qn").alias("qb"), "query_id", "embedding")
+    # Columns of its own on the right side: the queries may be taken from the corpus itself.
+    names = [F.col(c).alias(f"q_{c}") for c in keys]
+    right = queries.join(sizes, keys).select(*names, every("cn").alias("q_cb"), own("query_id", "qn").alias("q_qb"), F.col("query_id").alias("q_id"), F.col("embedding").alias("asked"))
 
     def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or asked.num_rows == 0:
             return pa.Table.from_batches([], schema=_HIT_ARROW)
         dim = len(rows["embedding"][0])
-        qids, ids = asked["query_id"].to_numpy(), rows["id"].to_numpy()
-        q, vectors = _matrix(asked["embedding"], dim), _matrix(rows["embedding"], dim)
+        qids, ids = asked["q_id"].to_numpy(), rows["id"].to_numpy()
+        q, vectors = _matrix(asked["asked"], dim), _matrix(rows["embedding"], dim)
         best = _TopK(len(qids), k)
         for i in range(0, len(qids), QUERY_SLICE):
             part = q[i : i + QUERY_SLICE]
@@ -144,7 +146,7 @@ def _grid(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return pa.Table.from_batches([_batch(best, qids)])
 
     groups = [*keys, "cb", "qb"]
-    return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(score, _HIT_SCHEMA)
+    return left.groupBy(*groups).cogroup(right.groupBy(*(f"q_{c}" for c in groups))).applyInArrow(score, _HIT_SCHEMA)
 
 
 # --- exact search ----------------------------------------------------------------------------

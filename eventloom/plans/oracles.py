@@ -158,6 +158,32 @@ report AS (SELECT *, IF(p + r = 0, 0, 2 * p * r / (p + r)) AS f FROM per)
 
 _HITS = "SELECT query_id, id, ROUND(score, 6) AS score, rank FROM hits"
 
+def _lexical(src: str, id_: str, text: str, out: str, also: str = "") -> str:
+    """Unit vectors of a relation's texts by words dealt to 384 slots, as ``out`` (id, v); ``also`` is vectored by the same weights."""
+    split = "SELECT {0} AS id, UNNEST(regexp_split_to_array(LOWER({1}), '[ \\t\\n\\r\\f\\v]+')) AS w FROM {2}"
+    cast = "CAST('0x' || SUBSTR(MD5(w), 1, 8) AS BIGINT) % 384"
+    steps = f""",
+{out}_words AS (SELECT id, {cast} AS slot, COUNT(*) AS n FROM ({split.format(id_, text, src)}) WHERE w <> '' GROUP BY 1, 2),
+{out}_rare AS (SELECT slot, LN(((SELECT COUNT(*) FROM {src}) + 1.0::DOUBLE) / (COUNT(*) + 1)) AS idf FROM {out}_words GROUP BY slot)"""
+    for name, words, rows, key in ((out, f"{out}_words", src, id_), *([(also, f"{also}_words", "asked", "query_id")] if also else [])):
+        if name == also:
+            steps += f""",
+{also}_words AS (SELECT id, {cast} AS slot, COUNT(*) AS n FROM ({split.format("query_id", "question", "asked")}) WHERE w <> '' GROUP BY 1, 2)"""
+        steps += f""",
+{name}_long AS (SELECT id, slot, n * idf AS x FROM {words} JOIN {out}_rare USING (slot)),
+{name}_unit AS (SELECT id, slot, CAST(CAST(x / SQRT(SUM(x * x) OVER (PARTITION BY id)) AS FLOAT) AS DOUBLE) AS x FROM {name}_long),
+{name}_maps AS (SELECT id, map_from_entries(list((slot, x))) AS m FROM {name}_unit GROUP BY id),
+{name} AS (SELECT {rows}.{key} AS id, list_transform(range(384), lambda i: COALESCE(m[i], 0.0::DOUBLE)) AS v
+  FROM {rows} LEFT JOIN {name}_maps ON {name}_maps.id = {rows}.{key})"""
+    return steps
+
+
+_KB_ID = "CAST('0x' || SUBSTR(MD5(event_id || '#' || chunk_no), 1, 15) AS BIGINT)"
+_MEAN_OF = """SELECT {key}, list(x ORDER BY pos) AS q FROM (
+    SELECT {key}, pos, AVG(x) AS x FROM (SELECT {key}, UNNEST(v) AS x, UNNEST(range(len(v))) AS pos FROM {src}) GROUP BY {key}, pos)
+  GROUP BY {key}"""
+_PLACE = "list_sum(list_transform(range(len(v)), lambda i: v[i + 1] * (i + 1)))"
+
 _KNOWLEDGE = (
     _EV
     + """, talk AS (
@@ -166,14 +192,14 @@ _KNOWLEDGE = (
          LEAST(GREATEST(duration_ms, 0), 300000) AS duration_ms, device, browser
   FROM ev)"""
     + _chunk(20, 200)
-    + """,
-kb AS (SELECT e.vec_id AS id, CAST(e.embedding AS DOUBLE[]) AS v, c.* FROM embeddings e JOIN chunks c ON c.eid = e.vec_id),
+    + f", listed AS (SELECT {_KB_ID} AS id, * FROM chunks)"
+    + _lexical("listed", "id", "chunk", "lex")
+    + f""",
+kb AS (SELECT lex.v, e.* FROM listed e JOIN lex ON lex.id = e.id),
 questions AS (
   SELECT event_type AS expected_type, 'Find ' || event_type || ' events' AS question,
-         list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS query_id, list(x ORDER BY pos) AS q
-  FROM (SELECT event_type, pos, AVG(x) AS x FROM (
-      SELECT event_type, UNNEST(v) AS x, UNNEST(range(len(v))) AS pos FROM kb) GROUP BY event_type, pos)
-  GROUP BY event_type)
+         list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS query_id, q
+  FROM ({_MEAN_OF.format(key="event_type", src="kb")}))
 """
 )
 _DOCS = ", docs AS (SELECT h.query_id, h.rank, h.score, kb.* FROM hits h JOIN kb ON kb.id = h.id)"
@@ -183,6 +209,15 @@ def _rag(k: int, select: str) -> str:
     return _KNOWLEDGE + _topk("kb", "questions", k) + _DOCS + select
 
 
+_EVENT_VECTORS = (
+    _EV
+    + """, told AS (SELECT *, CONCAT_WS('，', '事件类型: ' || event_type, '用户: ' || user_id, '商品: ' || product_id, '页面: ' || page,
+          CASE WHEN referrer <> 'direct' THEN '来源: ' || referrer END, '设备: ' || device, '浏览器: ' || browser) AS text_content FROM ev)"""
+    + _lexical("told", "eid", "text_content", "lex")
+    + f""", target AS (SELECT lex.id, v, told.* FROM lex JOIN told ON told.eid = lex.id),
+page_queries AS (SELECT ROW_NUMBER() OVER (ORDER BY page) AS query_id, q FROM ({_MEAN_OF.format(key="page", src="target")}))"""
+)
+
 _SYSTEM = SYSTEM_PROMPT.replace("'", "''")
 
 
@@ -439,21 +474,26 @@ ORACLES: dict[str, str] = {
         SELECT COUNT(*) AS exact_hits, COUNT(hits.id) AS found_hits, COUNT(hits.id) / COUNT(*) AS recall
         FROM every LEFT JOIN hits USING (query_id, id)""",
     "vector_topk_ivf_all": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
-    "vector_search_events": _EV + _MEANS + """, target AS (SELECT vecs.id, v, ev.* FROM vecs JOIN ev ON ev.eid = vecs.id)"""
-        + _topk("target", "label_queries", 10, "LOWER(event_type) = 'purchase'")
-        + """SELECT h.query_id, h.id, ROUND(h.score, 4) AS score, h.rank, t.event_id, t.user_id, t.event_type,
-        CONCAT_WS('，', '事件类型: ' || event_type, '用户: ' || user_id, '商品: ' || product_id, '页面: ' || page,
-          CASE WHEN referrer <> 'direct' THEN '来源: ' || referrer END, '设备: ' || device, '浏览器: ' || browser) AS text_content
+    "vector_all_queries": _EV + _MEANS + _topk("vecs", "(SELECT id AS query_id, v AS q FROM vecs)", 10) + _HITS,
+    "vector_search_events": _EVENT_VECTORS + _topk("target", "page_queries", 10, "LOWER(event_type) = 'purchase'")
+        + """SELECT h.query_id, h.id, ROUND(h.score, 4) AS score, h.rank, t.event_id, t.user_id, t.event_type, t.text_content
         FROM hits h JOIN target t ON t.id = h.id""",
-    "vector_search_products": _EV + _MEANS + """, target AS (
-        SELECT k AS id, list(x ORDER BY pos) AS v FROM (
-          SELECT k, pos, AVG(x) AS x FROM (
-            SELECT ev.k, UNNEST(vecs.v) AS x, UNNEST(range(len(vecs.v))) AS pos
-            FROM vecs JOIN ev ON ev.eid = vecs.id WHERE ev.k < 70) GROUP BY k, pos)
-        GROUP BY k)""" + _topk("target", "label_queries", 5) + """SELECT h.query_id, CAST(h.id AS BIGINT) AS id, ROUND(h.score, 4) AS score, h.rank,
+    "vector_search_products": _EVENT_VECTORS + f""", goods AS (
+        SELECT CAST(SUBSTR(product_id, 2) AS BIGINT) AS id, q AS v FROM ({_MEAN_OF.format(key="product_id", src="(SELECT * FROM target WHERE product_id IS NOT NULL)")}))"""
+        + _topk("goods", "page_queries", 5) + """SELECT h.query_id, h.id, ROUND(h.score, 4) AS score, h.rank,
         p.product_id, p.total_views, p.total_purchases
         FROM hits h JOIN products p ON CAST(SUBSTR(p.product_id, 2) AS BIGINT) = h.id""",
-    "text_embed": """SELECT doc_id, CAST(384 AS INTEGER) AS dim, 1.0::DOUBLE AS norm FROM documents""",
+    "text_embed": "WITH none AS (SELECT 1)" + _lexical("documents", "doc_id", "COALESCE(text, '')", "lex")
+        + f"""SELECT id AS doc_id, CAST(len(v) AS INTEGER) AS dim, ROUND(list_dot_product(v, v), 4) AS norm,
+        CAST(len(list_filter(v, lambda x: x > 0)) AS INTEGER) AS slots, ROUND({_PLACE}, 3) AS place FROM lex""",
+    "rag_text_hit_rate": _EV + _TALK_EV + _chunk(20, 200) + f""", listed AS (SELECT {_KB_ID} AS id, * FROM chunks),
+        asked AS (SELECT * FROM (VALUES (1, 'User performed purchase from google via mobile Chrome', 'purchase'), (2, 'User performed click on page cart', 'click'),
+          (3, 'User performed view on page product_detail via desktop', 'view'), (4, 'User performed signup from email', 'signup'),
+          (5, 'User performed error on page profile via tablet', 'error')) t(query_id, question, expected_type))"""
+        + _lexical("listed", "id", "chunk", "lex", "ask") + _topk("lex", "(SELECT id AS query_id, v AS q FROM ask)", 10)
+        + """, judged AS (SELECT a.query_id, MAX(CAST(LOWER(e.event_type) = a.expected_type AS INTEGER)) AS hit
+          FROM asked a LEFT JOIN hits h ON h.query_id = a.query_id LEFT JOIN listed e ON e.id = h.id GROUP BY 1)
+        SELECT COUNT(*) AS queries, COUNT(*) FILTER (hit = 1) AS hits, COUNT(*) FILTER (hit = 1) / COUNT(*) AS hit_rate FROM judged""",
     # retrieval
     "rag_retrieve": _rag(5, "SELECT query_id, id, ROUND(score, 4) AS score, rank, event_type, user_id, product_id, chunk FROM docs"),
     "rag_prompt": _rag(5, f""", entries AS (SELECT query_id, string_agg(CAST(rank AS VARCHAR) || '. [Event: ' || event_type || ' | User: ' || user_id ||
@@ -471,9 +511,10 @@ ORACLES: dict[str, str] = {
           'SELECT * FROM raw.user_events WHERE event_type = ''' || top_type || ''' ORDER BY event_ts DESC LIMIT 100;' AS suggested_sql,
           distribution, string_agg(event_type || '|' || chunk, ';' ORDER BY rank) FILTER (rank <= 5) AS matches
         FROM docs d JOIN best b ON b.query_id = d.query_id GROUP BY d.query_id, top_type, distribution"""),
-    "kb_build": _EV + _TALK_EV + _chunk(20, 200) + """SELECT event_id, user_id, event_type, COALESCE(product_id, '') AS product_id, page,
+    "kb_build": _EV + _TALK_EV + _chunk(20, 200) + f", listed AS (SELECT {_KB_ID} AS id, * FROM chunks)" + _lexical("listed", "id", "chunk", "lex")
+        + f"""SELECT id, event_id, user_id, event_type, COALESCE(product_id, '') AS product_id, page,
         COALESCE(referrer, '') AS referrer, device, browser, COALESCE(product_category, '') AS product_category, duration_ms, chunk,
-        CAST(384 AS INTEGER) AS dim FROM chunks""",
+        CAST(len(v) AS INTEGER) AS dim, ROUND({_PLACE}, 3) AS place FROM listed JOIN lex USING (id)""",
     "kb_build_doubled": _EV + _TALK_EV + _chunk(20, 200) + "SELECT event_id, event_type, chunk FROM chunks",
     "hit_metadata": _EV + _MEANS + _topk("vecs", "label_queries", 10) + """SELECT h.query_id, h.id, h.rank,
         COALESCE(m.event_type, '?') AS event_type, COALESCE(m.user_id, '?') AS user_id
@@ -515,3 +556,6 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fct_user_events_daily', COUNT(*), 0 FROM (SELECT DISTINCT CAST(event_ts AS DATE), event_type FROM loaded)
         UNION ALL SELECT 'dim_products', COUNT(DISTINCT product_id), 0 FROM loaded WHERE product_id <> 'unknown'""",
 }
+ORACLES |= {f"{name}_all": ORACLES[name] for name in (
+    "vector_search_events", "vector_search_products", "rag_retrieve", "rag_prompt", "rag_hit_rate", "rag_first_types", "query_intent",
+)}

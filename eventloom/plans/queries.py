@@ -688,26 +688,6 @@ def ivf_recall(spark, d):
     return search.recall(_ivf(spark, d, TEST_NPROBE), exact)
 
 
-def vector_search_events(spark, d):
-    """Search among purchase events by the mean vector of each label."""
-    ev = ft.event_text(user_events(spark, d)).select(F.col("event_no").alias("id"), "event_id", "user_id", "event_type", "text_content")
-    corpus = _corpus(spark, d).select("id", "embedding").join(ev, "id")
-    fields = {"event_id": "", "user_id": "", "event_type": "", "text_content": ""}
-    hits = retrieval.search_rows(corpus, _label_queries(spark, d), fields, 10, where=F.lower("event_type") == "purchase")
-    return hits.select("query_id", "id", "score", "rank", *fields)
-
-
-def vector_search_products(spark, d):
-    """Search among products; a product's vector is the mean over its events' vectors."""
-    ev = user_events(spark, d).filter("product_id IS NOT NULL").select(F.col("event_no").alias("id"), F.col("k").cast("long").alias("product_no"))
-    vectors = _mean_vectors(_corpus(spark, d).join(ev, "id").select("product_no", "embedding"), "product_no")
-    products = _products(spark, d).withColumn("product_no", F.substring("product_id", 2, 8).cast("long"))
-    corpus = vectors.join(products, "product_no").withColumnRenamed("product_no", "id")
-    fields = {"product_id": "", "total_views": 0, "total_purchases": 0}
-    hits = retrieval.search_rows(corpus, _label_queries(spark, d), fields, 5)
-    return hits.select("query_id", "id", "score", "rank", *fields)
-
-
 def _event_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Every event with its text and the text's vector, written once."""
     path = scratch_path(spark, "event_vectors")
@@ -723,16 +703,16 @@ def _page_queries(vectors: DataFrame) -> DataFrame:
     return asked.crossJoin(pages).select(F.array_position("pages", F.col("page")).alias("query_id"), "embedding")
 
 
-def vector_search_events_all(spark, d):
-    """``vector_search_events`` over every event, by vectors of the events' texts and one question per page."""
+def vector_search_events(spark, d):
+    """Search among all purchase events by vectors of the events' texts, one question per page."""
     corpus = _event_vectors(spark, d)
     fields = {"event_id": "", "user_id": "", "event_type": "", "text_content": ""}
     hits = retrieval.search_rows(corpus, _page_queries(corpus), fields, 10, where=F.lower("event_type") == "purchase")
     return hits.select("query_id", "id", "score", "rank", *fields)
 
 
-def vector_search_products_all(spark, d):
-    """``vector_search_products`` over every product: the mean over the vectors of all its events."""
+def vector_search_products(spark, d):
+    """Search among all products; a product's vector is the mean over the vectors of all its events."""
     ev = _event_vectors(spark, d)
     vectors = _mean_vectors(ev.filter("product_id IS NOT NULL"), "product_id")
     corpus = vectors.join(_products(spark, d), "product_id").withColumn("id", F.substring("product_id", 2, 8).cast("long"))
@@ -741,22 +721,34 @@ def vector_search_products_all(spark, d):
     return hits.select("query_id", "id", "score", "rank", *fields)
 
 
+def _place(vector: str) -> Column:
+    """Sum of the elements times their numbers."""
+    return F.aggregate(F.transform(vector, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+
+
 def text_embed(spark, d):
-    out = embed.embed_text(table(spark, d, "documents").select("doc_id", "text"), "text")
-    return out.select("doc_id", F.size("embedding").alias("dim"), F.round(fv.inner_product("embedding", "embedding"), 4).alias("norm"))
+    """Vectors of all documents; ``place`` weighs each slot by its number, so that a wrong slot or weight shows."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = embed.embed_text(docs, "text", tasks=spark.sparkContext.defaultParallelism)
+    return out.select(
+        "doc_id", F.size("embedding").alias("dim"), F.round(fv.inner_product("embedding", "embedding"), 4).alias("norm"),
+        F.size(F.filter("embedding", lambda x: x > 0)).alias("slots"), F.round(_place("embedding"), 3).alias("place"),
+    )
+
+
+def vector_all_queries(spark, d):
+    """Every vector asks the table it is in."""
+    corpus = _corpus(spark, d)
+    return _hits(search.topk_exact(corpus, corpus.select(F.col("id").alias("query_id"), "embedding"), 10))
 
 
 # --- retrieval -------------------------------------------------------------------------------
 
 
-def _knowledge(spark: SparkSession, d: str) -> DataFrame:
-    """Events that have a given vector, with their sentence; ``_whole_knowledge`` holds every event."""
-    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("event_no"), "embedding")
-    # Joined before the sentences are built, so only events with a vector get one.
-    ev = clean.clean_events(user_events(spark, d, category=True).join(vectors, "event_no"), mode="clip")
-    return ft.event_chunks(ev).select(
-        F.col("event_no").alias("id"), "embedding", "event_id", "user_id", "event_type", "product_id", "chunk"
-    )
+def _whole_knowledge(spark: SparkSession, d: str) -> DataFrame:
+    """The knowledge base of every event, with vectors of its own text; built once per query."""
+    ev = clean.clean_events(user_events(spark, d, category=True), mode="clip")
+    return retrieval.build_knowledge_base(ev, scratch_path(spark, "kb")).entries
 
 
 def _questions(kb: DataFrame) -> DataFrame:
@@ -769,24 +761,24 @@ def _questions(kb: DataFrame) -> DataFrame:
 
 
 def rag_retrieve(spark, d):
-    kb = _knowledge(spark, d)
+    kb = _whole_knowledge(spark, d)
     return retrieval.retrieve(kb, _questions(kb), 5).select("query_id", "id", "score", "rank", "event_type", "user_id", "product_id", "chunk")
 
 
 def rag_prompt(spark, d):
-    kb = _knowledge(spark, d)
+    kb = _whole_knowledge(spark, d)
     asked = _questions(kb)
     return retrieval.build_prompts(retrieval.retrieve(kb, asked, 5), asked.select("query_id", "question"))
 
 
 def rag_hit_rate(spark, d):
-    kb = _knowledge(spark, d)
+    kb = _whole_knowledge(spark, d)
     asked = _questions(kb)
     return retrieval.hit_rate(retrieval.retrieve(kb, asked, 10), asked, 10)
 
 
 def rag_first_types(spark, d):
-    kb = _knowledge(spark, d)
+    kb = _whole_knowledge(spark, d)
     return retrieval.first_types(retrieval.retrieve(kb, _questions(kb), 10))
 
 
@@ -800,42 +792,6 @@ def _intent_columns(out: DataFrame) -> DataFrame:
 
 
 def query_intent(spark, d):
-    kb = _knowledge(spark, d)
-    return _intent_columns(retrieval.query_intent(retrieval.retrieve(kb, _questions(kb), 10)))
-
-
-def _whole_knowledge(spark: SparkSession, d: str) -> DataFrame:
-    """The knowledge base of every event, with vectors of its own text; built once per query."""
-    ev = clean.clean_events(user_events(spark, d, category=True), mode="clip")
-    return retrieval.build_knowledge_base(ev, scratch_path(spark, "kb")).entries
-
-
-def rag_retrieve_all(spark, d):
-    """``rag_retrieve`` over the knowledge base of every event, as are the four queries below."""
-    kb = _whole_knowledge(spark, d)
-    return retrieval.retrieve(kb, _questions(kb), 5).select(
-        "query_id", "id", "score", "rank", "event_type", "user_id", "product_id", "chunk"
-    )
-
-
-def rag_prompt_all(spark, d):
-    kb = _whole_knowledge(spark, d)
-    asked = _questions(kb)
-    return retrieval.build_prompts(retrieval.retrieve(kb, asked, 5), asked.select("query_id", "question"))
-
-
-def rag_hit_rate_all(spark, d):
-    kb = _whole_knowledge(spark, d)
-    asked = _questions(kb)
-    return retrieval.hit_rate(retrieval.retrieve(kb, asked, 10), asked, 10)
-
-
-def rag_first_types_all(spark, d):
-    kb = _whole_knowledge(spark, d)
-    return retrieval.first_types(retrieval.retrieve(kb, _questions(kb), 10))
-
-
-def query_intent_all(spark, d):
     kb = _whole_knowledge(spark, d)
     return _intent_columns(retrieval.query_intent(retrieval.retrieve(kb, _questions(kb), 10)))
 
@@ -849,7 +805,8 @@ def kb_build_doubled(spark, d):
 def kb_build(spark, d):
     kb = retrieval.build_knowledge_base(user_events(spark, d, category=True), scratch_path(spark, "kb"))
     return kb.entries.select(
-        *retrieval.METADATA_COLUMNS, "product_category", "duration_ms", "chunk", F.size("embedding").alias("dim")
+        "id", *retrieval.METADATA_COLUMNS, "product_category", "duration_ms", "chunk", F.size("embedding").alias("dim"),
+        F.round(_place("embedding"), 3).alias("place"),
     )
 
 
@@ -1025,6 +982,12 @@ def batch_job_counts(spark, d):
     return out
 
 
+# The names that these searches of every event had beside narrower ones.
+vector_search_events_all, vector_search_products_all = vector_search_events, vector_search_products
+rag_retrieve_all, rag_prompt_all, rag_hit_rate_all, rag_first_types_all = rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types
+query_intent_all = query_intent
+WHOLE = ("vector_search_events", "vector_search_products", "rag_retrieve", "rag_prompt", "rag_hit_rate", "rag_first_types", "query_intent")
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -1044,11 +1007,12 @@ QUERIES: dict[str, Query] = {
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
         vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall, vector_topk_centres, centres_recall,
-        vector_search_events, vector_search_products, vector_search_events_all, vector_search_products_all, text_embed,
+        vector_search_events, vector_search_products, vector_all_queries, text_embed,
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
-        rag_retrieve_all, rag_prompt_all, rag_hit_rate_all, rag_first_types_all, query_intent_all, kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
+        kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,
         failure_rate_alert, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,
     )
 }
+QUERIES |= {f"{name}_all": QUERIES[name] for name in WHOLE}

@@ -65,6 +65,14 @@ def test_fewer_rows_than_k(small):
     assert all(len(h) == 4 for h in got.values())
 
 
+def test_queries_from_the_corpus_itself(spark, small):
+    cv, corpus, _, _ = small
+    asked = corpus.select(F.col("id").alias("query_id"), "embedding")
+    assert _got(search.topk_exact(corpus, asked, 3)) == _brute(cv, cv, 3)
+    few = corpus.filter("id < 5").select(F.col("id").alias("query_id"), "embedding")
+    assert _got(search.topk_exact(corpus, few, 3, where=F.col("id") >= 0)) == _brute(cv, cv[:5], 3)
+
+
 def test_pruned_search(spark, small, tmp_path, monkeypatch):
     cv, corpus, qv, queries = small
     monkeypatch.setattr(search, "CORPUS_BLOCK_BYTES", 70 * 64)
