@@ -13,8 +13,9 @@ from eventloom.session import bounded_broadcast
 # Display names of the funnel steps, in order.
 FUNNEL_STEPS = ("浏览/搜索", "加入购物车", "下单购买")
 
-# Equal-width bins per group used to locate an exact rank.
-RANK_BINS = 1024
+# Bins per group used to locate an exact rank: EDGE_GROUPS groups of EDGE_GROUPS, bounded by quantiles of the distinct
+# values that a mergeable sketch of this accuracy gives.
+EDGE_GROUPS, EDGE_ACCURACY = 16, 10_000
 
 
 def _kind() -> Column:
@@ -234,13 +235,33 @@ def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
+def _binned(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``n``, the group's rows, and ``b``, the bin of each distinct value ``v`` (with count ``c``).
+
+    Bins lie between quantiles of the group's distinct values, so each holds about as many of them however far apart or
+    frequent they are; the sketch only places the bins, whose rows are then counted exactly.
+    """
+    count = EDGE_GROUPS**2
+    edges = F.percentile_approx("v", [i / count for i in range(1, count)], EDGE_ACCURACY)
+    span = hist.groupBy(*keys).agg(edges.alias("_edges"), F.sum("c").alias("n"))
+    if keys:
+        spanned = hist.alias("h").join(span.alias("s"), _same_keys("h", "s", keys)).select("h.*", "_edges", "n")
+    else:
+        spanned = hist.withColumn("s", span.select(F.struct("_edges", "n")).scalar()).select("v", "c", "s.*")
+    below = lambda some: F.size(F.filter(some, lambda e: e < F.col("v")))
+    every = F.transform(F.sequence(F.lit(1), F.lit(EDGE_GROUPS - 1)), lambda i: F.element_at("_edges", i * EDGE_GROUPS))
+    coarse = spanned.withColumn("_g", below(every) * EDGE_GROUPS)
+    fine = F.col("_g") + below(F.slice("_edges", F.col("_g") + 1, F.lit(EDGE_GROUPS - 1)))
+    return coarse.select(*keys, "v", "c", "n", fine.alias("b"))
+
+
 def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column]) -> DataFrame:
     """Exact sorted-position values per group: ``sorted(value)[rank]`` for each named rank.
 
     A rank is an expression over ``n``, the group's row count, e.g. ``F.floor(F.col("n") / 2)``.
-    No group is gathered in one place. Rows collapse to (group, value, count) on the map side;
-    1,024 equal-width bins per group are cumulated to find the bin each rank falls in; only
-    the values of those few bins are then ordered, bin by bin.
+    No group is gathered in one place. Rows collapse to (group, value, count) on the map side; 256 bins per group, placed
+    by a quantile sketch, are cumulated to find the bin each rank falls in; only the values of those few bins are then
+    ordered, bin by bin.
     """
     keys = list(keys)
     hist = (
@@ -248,17 +269,7 @@ def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Mapp
         .groupBy(*keys, F.col(value).alias("v"))
         .agg(F.count("*").alias("c"))
     )
-    span = hist.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    if keys:
-        spanned = hist.alias("h").join(span.alias("s"), _same_keys("h", "s", keys)).select("h.*", "lo", "hi", "n")
-    else:
-        whole = span.select(F.struct("lo", "hi", "n")).scalar()
-        spanned = hist.withColumn("s", whole).select("v", "c", "s.*")
-    lo = F.col("lo").cast("double")
-    width = F.col("hi").cast("double") - lo
-    position = F.when(width > 0, F.floor((F.col("v").cast("double") - lo) / width * RANK_BINS)).otherwise(F.lit(0))
-    bin_no = F.least(position, F.lit(RANK_BINS - 1)).cast("int")
-    binned = spanned.select(*keys, "v", "c", "n", bin_no.alias("b"))
+    binned = _binned(hist, keys)
     upto = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = (
         binned.groupBy(*keys, "b").agg(F.sum("c").alias("bc"), F.first("n").alias("n"))

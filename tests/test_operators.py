@@ -14,6 +14,21 @@ from eventloom.schema import EventRoles
 # --- order statistics ------------------------------------------------------------------------
 
 
+def test_bins_are_even_with_a_heavy_tail(spark):
+    """Values far apart, one value for most rows, and one value only: bins hold few distinct values and ranks are exact."""
+    values = [*range(5000), *[7] * 20_000, 10**15, -(10**12)]
+    rows = [("tail", v) for v in values] + [("one", 3)] * 50
+    df = spark.createDataFrame(rows, "g string, v long")
+    hist = df.groupBy("g", "v").agg(F.count("*").alias("c"))
+    sizes = {(r["g"], r["b"]): r["k"] for r in stats._binned(hist, ["g"]).groupBy("g", "b").agg(F.count("*").alias("k")).collect()}
+    assert max(k for (g, _), k in sizes.items() if g == "tail") <= 3 * 5002 / 256 and sizes[("one", 0)] == 1
+    got = {r["g"]: r for r in stats.duration_stats(df, ["g"], "v").collect()}
+    ordered, n = sorted(values), len(values)
+    assert (got["tail"]["median"], got["tail"]["p95"], got["tail"]["p99"]) == (
+        (ordered[(n - 1) // 2] + ordered[n // 2]) / 2, ordered[int(n * 0.95)], ordered[int(n * 0.99)])
+    assert (got["one"]["median"], got["one"]["p99"]) == (3.0, 3)
+
+
 def _stats_frame(spark, seed):
     rng = random.Random(seed)
     rows = []
