@@ -298,6 +298,8 @@ ORACLES: dict[str, str] = {
     "table_append": _EV + """SELECT event_id, event_type, duration_ms FROM cleaned
         UNION ALL SELECT event_id || '-b', event_type, duration_ms FROM cleaned""",
     "incremental_read": _EV + "SELECT event_id, user_id, event_ts FROM ev WHERE event_ts > TIMESTAMP '2024-01-16 12:00:00'",
+    "incremental_load": _EV + "SELECT event_id, user_raw AS user_id, event_type, event_ts FROM ev",
+    "stored_mark": _EV + "SELECT MAX(event_ts) AS mark, CAST(2 AS BIGINT) AS increments, COUNT(*) AS rows FROM ev",
     "high_water_mark": "SELECT MAX(ts) AS mark FROM events",
     "table_sample": _EV + "SELECT event_id, user_id, event_type FROM ev ORDER BY md5(event_id || ':42'), event_id LIMIT 5000",
     "table_head": _EV + "SELECT event_id, user_id, event_type FROM ev ORDER BY event_id LIMIT 1000",
@@ -474,6 +476,18 @@ ORACLES: dict[str, str] = {
         SELECT COUNT(*) AS exact_hits, COUNT(hits.id) AS found_hits, COUNT(hits.id) / COUNT(*) AS recall
         FROM every LEFT JOIN hits USING (query_id, id)""",
     "vector_topk_ivf_all": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
+    "vector_tree_all": _EV + _MEANS + _topk("vecs", "label_queries", 10) + _HITS,
+    "vector_tree_given": _EV + _MEANS + f""", halved AS (SELECT label * 2 + id % 2 AS half, v FROM vecs),
+        halves AS (SELECT half // 2 AS label, half, q FROM ({_MEAN_OF.format(key="half", src="halved")})),
+        near_label AS (SELECT id, v, arg_min(query_id, list_distance(q, v)) AS label FROM vecs CROSS JOIN label_queries GROUP BY id, v),
+        leaves AS (SELECT n.id, n.v, arg_min(h.half, list_distance(h.q, n.v)) AS half FROM near_label n JOIN halves h USING (label) GROUP BY n.id, n.v),
+        first AS (SELECT * FROM (SELECT a.query_id, a.q, b.query_id AS label,
+            ROW_NUMBER() OVER (PARTITION BY a.query_id ORDER BY list_distance(a.q, b.q)) AS r FROM label_queries a CROSS JOIN label_queries b) WHERE r <= 3),
+        looks AS (SELECT * FROM (SELECT f.query_id, f.q, h.half, ROW_NUMBER() OVER (PARTITION BY f.query_id ORDER BY list_distance(f.q, h.q)) AS r
+            FROM first f JOIN halves h USING (label)) WHERE r <= 3),
+        near AS (SELECT CAST(query_id AS BIGINT) AS query_id, id, ROUND(list_dot_product(q, v), 9) AS score FROM looks JOIN leaves USING (half)),
+        hits AS (SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM near) WHERE rank <= 10)
+        """ + _HITS,
     "vector_all_queries": _EV + _MEANS + _topk("vecs", "(SELECT id AS query_id, v AS q FROM vecs)", 10) + _HITS,
     "vector_search_events": _EVENT_VECTORS + _topk("target", "page_queries", 10, "LOWER(event_type) = 'purchase'")
         + """SELECT h.query_id, h.id, ROUND(h.score, 4) AS score, h.rank, t.event_id, t.user_id, t.event_type, t.text_content

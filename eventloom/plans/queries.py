@@ -11,12 +11,13 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom.functions import columns as fc, text as ft, vectors as fv
-from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, stats
+from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, stats, tree
 from eventloom.plans import jobs, models
 from eventloom.schema import EVENT_SCHEMA, EVENT_TYPES, RECORD_SCHEMA
 from eventloom.session import scratch_path
 from eventloom.sources import events as se, layout, records, testtables, warehouse
 from eventloom.sources.testtables import TEST_ROLES, raw_events, table, user_events
+from eventloom.sources.increments import IncrementalLoad
 from eventloom.sources.stored import RecordLog
 from eventloom.streaming import alerts, jobs as sj
 from eventloom.streaming.live import FirstArrivals, LiveWindows
@@ -169,6 +170,29 @@ def incremental_read(spark, d):
     return _edge(warehouse.read_since(ev, "event_ts", F.lit("2024-01-16 12:00:00").cast("timestamp")))
 
 
+def _increments(spark: SparkSession, d: str) -> IncrementalLoad:
+    """Events in two increments, with a run in between that breaks off before its commit."""
+    ev = _shaped(spark, d).select("event_id", "user_id", "event_type", "event_ts")
+    load = IncrementalLoad(spark, scratch_path(spark, "increments"), ev.schema)
+    middle = ev.agg(F.expr("timestamp_micros(cast((unix_micros(min(event_ts)) + unix_micros(max(event_ts))) / 2 as bigint))")).first()[0]
+    early, some = ev.filter(F.col("event_ts") <= F.lit(middle)), ev.filter("cast(event_id as long) % 3 = 0")
+    load.run(early)
+    # The lost run: an intent and a part of its rows.
+    low, high = load.mark().first()["mark"], ev.agg(F.max("event_ts")).first()[0]
+    load.intents.put(spark.createDataFrame([(low, high)], load.intents.schema), 1)
+    load.loaded.put(some.filter(F.col("event_ts") > F.lit(low)), 1)
+    load.run(ev)
+    return load
+
+
+def incremental_load(spark, d):
+    return _edge(_increments(spark, d).rows())
+
+
+def stored_mark(spark, d):
+    return _edge(_increments(spark, d).mark())
+
+
 def high_water_mark(spark, d):
     return _edge(warehouse.high_water_mark(user_events(spark, d), "event_ts"))
 
@@ -688,6 +712,39 @@ def ivf_recall(spark, d):
     return search.recall(_ivf(spark, d, TEST_NPROBE), exact)
 
 
+# The learnt tree on the test vectors: leaves of 40 at most, and how many a query looks into.
+TEST_CAPACITY, TEST_FANOUT, TEST_BEAM = 40, 4, 30
+
+
+def _tree(spark: SparkSession, d: str) -> tree.ClusterTree:
+    return tree.build_tree(_corpus(spark, d), scratch_path(spark, "tree"), TEST_CAPACITY, TEST_FANOUT)
+
+
+def vector_tree_given(spark, d):
+    """Two levels of given centres, the mean of each label and of its even and odd vectors; a query keeps 3 nodes a level."""
+    corpus = _corpus(spark, d)
+    node = (F.col("label") + 1).cast("long")
+    labels = _mean_vectors(corpus, "label").select(F.lit(0).cast("long").alias("node"), node.alias("child"), F.col("embedding").alias("center"))
+    half = corpus.withColumn("half", F.col("label") * 2 + F.pmod("id", F.lit(2)))
+    halves = _mean_vectors(half, "half").select(
+        (F.floor(F.col("half") / 2) + 1).cast("long").alias("node"), (F.col("half") + 100).cast("long").alias("child"), F.col("embedding").alias("center")
+    )
+    built = tree.build_tree(corpus, scratch_path(spark, "tree"), given=labels.unionByName(halves))
+    return _hits(built.topk(_label_queries(spark, d), 10, 3))
+
+
+def vector_tree_all(spark, d):
+    """A learnt tree with every leaf read: equal to the exact search."""
+    return _hits(_tree(spark, d).topk(_label_queries(spark, d), 10, 1 << 20))
+
+
+def vector_tree_recall(spark, d):
+    """Recall of a learnt tree, and the share of the vectors that a query is scored against."""
+    built, asked = _tree(spark, d), _label_queries(spark, d)
+    found = search.recall(built.topk(asked, 10, TEST_BEAM), search.topk_exact(_corpus(spark, d), asked, 10))
+    return found.withColumn("share", built.share_read(asked, TEST_BEAM).scalar())
+
+
 def _event_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Every event with its text and the text's vector, written once."""
     path = scratch_path(spark, "event_vectors")
@@ -993,7 +1050,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         clean_events, clip_duration, parse_timestamps, dedup_events, cleaning_report,
         read_jsonl_roundtrip, partitioned_roundtrip, recursive_read, csv_roundtrip, warehouse_load, table_migration,
-        table_append, incremental_read, high_water_mark, table_sample, table_head, source_availability, collection_stats,
+        table_append, incremental_read, high_water_mark, incremental_load, stored_mark, table_sample, table_head, source_availability, collection_stats,
         output_inspection, codec_sizes, layout_report, compaction_report, kafka_roundtrip,
         stg_user_events, dim_users, dim_products, fct_user_events_daily,
         segment_totals, user_segments, events_by_type, top_products, top_users, top_users_page_2, product_rank, row_count,
@@ -1007,7 +1064,7 @@ QUERIES: dict[str, Query] = {
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
         vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall, vector_topk_centres, centres_recall,
-        vector_search_events, vector_search_products, vector_all_queries, text_embed,
+        vector_search_events, vector_search_products, vector_all_queries, vector_tree_given, vector_tree_all, vector_tree_recall, text_embed,
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
         kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,

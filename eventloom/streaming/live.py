@@ -46,6 +46,10 @@ class BatchTable:
     def batch(self, batch_id: int) -> DataFrame:
         return self._read("rows", BATCH).filter(F.col(BATCH) == batch_id).drop(BATCH)
 
+    def batches(self) -> DataFrame:
+        """Unmerged rows with their ``batch_id``."""
+        return self._read("rows", BATCH)
+
     def merged_through(self) -> int:
         done = self.spark.read.schema(f"{MERGED} long").parquet(f"{self.path}/commits").agg(F.max(MERGED)).first()[0]
         return -1 if done is None else done
