@@ -13,11 +13,12 @@ whatever block they were scored in.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -301,3 +302,24 @@ def attach_metadata(hits: DataFrame, meta: DataFrame, defaults: dict[str, str |
 def write_vectors(df: DataFrame, path: str) -> None:
     """Replace a vector table: scalar fields plus an ``embedding`` array."""
     df.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
+def collection_report(spark: SparkSession, collections: Mapping[str, str]) -> DataFrame:
+    """One row per vector collection (name to path): whether it exists, its vectors, their lengths and its columns.
+
+    Only a path that does not exist counts as missing; any other fault of a collection is an error.
+    """
+    shape = "collection string, exists boolean, num_entities long, min_dim int, max_dim int, columns string"
+    out = spark.createDataFrame([], shape)
+    for name, path in collections.items():
+        try:
+            df = spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            out = out.unionByName(spark.createDataFrame([(name, False, None, None, None, None)], shape))
+            continue
+        columns = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
+        sizes = df.agg(F.count("*").alias("num_entities"), F.min(F.size("embedding")).alias("min_dim"), F.max(F.size("embedding")).alias("max_dim"))
+        out = out.unionByName(sizes.select(F.lit(name).alias("collection"), F.lit(True).alias("exists"), "*", F.lit(columns).alias("columns")))
+    return out

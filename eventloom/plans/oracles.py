@@ -309,6 +309,11 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'no_such_table', 0, FALSE""",
     "collection_stats": """SELECT COUNT(*) AS num_entities, CAST(MIN(len(embedding)) AS INTEGER) AS min_dim,
         CAST(MAX(len(embedding)) AS INTEGER) AS max_dim, COUNT(DISTINCT label) AS labels FROM embeddings""",
+    "collection_report": """SELECT 'user_events' AS collection, TRUE AS exists, COUNT(*) AS num_entities, CAST(MIN(len(embedding)) AS INTEGER) AS min_dim,
+        CAST(MAX(len(embedding)) AS INTEGER) AS max_dim, 'vec_id:bigint,embedding:array<float>,label:int' AS columns FROM embeddings
+        UNION ALL SELECT 'product_features', FALSE, NULL, NULL, NULL, NULL""",
+    "cleaning_output": _EV + """SELECT COUNT(*) AS clean_rows, COUNT(*) * 512 / 1048576.0::DOUBLE AS raw_estimate_mb, TRUE AS usable,
+        TRUE AS has_files, TRUE AS smaller FROM cleaned""",
     "output_inspection": _EV + "SELECT TRUE AS usable, COUNT(*) AS written FROM cleaned",
     "codec_sizes": _EV + """SELECT codec, TRUE AS usable, n AS rows FROM (VALUES ('snappy'), ('gzip'), ('zstd'), ('lz4')) c(codec),
         (SELECT COUNT(*) AS n FROM cleaned)""",

@@ -226,6 +226,19 @@ def collection_stats(spark, d):
     )
 
 
+def collection_report(spark, d):
+    """A stored collection and one that is not there."""
+    return search.collection_report(spark, {"user_events": f"{d}/embeddings.parquet", "product_features": f"{d}/no_such_collection.parquet"})
+
+
+def cleaning_output(spark, d):
+    """What the cleaned events take on disk against JSON lines; the bytes themselves differ from writer to writer."""
+    path = scratch_path(spark, "cleaned")
+    rows = se.write_events(_cleaned(spark, d), path)
+    report = layout.written_report(spark, path, rows)
+    return report.select("clean_rows", "raw_estimate_mb", "usable", (F.col("files") > 0).alias("has_files"), F.col("compression_pct").between(0.1, 99.9).alias("smaller"))
+
+
 def output_inspection(spark, d):
     path = scratch_path(spark, "inspect")
     rows = se.write_events(_cleaned(spark, d), path)
@@ -1051,7 +1064,7 @@ QUERIES: dict[str, Query] = {
         clean_events, clip_duration, parse_timestamps, dedup_events, cleaning_report,
         read_jsonl_roundtrip, partitioned_roundtrip, recursive_read, csv_roundtrip, warehouse_load, table_migration,
         table_append, incremental_read, high_water_mark, incremental_load, stored_mark, table_sample, table_head, source_availability, collection_stats,
-        output_inspection, codec_sizes, layout_report, compaction_report, kafka_roundtrip,
+        collection_report, cleaning_output, output_inspection, codec_sizes, layout_report, compaction_report, kafka_roundtrip,
         stg_user_events, dim_users, dim_products, fct_user_events_daily,
         segment_totals, user_segments, events_by_type, top_products, top_users, top_users_page_2, product_rank, row_count,
         dashboard_overview, sales_trend, hourly_histogram, hourly_heatmap, daily_event_count,

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventloom.operators.clean import RAW_BYTES_PER_ROW
 from eventloom.sources.events import write_events
 
 # The partition strategies compared, from least to most data per day.
@@ -39,6 +40,18 @@ def inspect_output(spark: SparkSession, path: str, pattern: str = "*.parquet") -
     )
 
 
+def written_report(spark: SparkSession, path: str, rows: int) -> DataFrame:
+    """What a load of ``rows`` cleaned rows has written: files, size, and size in % of the rows as JSON lines (estimated).
+
+    The ratio is null where no rows were written.
+    """
+    estimate = rows * RAW_BYTES_PER_ROW
+    return inspect_output(spark, path).select(
+        F.lit(rows).cast("long").alias("clean_rows"), "files", "bytes", "megabytes", F.lit(estimate / (1024.0 * 1024.0)).alias("raw_estimate_mb"),
+        F.round(F.col("bytes") * 100.0 / F.nullif(F.lit(estimate), F.lit(0)), 1).cast("double").alias("compression_pct"), "usable",
+    )
+
+
 def check_output(spark: SparkSession, path: str) -> None:
     """Raise when the output is missing or empty."""
     row = inspect_output(spark, path).first()

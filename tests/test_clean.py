@@ -250,3 +250,14 @@ def test_table_schema_and_limit(spark):
     assert got == [("id", "bigint"), ("s", "string")]
     assert [r["id"] for r in warehouse.read_table(spark, "nine", 3, ("id",)).collect()] == [0, 1, 2]
     assert warehouse.read_table(spark, "nine").count() == 9
+
+
+def test_written_report(spark, tmp_path):
+    from eventloom.sources import layout
+
+    spark.range(1000).selectExpr("cast(id as string) as s").coalesce(2).write.parquet(str(tmp_path / "out"))
+    size = sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))
+    row = layout.written_report(spark, str(tmp_path / "out"), 1000).first()
+    assert (row["bytes"], row["clean_rows"], row["raw_estimate_mb"]) == (size, 1000, 512_000 / 2**20)
+    assert row["compression_pct"] == round(size * 100 / 512_000, 1) and row["files"] >= 1 and row["usable"]
+    assert layout.written_report(spark, str(tmp_path / "out"), 0).first()["compression_pct"] is None
