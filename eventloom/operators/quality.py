@@ -1,7 +1,7 @@
 """Declarative data-quality rules.
 
-All row-level rules of a suite are one aggregation over one scan. A unique rule needs its own
-shuffle on the checked column and nothing else of the row.
+All row-level rules of a suite are one aggregation over one scan. A unique rule needs a shuffle on the checked column;
+the first one of a suite carries the counters of all other rules along, so a suite with one is one scan.
 """
 
 from __future__ import annotations
@@ -103,15 +103,28 @@ def _in_range(c: Column, rule: Rule) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def _aggregate(rule: Rule) -> Column:
-    """Failure count of a rule as an aggregate: rows for row rules, 0 or 1 for range rules."""
+def _measure(rule: Rule) -> Column:
+    """What a row or range rule needs of some rows: failing rows, an extreme or the number of rows."""
     if rule.kind in ROW_RULES:
         return F.count_if(violates(rule))
-    measure = {
+    return {
         "min_between": lambda: F.min(rule.column),
         "max_between": lambda: F.max(rule.column),
         "row_count_between": lambda: F.count("*"),
     }[rule.kind]()
+
+
+def _together(rule: Rule, part: str) -> Column:
+    """The measure of all rows from those of some rows each."""
+    if rule.kind in ("min_between", "max_between"):
+        return F.min(part) if rule.kind == "min_between" else F.max(part)
+    return F.coalesce(F.sum(part), F.lit(0))
+
+
+def _failures(rule: Rule, measure: Column) -> Column:
+    """Failure count from the measure: rows for row rules, 0 or 1 for range rules."""
+    if rule.kind in ROW_RULES:
+        return measure
     return F.when(_in_range(measure, rule), F.lit(0)).otherwise(F.lit(1)).cast("long")
 
 
@@ -130,14 +143,21 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     passes = []
     scanned = [r for r in rules if r.kind in (*ROW_RULES, *RANGE_RULES)]
     listed = [r for r in rules if r.kind == "ordered_columns"]
-    if scanned or listed:
-        names = {r: f"f{i}" for i, r in enumerate(scanned)}
-        counted = df.agg(*[_aggregate(r).alias(n) for r, n in names.items()] or [F.lit(0).alias("f")])
-        rows = [_result(r, F.col(n)) for r, n in names.items()]
-        # Column order is known from the schema; it needs no data.
-        rows += [_result(r, F.lit(int(tuple(df.columns) != r.values))) for r in listed]
+    unique = [r for r in rules if r.kind == "unique"]
+    names = {r: f"f{i}" for i, r in enumerate(scanned)}
+    rows = [_result(r, _failures(r, F.col(n))) for r, n in names.items()]
+    # Column order is known from the schema; it needs no data.
+    rows += [_result(r, F.lit(int(tuple(df.columns) != r.values))) for r in listed]
+    if unique:
+        first, *unique = unique
+        by_key = df.groupBy(F.col(first.column).alias("_key")).agg(F.count("*").alias("_n"), *[_measure(r).alias(n) for r, n in names.items()])
+        repeated = F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull())
+        counted = by_key.agg(repeated.alias("_repeated"), *[_together(r, n).alias(n) for r, n in names.items()])
+        passes.append(counted.select(F.inline(F.array(*rows, _result(first, F.col("_repeated"))))))
+    elif rows:
+        counted = df.agg(*[_measure(r).alias(n) for r, n in names.items()] or [F.lit(0).alias("f")])
         passes.append(counted.select(F.inline(F.array(*rows))))
-    for r in (r for r in rules if r.kind == "unique"):
+    for r in unique:
         failing = duplicate_keys(df, r.column).agg(F.count("*").alias("f"))
         passes.append(failing.select(F.inline(F.array(_result(r, F.col("f"))))))
     out = passes[0]

@@ -157,6 +157,22 @@ def test_row_rules_share_one_scan(spark, sf_dir):
     assert plan.count("FileScan") == 1
 
 
+def test_a_unique_rule_carries_the_others(spark, sf_dir):
+    """One scan for a suite with a unique rule, and the same counts as each rule alone, on an empty frame too."""
+    from eventloom.sources.testtables import table
+
+    rules = [quality.Rule("not_null", "user_id"), quality.Rule("unique", "event_id"), quality.Rule("row_count_between", low=1)]
+    plan = quality.run_suite(table(spark, sf_dir, "events"), rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    for rows in (GOOD, BAD, BAD * 3, [(None, None, None)] * 4, []):
+        df = _dq(spark, rows)
+        alone = sorted(tuple(quality.run_suite(df, [r]).first()) for r in RULES)
+        assert sorted(map(tuple, quality.run_suite(df, RULES).collect())) == alone
+        twice = [*RULES, quality.Rule("unique", "event_type")]
+        found = {r["rule"]: r["failures"] for r in quality.run_suite(df, twice).collect()}
+        assert found["unique:event_type"] == quality.duplicate_keys(df, "event_type").count()
+
+
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         quality.Rule("looks_nice", "x")
