@@ -554,6 +554,10 @@ ORACLES: dict[str, str] = {
         SELECT m - to_minutes(i) AS window_start, CAST(SUM(failures) AS BIGINT) AS failures, CAST(SUM(total) AS BIGINT) AS total,
           ROUND(SUM(failures) / SUM(total), 6) AS failure_rate
         FROM minutes, range(5) r(i) GROUP BY 1 HAVING SUM(failures) / SUM(total) > 0.3""",
+    "failure_rate_held": _EV + """, minutes AS (SELECT date_trunc('minute', event_ts) AS m, COUNT(*) FILTER (event_type = 'error') AS failures,
+          COUNT(*) AS total FROM stg GROUP BY 1),
+        hot AS (SELECT m - to_minutes(i) AS w FROM minutes, range(5) r(i) GROUP BY 1 HAVING SUM(failures) / SUM(total) > 0.3)
+        SELECT a.w AS window_start FROM hot a JOIN hot b ON b.w BETWEEN a.w - INTERVAL 4 MINUTE AND a.w GROUP BY a.w HAVING COUNT(*) = 5""",
     "absence_alert": _EV + """, ends AS (SELECT epoch(MIN(event_ts))::BIGINT // 600 * 600 AS lo, epoch(MAX(event_ts))::BIGINT // 600 * 600 AS hi FROM ev)
         SELECT make_timestamp(w * 1000000) AS window_start FROM (SELECT UNNEST(range(lo, hi + 1, 600)) AS w FROM ends)
         WHERE w NOT IN (SELECT CAST(FLOOR(epoch(event_ts)) AS BIGINT) // 600 * 600 FROM ev WHERE LOWER(event_type) = 'signup')""",

@@ -994,6 +994,12 @@ def failure_rate_alert(spark, d):
     return _edge(_rounded(alerts.rate_alert(rates, 0.3), "failure_rate").drop("window_end"))
 
 
+def failure_rate_held(spark, d):
+    """The failure-rate rule with its hold: above the limit for five minutes running."""
+    rates = alerts.failure_rate(_stg(spark, d), bad=("error",), good=("click", "view", "purchase", "signup"))
+    return _edge(alerts.rate_alert_held(rates, 0.3, 5))
+
+
 def absence_alert(spark, d):
     return _edge(alerts.absence(user_events(spark, d), 600, where=F.lower("event_type") == "signup").select("window_start"))
 
@@ -1081,7 +1087,7 @@ QUERIES: dict[str, Query] = {
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
         kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,
-        failure_rate_alert, absence_alert, threshold_held, request_rate,
+        failure_rate_alert, failure_rate_held, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,
     )
 }

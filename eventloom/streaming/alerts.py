@@ -91,6 +91,14 @@ def held_above(
     )
 
 
+def rate_alert_held(rates: DataFrame, limit: float = 0.3, minutes: int = 5, keys: Sequence[str] = ()) -> DataFrame:
+    """Times at which the failure share of each of the last ``minutes`` one-minute steps was above ``limit``.
+
+    Takes the windows of ``failure_rate`` with a slide of one minute; a minute without events ends a hold.
+    """
+    return held_above(rates, limit, minutes, 60, keys, value="failure_rate")
+
+
 def request_rate(df: DataFrame, size_seconds: int = 300, keys: Sequence[str] = ("page",), ts: str = "event_ts") -> DataFrame:
     """Increase per window and its rate per second, by key."""
     counted = df.groupBy(F.window(ts, f"{size_seconds} seconds").alias("window"), *keys).agg(F.count("*").alias("increase"))

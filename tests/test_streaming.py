@@ -115,6 +115,15 @@ def test_absence_and_hold(spark):
     assert held == [_at(3), _at(7), _at(8)]
 
 
+def test_failure_rate_must_hold(spark):
+    rows = [(_at(m), "bad" if m in (10, 11, 12, 13, 20) else "ok") for m in range(30)]
+    df = spark.createDataFrame(rows, "event_ts timestamp, event_type string")
+    rates = alerts.failure_rate(df, ["bad"], ["ok"])
+    hot = {r["window_start"] for r in alerts.rate_alert(rates).collect()}
+    held = {r["window_start"] for r in alerts.rate_alert_held(rates).collect()}
+    assert held == {t for t in hot if all(t - dt.timedelta(minutes=i) in hot for i in range(5))} and held and held < hot
+
+
 def test_request_rate(spark):
     df = spark.createDataFrame([(_at(0), "home"), (_at(1), "home"), (_at(7), "cart")], "event_ts timestamp, page string")
     got = {(r["window_start"], r["page"]): (r["increase"], r["per_second"]) for r in alerts.request_rate(df).collect()}
