@@ -55,7 +55,7 @@ USER_EVENT_SUITE = (
     Rule("row_count_between", low=1, high=1_000_000),
 )
 
-# Rules declared per model: source, staging view, dimensions, daily fact.
+# Rules declared per model: source, staging view, dimensions, daily fact.
 MODEL_RULES = {
     "user_events": (
         Rule("not_null", "event_id"),

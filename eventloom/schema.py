@@ -44,6 +44,7 @@ RECORD_SCHEMA = T.StructType(
 
 EVENT_TYPES = ("click", "view", "add_to_cart", "purchase", "search", "logout")
 DEVICES = ("desktop", "mobile", "tablet")
+# The forms that event times come in.
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "yyyy-MM-dd'T'HH:mm:ssXXX",

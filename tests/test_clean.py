@@ -14,6 +14,7 @@ from eventloom.session import scratch_path
 from eventloom.sources import events as se, layout, records, warehouse
 
 COLUMNS = EVENT_SCHEMA.names
+# The rows that every cleaning rule is checked against.
 GOLDEN = [
     ("evt-001", "U0001", "view", "P0100", "2026-07-20T10:30:00+00:00", "product_detail", "google", 15000, "mobile", "Chrome"),
     ("evt-002", "U0002", "purchase", None, "2026-07-20T11:00:00+00:00", "checkout", None, -100, "desktop", "Firefox"),
