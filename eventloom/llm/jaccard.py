@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from eventloom.llm.common import in_pieces, stored, texts
 from eventloom.llm.components import components
@@ -21,21 +21,12 @@ from eventloom.llm.shingles import mixed, shingle_sets
 SAMPLE, COMMON = 32, 500_000
 SIGNATURE = 8
 GROUP_SIZE, GROUP_FROM, ASK_SIZE, BUCKET_TOKENS = 64, 64, 512, 500_000
+# Groups that a class asks before it is known what the others connect.
+FIRST_ASKED = 4
 FILTER_BITS = 1 << 25
 _PAGE = 32_768
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """The low 48 bits of each token, for shipping sets: two different tokens agree in them once in 2.8e14."""
-    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return np.sort(out.view("<u8").reshape(-1))
-
-
 def _keys(tokens: np.ndarray) -> tuple[int, int]:
     """Two 64-bit keys of a set."""
     a, b = mixed(tokens + np.uint64(11)), mixed(tokens + np.uint64(29))
@@ -111,7 +102,7 @@ def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
             fresh = {ka: x for ka, x in found if ka not in seen}
             seen.update(fresh)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fresh.keys(), pa.int64()), pa.array([_packed(x) for x in fresh.values()], pa.binary())], ["ka", "tokens"]
+                [pa.array(fresh.keys(), pa.int64()), pa.array([x.tobytes() for x in fresh.values()], pa.binary())], ["ka", "tokens"]
             )
 
     return docs.withColumn("s", slot).mapInArrow(run, "ka long, tokens binary")
@@ -121,6 +112,7 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
     """Links ``a, b`` between classes that ask (``q, g, root``) and the members (``g, s, root``) of the groups asked.
 
     Classes of the same ``root`` are known to be connected and not linked again. A group has a bounded number of members; its askers are cut into chunks of about ``ASK_SIZE``.
+    A chunk gives back a forest: links that connect what its links connect, fewer than it has askers and members.
     """
     chunks = ask.groupBy("g").agg(F.ceil(F.count("*") / ASK_SIZE).cast("int").alias("k"))
     asking = ask.join(chunks, "g").select(F.col("q").alias("ka"), "g", "root", F.pmod(F.xxhash64("q"), F.col("k")).cast("int").alias("c"), F.lit(True).alias("asks"))
@@ -132,10 +124,17 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (above := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(above, above)
+            return x
+
         asks = rows["asks"].to_numpy(bool)
         askers, group = rows[asks], rows[~asks]
         if len(askers) and len(group):
-            sets_of = [_unpacked(x) for x in group["tokens"]]
+            sets_of = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
             sizes = np.array([len(x) for x in sets_of])
             owner = np.repeat(np.arange(len(sets_of)), sizes)
             tokens = np.concatenate(sets_of)
@@ -143,7 +142,7 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
             tokens, owner = tokens[order], owner[order]
             names, roots = group["ka"].to_numpy(), group["root"].to_numpy()
             for q, root, raw in zip(askers["ka"], askers["root"], askers["tokens"]):
-                x = _unpacked(raw)
+                x = np.frombuffer(raw, np.uint64)
                 lo = np.searchsorted(tokens, x, "left")
                 runs = np.searchsorted(tokens, x, "right") - lo
                 # The group's token union bounds what any member can share.
@@ -152,9 +151,12 @@ def _opened(docs: DataFrame, classes: DataFrame, ask: DataFrame, member: DataFra
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
                 shared = np.bincount(owner[at], minlength=len(sizes))
                 linked = (100 * shared >= percent * (len(x) + sizes - shared)) & (roots != root)
-                # One link to each cluster found.
-                first = np.unique(roots[linked], return_index=True)[1]
-                out += [(q, s) for s in names[linked][first]]
+                others, first = np.unique(roots[linked], return_index=True)
+                for other, s in zip(others.tolist(), names[linked][first].tolist()):
+                    x, y = top(root), top(other)
+                    if x != y:
+                        parent[x] = y
+                        out.append((q, s))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return sets.join(roles, "ka").groupBy("g", "c").applyInPandas(compare, "a long, b long")
@@ -272,7 +274,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
        Clusters, and classes that share a frequent smallest token, form groups of at most about 64. For each token the matrix says
        in which groups it stands; a class asks groups with classes of a larger cluster that share enough of its prefix
        tokens for their sizes.
-    4. A group is opened if its token union holds enough of the asking set; its members are then checked.
+    4. A group is opened if its token union holds enough of the asking set; its members are then checked. Each class first
+       asks the groups it shares most with; what these links connect is not asked for again.
 
     Null and empty texts, and texts of white space, have no set and link with nothing. Repeated rows give a row each.
     A null id stays null, and is nobody's component_id unless no member has an id. No rows give no rows. Other columns
@@ -321,14 +324,29 @@ def _placed_rows(docs: DataFrame, percent: int, width: int) -> DataFrame:
         F.count("*").alias("overlap"), F.first("r.n").alias("n"), F.first("r.root").alias("root"), F.min("t.lo").alias("lo"), F.max("t.hi").alias("hi")
     )
     ask = ask.filter(F.col("overlap") >= _least_in_group(percent))
-    ask = stored(ask.select("q", "g", "root"), "ask")
-    asked = placed.join(ask.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"), "root")
-    more = _opened(docs, classes, ask, asked, width, percent)
+    best = Window.partitionBy("q").orderBy(F.desc("overlap"), "g")
+    ask = stored(ask.select("q", "g", "root", (F.row_number().over(best) <= FIRST_ASKED).alias("early")), "ask")
     roots = placed.select("ka", "root")
-    bridges = more.join(roots.withColumnRenamed("ka", "a").withColumnRenamed("root", "x"), "a").join(
-        roots.withColumnRenamed("ka", "b").withColumnRenamed("root", "y"), "b"
-    )
-    joined = components(stored(bridges.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "bridges"))
+
+    def bridged(asking: DataFrame) -> DataFrame:
+        """Pairs of roots that the groups asked connect."""
+        asked = placed.join(asking.select("g").distinct(), "g", "left_semi").select("g", F.col("ka").alias("s"), "root")
+        links = _opened(docs, classes, asking.select("q", "g", "root"), asked, width, percent)
+        ends = links.join(roots.withColumnRenamed("ka", "a").withColumnRenamed("root", "x"), "a").join(
+            roots.withColumnRenamed("ka", "b").withColumnRenamed("root", "y"), "b"
+        )
+        return stored(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "bridges")
+
+    # A class asks its likeliest groups first; groups that are then in its own component need not be asked.
+    bridges = bridged(ask.filter("early"))
+    joined = components(bridges)
+    tops = roots.select("root").distinct().join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    tops = stored(tops.select("root", F.coalesce("top", "root").alias("top")), "tops")
+    whole = placed.join(tops, "root").groupBy("g").agg(F.min("top").alias("x"), F.max("top").alias("y"))
+    rest = ask.filter("not early").join(whole, "g").join(tops, "root").filter("x <> top or y <> top")
+    rest = stored(rest.select("q", "g", "root"), "ask")
+    if not rest.isEmpty():
+        joined = components(bridges.unionByName(bridged(rest)))
     final = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
     final = final.select("ka", F.coalesce("top", "root").alias("top")).join(classes.select("ka", "kb", "first_id"), "ka")
     names = final.groupBy("top").agg(F.min("first_id").alias("component_id"))
@@ -348,5 +366,7 @@ def one_per_component(docs: DataFrame, percent: int = 75, width: int = 5) -> Dat
     naming = _placed_rows(docs, percent, width).filter("doc_id = component_id")
     named = naming.filter("top is not null").groupBy("top").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("r.*")
     kept = stored(named.unionByName(naming.filter("top is null").select("doc_id", "h").distinct()), "kept")
-    rows = docs.withColumn("_h", F.xxhash64("text")).join(kept.withColumnRenamed("h", "_h"), ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"])
-    return rows.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    # The caller's columns travel in one struct, so that none of them meets a name used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumns({"doc_id": F.col("row.doc_id"), "h": F.xxhash64("row.text")})
+    rows = rows.join(kept, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
+    return rows.select("row.*").unionByName(docs.filter("doc_id is null"))
