@@ -63,7 +63,9 @@ class KnowledgeBase:
 
 def build_knowledge_base(ev: DataFrame, path: str, encoder: Encoder | None = None, dim: int = VECTOR_DIM) -> KnowledgeBase:
     """Write entries and, without an encoder, the lexical model that questions will need."""
-    rows = kb_rows(ev)
+    # Chunks are made once: without an encoder they are read twice, for the model and for the vectors.
+    kb_rows(ev).write.mode("overwrite").parquet(f"{path}/chunks")
+    rows = ev.sparkSession.read.parquet(f"{path}/chunks")
     if encoder is not None:
         entries = apply_encoder(rows, "chunk", encoder, dim)
     else:

@@ -50,12 +50,12 @@ users AS (
   SELECT user_id, days[1] AS first_seen_at, days[2] AS last_seen_at, total_events, user_segment
   FROM (SELECT user_id, [MIN(event_date), MAX(event_date)] AS days, COUNT(*) AS total_events FROM stg GROUP BY user_id)
   JOIN segments ON total_events >= least AND total_events < below),
-types AS (SELECT product_id, histogram(event_type) AS seen FROM stg WHERE product_id <> 'unknown' GROUP BY product_id),
+product_types AS (SELECT product_id, histogram(event_type) AS seen FROM stg WHERE product_id <> 'unknown' GROUP BY product_id),
 products AS (
   SELECT *, IF(total_purchases = 0, 0.0::DOUBLE, IF(total_views = 0, NULL, ROUND(total_purchases * 100.0::DOUBLE / total_views, 2))) AS conversion_rate_pct
   FROM (SELECT product_id, CAST(COALESCE(seen['view'], 0) AS BIGINT) AS total_views, CAST(COALESCE(seen['purchase'], 0) AS BIGINT) AS total_purchases,
                CAST(COALESCE(seen['signup'], 0) AS BIGINT) AS total_add_to_cart, CAST(list_sum(map_values(seen)) AS BIGINT) AS total_interactions
-        FROM types)),
+        FROM product_types)),
 daily AS (
   SELECT event_date, event_type, n AS total_events, unique_users, CAST(ROUND(ms / n) AS BIGINT) AS avg_duration_ms,
          ROUND(CAST(ms AS DOUBLE) / 1000, 2) AS total_duration_seconds

@@ -762,15 +762,22 @@ def _event_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Every event with its text and the text's vector, written once."""
     path = scratch_path(spark, "event_vectors")
     ev = ft.event_text(user_events(spark, d)).withColumnRenamed("event_no", "id")
-    search.write_vectors(embed.embed_text(ev, "text_content"), path)
+    search.write_vectors(embed.embed_text(ev, "text_content", tasks=spark.sparkContext.defaultParallelism), path)
     return spark.read.parquet(path)
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """A few question vectors, each a mean over the corpus: written once, as a search reads its queries several times."""
+    path = scratch_path(df.sparkSession, "questions")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _page_queries(vectors: DataFrame) -> DataFrame:
     """One question per page, numbered by name: the mean vector of its events."""
     asked = _mean_vectors(vectors, "page")
     pages = vectors.agg(F.array_sort(F.collect_set("page")).alias("pages"))
-    return asked.crossJoin(pages).select(F.array_position("pages", F.col("page")).alias("query_id"), "embedding")
+    return _few(asked.crossJoin(pages).select(F.array_position("pages", F.col("page")).alias("query_id"), "embedding"))
 
 
 def vector_search_events(spark, d):
@@ -825,9 +832,9 @@ def _questions(kb: DataFrame) -> DataFrame:
     """One question per event type, asked with the mean vector of that type."""
     ids = F.array_position(F.array(*[F.lit(t) for t in testtables.TEST_TYPES]), F.col("event_type"))
     asked = _mean_vectors(kb, "event_type").withColumn("query_id", ids)
-    return asked.select(
+    return _few(asked.select(
         "query_id", "embedding", F.col("event_type").alias("expected_type"), F.concat(F.lit("Find "), "event_type", F.lit(" events")).alias("question")
-    )
+    ))
 
 
 def rag_retrieve(spark, d):
