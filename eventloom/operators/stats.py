@@ -244,13 +244,14 @@ def _binned(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     count = EDGE_GROUPS**2
     edges = F.percentile_approx("v", [i / count for i in range(1, count)], EDGE_ACCURACY)
     span = hist.groupBy(*keys).agg(edges.alias("_edges"), F.sum("c").alias("n"))
+    # Every EDGE_GROUPS-th edge, picked once per group and not once per value.
+    span = span.withColumn("_coarse", F.filter("_edges", lambda _, i: (i + 1) % EDGE_GROUPS == 0))
     if keys:
-        spanned = hist.alias("h").join(span.alias("s"), _same_keys("h", "s", keys)).select("h.*", "_edges", "n")
+        spanned = hist.alias("h").join(span.alias("s"), _same_keys("h", "s", keys)).select("h.*", "_edges", "_coarse", "n")
     else:
-        spanned = hist.withColumn("s", span.select(F.struct("_edges", "n")).scalar()).select("v", "c", "s.*")
+        spanned = hist.withColumn("s", span.select(F.struct("_edges", "_coarse", "n")).scalar()).select("v", "c", "s.*")
     below = lambda some: F.size(F.filter(some, lambda e: e < F.col("v")))
-    every = F.transform(F.sequence(F.lit(1), F.lit(EDGE_GROUPS - 1)), lambda i: F.element_at("_edges", i * EDGE_GROUPS))
-    coarse = spanned.withColumn("_g", below(every) * EDGE_GROUPS)
+    coarse = spanned.withColumn("_g", below(F.col("_coarse")) * EDGE_GROUPS)
     fine = F.col("_g") + below(F.slice("_edges", F.col("_g") + 1, F.lit(EDGE_GROUPS - 1)))
     return coarse.select(*keys, "v", "c", "n", fine.alias("b"))
 
