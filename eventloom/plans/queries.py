@@ -726,7 +726,7 @@ def ivf_recall(spark, d):
 
 
 # The learnt tree on the test vectors: leaves of 40 at most, and how many a query looks into.
-TEST_CAPACITY, TEST_FANOUT, TEST_BEAM = 40, 4, 30
+TEST_CAPACITY, TEST_FANOUT, TEST_BEAM = 40, 4, 16
 
 
 def _tree(spark: SparkSession, d: str) -> tree.ClusterTree:
