@@ -40,19 +40,27 @@ def dim_users(stg: DataFrame, cuts: tuple[int, int, int] = SEGMENT_CUTS) -> Data
     return activity.withColumn("user_segment", tier("total_events", cuts, SEGMENTS))
 
 
-def dim_products(stg: DataFrame, roles: EventRoles = DEFAULT_ROLES) -> DataFrame:
-    """Counts per product. Conversion is 0 without purchases and null without views."""
+def product_counts(stg: DataFrame, roles: EventRoles = DEFAULT_ROLES, *by: str) -> DataFrame:
+    """Events of each known product (and ``by``), by role."""
     kind = F.col("event_type")
-    counts = stg.filter(F.col("product_id") != MISSING_PRODUCT).groupBy("product_id").agg(
+    return stg.filter(F.col("product_id") != MISSING_PRODUCT).groupBy("product_id", *by).agg(
         F.count_if(kind == roles.view).alias("total_views"),
         F.count_if(kind == roles.buy).alias("total_purchases"),
         F.count_if(kind == roles.cart).alias("total_add_to_cart"),
         F.count("*").alias("total_interactions"),
     )
+
+
+def with_conversion(counts: DataFrame) -> DataFrame:
+    """Conversion is 0 without purchases and null without views."""
     rate = F.when(F.col("total_purchases") > 0, rate_pct(F.col("total_purchases"), F.col("total_views"), 2))
     return counts.withColumn("conversion_rate_pct", rate.otherwise(F.lit(0.0)))
 
 
+def dim_products(stg: DataFrame, roles: EventRoles = DEFAULT_ROLES) -> DataFrame:
+    return with_conversion(product_counts(stg, roles))
+
+
 def fct_user_events_daily(stg: DataFrame) -> DataFrame:
     """Per day and type, over events with a duration.
 

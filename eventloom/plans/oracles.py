@@ -318,6 +318,7 @@ ORACLES: dict[str, str] = {
         (SELECT COUNT(*) AS n FROM events)""",
     "compaction_report": _EV + """SELECT stage, TRUE AS usable, n AS rows FROM (VALUES ('before'), ('after')) c(stage),
         (SELECT COUNT(*) AS n FROM cleaned)""",
+    "small_file_merge": _EV + "SELECT event_id, event_type, product_id, event_ts, duration_ms FROM cleaned",
     "kafka_roundtrip": _EV + f"SELECT {_RAW} FROM parsed",
     # models and statistics
     "stg_user_events": _EV + """SELECT event_id, user_id, event_type, product_id, event_ts, event_date, page, referrer,
@@ -325,6 +326,9 @@ ORACLES: dict[str, str] = {
     "dim_users": _EV + "SELECT * FROM users",
     "dim_products": _EV + "SELECT * FROM products",
     "fct_user_events_daily": _EV + "SELECT * FROM daily",
+    "refreshed_users": _EV + "SELECT * FROM users",
+    "refreshed_products": _EV + "SELECT * FROM products",
+    "refreshed_daily": _EV + "SELECT * FROM daily",
     "segment_totals": _EV + "SELECT user_segment, COUNT(*) AS cnt, CAST(SUM(total_events) AS BIGINT) AS events FROM users GROUP BY user_segment",
     "user_segments": _EV + """, per AS (SELECT user_segment, COUNT(*) AS n, SUM(total_events) AS e FROM users GROUP BY ALL)
         SELECT user_segment AS segment, n AS users, CAST(e AS BIGINT) AS events, ROUND(100.0 * n / whole, 1) AS pct
@@ -436,6 +440,9 @@ ORACLES: dict[str, str] = {
         FROM stg WHERE event_type = 'view') WHERE rn = 1""",
     "feature_point_in_time": _EV + _POINT_IN_TIME.format(ttl=""),
     "feature_point_in_time_ttl": _EV + _POINT_IN_TIME.format(ttl="AND w.event_ts >= p.event_ts - INTERVAL 1 DAY"),
+    "feature_point_in_time_hot": _EV + """, hot AS (SELECT * REPLACE (CASE WHEN eid % 10 = 0 THEN user_id ELSE 'hot' END AS user_id,
+            make_timestamp(epoch_us(TIMESTAMP '2024-01-15 10:00:00') + epoch_us(event_ts) % 3600000000) AS event_ts) FROM stg)
+        """ + _POINT_IN_TIME.format(ttl="").replace("FROM stg", "FROM hot"),
     "recommendation_inputs": _EV + _FEATURES + """SELECT * FROM (SELECT 'user' AS kind, user_id AS id, user_segment AS label,
           ROUND(score, 6) AS score FROM user_features ORDER BY user_features.score DESC, user_id LIMIT 5)
         UNION ALL SELECT * FROM (SELECT 'product', product_id, popularity_tier, purchase_view_ratio FROM product_features

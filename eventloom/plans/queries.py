@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from eventloom.functions import columns as fc, text as ft, vectors as fv
 from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, stats, tree
 from eventloom.plans import jobs, models
+from eventloom.plans.refresh import DailyModels
 from eventloom.schema import EVENT_SCHEMA, EVENT_TYPES, RECORD_SCHEMA
 from eventloom.session import scratch_path
 from eventloom.sources import events as se, layout, records, testtables, warehouse
 from eventloom.sources.testtables import TEST_ROLES, raw_events, table, user_events
+from eventloom.sources.fileset import FileSet
 from eventloom.sources.increments import IncrementalLoad
 from eventloom.sources.stored import RecordLog
 from eventloom.streaming import alerts, jobs as sj
@@ -273,6 +275,18 @@ def compaction_report(spark, d):
     return _read_back(report, "stage", base)
 
 
+def small_file_merge(spark, d):
+    """Rows of a file set whose small files have been merged: half of them came in one piece, half in many."""
+    rows = _cleaned(spark, d).select("event_id", "event_type", "product_id", "event_ts", "duration_ms")
+    half = F.pmod(F.col("event_id").cast("long"), F.lit(2))
+    files = FileSet(spark, scratch_path(spark, "fileset"), rows.schema, by=("event_type",))
+    files.add(rows.filter(half == 0).hint("rebalance", "event_type"))
+    small = files.files().agg(F.min("bytes")).first()[0]
+    files.add(rows.filter(half == 1).repartition(16))
+    files.merge_small(small)
+    return _edge(files.read())
+
+
 def kafka_roundtrip(spark, d):
     sent = records.encode_records(raw_events(spark, d).select(*EVENT_COLUMNS))
     return records.decode_records(sent)
@@ -524,6 +538,15 @@ def feature_point_in_time_ttl(spark, d):
     return _edge(features.point_in_time(_purchases(stg), _event_view(stg, ttl=86_400), "as_of", tie=("view_id",)))
 
 
+def feature_point_in_time_hot(spark, d):
+    """The same join where one user has nine of ten events and all of them lie in one hour."""
+    stg = _stg(spark, d)
+    one = F.when(F.pmod(F.col("event_id").cast("long"), F.lit(10)) == 0, F.col("user_id")).otherwise(F.lit("hot"))
+    hour = F.unix_micros(F.lit("2024-01-15 10:00:00").cast("timestamp")) + F.unix_micros(F.col("event_ts").cast("timestamp")) % 3_600_000_000
+    stg = stg.withColumns({"user_id": one, "event_ts": F.timestamp_micros(hour)})
+    return _edge(features.point_in_time_pieces(_purchases(stg), _event_view(stg), "as_of", tie=("view_id",)))
+
+
 def recommendation_inputs(spark, d):
     users, products = features.recommendation_inputs(_user_frame(spark, d), features.product_features(_products(spark, d)))
     as_rows = [
@@ -1065,6 +1088,33 @@ def batch_job_counts(spark, d):
     return out
 
 
+def _refreshed(spark: SparkSession, d: str) -> DailyModels:
+    """Models after a first build and a refresh: the last day, and late events of another, were staged in between."""
+    base = scratch_path(spark, "refresh")
+    stg = _stg(spark, d)
+    first, last = stg.agg(F.min("event_date"), F.max("event_date")).first()
+    late = (F.col("event_date") == F.lit(first)) & (F.pmod(F.col("event_id").cast("long"), F.lit(5)) == 0)
+    new = late | (F.col("event_date") == F.lit(last))
+    built = DailyModels(spark, f"{base}/models", TEST_ROLES)
+    for part in (~new, new):
+        arrived = stg.filter(part)
+        arrived.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(f"{base}/stg")
+        built.refresh(spark.read.parquet(f"{base}/stg"), [r[0] for r in arrived.select("event_date").distinct().collect()])
+    return built
+
+
+def refreshed_users(spark, d):
+    return _refreshed(spark, d).dim_users()
+
+
+def refreshed_products(spark, d):
+    return _refreshed(spark, d).dim_products()
+
+
+def refreshed_daily(spark, d):
+    return _refreshed(spark, d).fct_user_events_daily()
+
+
 # The names that these searches of every event had beside narrower ones.
 vector_search_events_all, vector_search_products_all = vector_search_events, vector_search_products
 rag_retrieve_all, rag_prompt_all, rag_hit_rate_all, rag_first_types_all = rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types
@@ -1077,7 +1127,7 @@ QUERIES: dict[str, Query] = {
         clean_events, clip_duration, parse_timestamps, dedup_events, cleaning_report,
         read_jsonl_roundtrip, partitioned_roundtrip, recursive_read, csv_roundtrip, warehouse_load, table_migration,
         table_append, incremental_read, high_water_mark, incremental_load, stored_mark, table_sample, table_head, source_availability, collection_stats,
-        collection_report, cleaning_output, output_inspection, codec_sizes, layout_report, compaction_report, kafka_roundtrip,
+        collection_report, cleaning_output, output_inspection, codec_sizes, layout_report, compaction_report, small_file_merge, kafka_roundtrip,
         stg_user_events, dim_users, dim_products, fct_user_events_daily,
         segment_totals, user_segments, events_by_type, top_products, top_users, top_users_page_2, product_rank, row_count,
         dashboard_overview, sales_trend, hourly_histogram, hourly_heatmap, daily_event_count,
@@ -1085,7 +1135,7 @@ QUERIES: dict[str, Query] = {
         filter_agg_device, agg_type_device, duration_stats,
         dq_not_null, dq_unique, dq_accepted_values, dq_ranges, dq_suite, dq_models, dq_summary, dq_failures, dq_duplicates,
         user_features, user_features_fractional, product_features, feature_service_user, feature_service_product,
-        feature_lookup, feature_latest, feature_point_in_time, feature_point_in_time_ttl, recommendation_inputs,
+        feature_lookup, feature_latest, feature_point_in_time, feature_point_in_time_ttl, feature_point_in_time_hot, recommendation_inputs,
         feature_summary, on_demand_udf, training_frame, training_split,
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
@@ -1096,6 +1146,7 @@ QUERIES: dict[str, Query] = {
         stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,
         failure_rate_alert, failure_rate_held, absence_alert, threshold_held, request_rate,
         sample_sql_1, sample_sql_2, sample_sql_3, sample_sql_4, batch_job_counts,
+        refreshed_users, refreshed_products, refreshed_daily,
     )
 }
 QUERIES |= {f"{name}_all": QUERIES[name] for name in WHOLE}

@@ -201,6 +201,50 @@ def test_point_in_time_matches_brute_force(spark, seed, ttl):
     assert got == want
 
 
+@pytest.mark.parametrize("ttl,pieces", [(None, 1), (700, 7), (None, 40)])
+def test_point_in_time_by_pieces_matches_brute_force(spark, ttl, pieces):
+    rng = random.Random(pieces)
+    start = 1_704_067_200
+    # Nine of ten rows are one user's, within one hour; one moment holds a fifth of all questions.
+    user = lambda: rng.choice(["hot"] * 9 + ["a", "z"])
+    facts = [(user(), start + rng.randrange(0, 3_600), i) for i in range(200)] + [("z", None, 998), (None, start, 999)]
+    asked = [(user(), start + rng.choice([1_800, *(rng.randrange(-10, 5_000) for _ in range(4))]), i) for i in range(300)]
+    asked += [(None, start, 900), ("hot", None, 901), ("nobody", start, 902)]
+    fdf = spark.createDataFrame(facts, "u string, s long, fid int").select("u", F.timestamp_seconds("s").alias("fts"), "fid")
+    qdf = spark.createDataFrame(asked, "u string, s long, qid int").select("u", F.timestamp_seconds("s").alias("as_of"), "qid")
+    view = features.FeatureView("f", fdf, "u", ("fid",), "fts", ttl)
+    rows = features.point_in_time_pieces(qdf, view, "as_of", ("fid",), pieces).collect()
+    want = {}
+    for u, t, qid in asked:
+        past = [(s, fid) for fu, s, fid in facts if None not in (u, t, s) and fu == u and s <= t]
+        hit = max(past, default=None)
+        want[qid] = None if hit is None or (ttl is not None and t - hit[0] > ttl) else hit[1]
+    assert len(rows) == len(asked) and {r["qid"]: r["fid"] for r in rows} == want
+
+
+def test_pieces_split_a_hot_hour_evenly(spark):
+    """No piece has three times the rows of the median piece, though one user has all rows, and a third at one moment."""
+    moment = "timestamp_millis(cast(if(id % 3 = 0, 1000, id) as bigint))"
+    fdf = spark.range(6_000).selectExpr("'hot' as u", f"{moment} as fts", "id as fid")
+    qdf = spark.range(6_000).selectExpr("'hot' as u", f"{moment} as as_of", "id as qid")
+    seen = []
+    reader = spark.read.parquet
+    view = features.FeatureView("f", fdf, "u", ("fid",), "fts")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "parquet", lambda self, path: seen.append(path) or reader(path))
+        features.point_in_time_pieces(qdf, view, "as_of", ("fid",), 16)
+    sizes = sorted(r["count"] for r in reader(seen[0]).groupBy("_p").count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 3 * sizes[8]
+
+
+def test_point_in_time_pieces_of_nothing(spark):
+    view = features.FeatureView("f", spark.createDataFrame([], "u string, fts timestamp, fid int"), "u", ("fid",), "fts")
+    some = spark.sql("SELECT 'a' AS u, timestamp_seconds(5) AS as_of, 1 AS qid, 'mine' AS fid, 7 AS _p")
+    row = features.point_in_time_pieces(some, view, "as_of", pieces=3).first()
+    assert (row["fid"], row["f_fid"], row["f_ts"], row["_p"]) == ("mine", None, None, 7)
+    assert features.point_in_time_pieces(some.limit(0), view, "as_of", pieces=3).count() == 0
+
+
 def test_point_in_time_forms_no_pairs(spark):
     view = features.FeatureView("f", spark.range(10).selectExpr("'x' as u", "timestamp_seconds(id) as fts", "id as fid"), "u", ("fid",), "fts")
     spine = spark.range(10).selectExpr("'x' as u", "timestamp_seconds(id) as as_of")
