@@ -411,13 +411,56 @@ def test_fingerprints(docs, rows, spark):
     assert fingerprints.compare_with_next(cases.nothing(spark)).collect() == []
 
 
+def test_likeness_comes_from_the_fingerprints(docs, rows):
+    """``near_edited`` again from the row's two strings, or, where those were too small, from larger ones of both texts."""
+
+    def none(i, cells):
+        raise AssertionError("asked for more than the strings")
+
+    by_id = defaultdict(list)
+    for r in rows:
+        by_id[(r[0], len(r[1] or ""))].append(r[1] or "")
+    small = large = 0
+    for r in fingerprints.compare_with_next(docs).collect():
+        a, b = r["fingerprint"], r["edited_fingerprint"]
+        if r["cells_edited"] == fingerprints.CELLS:
+            (found,), _ = fingerprints.differences([(a, b)], none)
+            small += 1
+        else:
+            with pytest.raises(AssertionError, match="asked for more"):
+                fingerprints.differences([(a, b)], none)
+            own = {fingerprints.sketches(fingerprints.digests([t]))[0]: t for t in by_id[(r["doc_id"], r["n_chars"])]}[a]
+            ends = [t for _, t, *_ in rows if hashlib.sha256(fingerprints.edited(own, t or "").encode()).hexdigest() == r["edited_sha256"]]
+            both = fingerprints.digests([own, fingerprints.edited(own, ends[0] or "")])
+            enlarged = tuple(fingerprints.sketches(both, r["cells_edited"]))
+            (found,), _ = fingerprints.differences([enlarged], none)
+            large += 1
+        assert fingerprints.likeness(a, b, found) == r["near_edited"]
+    assert small and large
+
+
 def test_peeling_finds_every_difference():
     dice = np.random.default_rng(2)
     sets = [np.unique(dice.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 1, 5, 300, 4000)]
     pairs = [(a, np.union1d(a[::2], b[:k])) for a in sets for b in sets for k in (0, 3, 500)]
-    for cells in ([6] * len(pairs), [5000] * len(pairs)):
-        for (a, b), (x, y) in zip(pairs, fingerprints.differences(pairs, cells)):
+    for cells in (6, 24, 4998):
+        prints = [tuple(fingerprints.sketches(list(p), cells)) for p in pairs]
+        found, took = fingerprints.differences(prints, lambda i, _: pairs[i])
+        for (a, b), (x, y), n in zip(pairs, found, took):
             assert set(x.tolist()) == set(a.tolist()) - set(b.tolist()) and set(y.tolist()) == set(b.tolist()) - set(a.tolist())
+            assert n == cells or n >= 2 * cells
+    assert fingerprints.differences([], None) == ([], [])
+
+
+def test_fingerprints_where_one_id_has_most_rows(spark):
+    """Rows of one id (or of none) follow each other by their text, whatever the number of parts."""
+    texts = [f"line {i} of a text\nand a second one {i % 3}" for i in range(60)]
+    data = [(7 if i % 10 else i, t) for i, t in enumerate(texts)] + [(None, t) for t in texts[:20]]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    order = sorted(data, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    want = Counter(hashlib.sha256(fingerprints.edited(t, order[(i + 1) % len(order)][1]).encode()).hexdigest() for i, (_, t) in enumerate(order))
+    for kw in ({"part_docs": 4}, {"part_docs": 4, "max_parts": 3}, {}):
+        assert Counter(r["edited_sha256"] for r in fingerprints.compare_with_next(df, **kw).collect()) == want
 
 
 # classifiers
