@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom.functions import columns as fc, text as ft, vectors as fv
-from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, stats, tree
+from eventloom.operators import clean, embed, features, learning, quality, retrieval, search, semantic, stats, tree
 from eventloom.plans import jobs, models
 from eventloom.plans.refresh import DailyModels
 from eventloom.schema import EVENT_SCHEMA, EVENT_TYPES, RECORD_SCHEMA
@@ -836,6 +836,16 @@ def text_embed(spark, d):
     )
 
 
+def semantic_neighbours(spark, d):
+    """The 5 documents nearest by latent semantic vectors to each document whose id 100 divides (itself included)."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").repartition(spark.sparkContext.defaultParallelism)
+    vectors = semantic.apply_semantic(docs, "text", semantic.fit_semantic(docs, "text")).select("id", "embedding")
+    path = scratch_path(spark, "semantic")
+    vectors.write.parquet(path)
+    corpus = spark.read.parquet(path)
+    return _hits(search.topk_exact(corpus, corpus.filter("id % 100 = 0").select(F.col("id").alias("query_id"), "embedding"), 5))
+
+
 def vector_all_queries(spark, d):
     """Every vector asks the table it is in."""
     corpus = _corpus(spark, d)
@@ -1140,7 +1150,7 @@ QUERIES: dict[str, Query] = {
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,
         vector_normalize, vector_topk_exact, vector_topk_dirty, vector_topk_filtered, vector_topk_ivf, vector_topk_ivf_all, ivf_recall, vector_topk_centres, centres_recall,
-        vector_search_events, vector_search_products, vector_all_queries, vector_tree_given, vector_tree_all, vector_tree_recall, text_embed,
+        vector_search_events, vector_search_products, vector_all_queries, vector_tree_given, vector_tree_all, vector_tree_recall, text_embed, semantic_neighbours,
         rag_retrieve, rag_prompt, rag_hit_rate, rag_first_types, query_intent,
         kb_build, kb_build_doubled, rag_text_hit_rate, hit_metadata,
         stream_land, stream_clean, stream_dedup, stream_dedup_batches, stream_window_counts, stream_bounded, stream_sliding_counts,
