@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -256,11 +256,11 @@ def point_in_time_pieces(spine: DataFrame, view: FeatureView, as_of: str, tie: S
     return _with_hits(found, spine, view, ~known)
 
 
-def historical(spine: DataFrame, views: Sequence[FeatureView], as_of: str) -> DataFrame:
-    """Point-in-time join of several views onto one spine."""
+def historical(spine: DataFrame, views: Sequence[FeatureView], as_of: str, ties: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Point-in-time join of several views onto one spine. ``ties`` names, by view, the columns that decide between equal times."""
     out = spine
     for view in views:
-        out = point_in_time(out, view, as_of)
+        out = point_in_time(out, view, as_of, (ties or {}).get(view.name, ()))
     return out
 
 

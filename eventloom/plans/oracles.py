@@ -285,6 +285,8 @@ ORACLES: dict[str, str] = {
     "read_jsonl_roundtrip": _EV + f"SELECT {_RAW} FROM parsed",
     "partitioned_roundtrip": _EV + f"SELECT {_CLEAN}, processing_date FROM cleaned",
     "recursive_read": _EV + "SELECT event_id, user_id, CASE WHEN k < 3 THEN NULL ELSE value END AS value FROM ev",
+    "glob_view": _EV + """SELECT device, COUNT(*) AS events, CAST(SUM(duration_ms) AS BIGINT) AS duration_ms FROM cleaned
+        WHERE event_type IN ('view', 'click') GROUP BY device""",
     "csv_roundtrip": _EV + """SELECT event_id, COALESCE(user_raw, '') AS user_id, event_type, COALESCE(product_id, '') AS product_id,
         COALESCE(referrer, '') AS referrer, CAST(duration_ms AS VARCHAR) AS duration_ms FROM ev""",
     "warehouse_load": _EV + """SELECT event_id, user_raw AS user_id, event_type, COALESCE(product_id, 'unknown') AS product_id,
@@ -419,6 +421,11 @@ ORACLES: dict[str, str] = {
     "dq_failures": _EV + """SELECT 'not_null:user_id' AS rule, event_id, CAST(NULL AS VARCHAR) AS value FROM ev WHERE user_raw IS NULL
         UNION ALL SELECT 'accepted_values:event_type', event_id, event_type FROM ev
         WHERE event_type NOT IN ('click', 'view', 'add_to_cart', 'purchase', 'search', 'logout')""",
+    "dq_stored_failures": _EV + """SELECT 'not_null:user_id' AS rule, event_id AS key, CAST(NULL AS VARCHAR) AS value FROM ev WHERE user_raw IS NULL
+        UNION ALL SELECT 'accepted_values:event_type', event_id, event_type FROM ev
+        WHERE event_type NOT IN ('click', 'view', 'add_to_cart', 'purchase', 'search', 'logout')
+        UNION ALL SELECT 'unique:product_id', product_id, CAST(COUNT(*) AS VARCHAR) FROM ev
+        WHERE product_id IS NOT NULL GROUP BY product_id HAVING COUNT(*) > 1""",
     "dq_duplicates": _EV + "SELECT product_id, COUNT(*) AS n_records FROM ev WHERE product_id IS NOT NULL GROUP BY product_id HAVING COUNT(*) > 1",
     # features
     "user_features": _EV + _FEATURES + f"SELECT {_USER_FEATURES} FROM user_features",
@@ -438,6 +445,18 @@ ORACLES: dict[str, str] = {
     "feature_latest": _EV + """SELECT user_id, event_ts, event_id AS view_id, product_id, duration_ms FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_ts DESC, event_id DESC) AS rn
         FROM stg WHERE event_type = 'view') WHERE rn = 1""",
+    "feature_online": _EV + """SELECT user_id, event_ts, event_id AS view_id, product_id, duration_ms FROM stg WHERE event_type = 'view'
+        AND user_id IN (SELECT user_id FROM stg WHERE event_type = 'purchase' AND device = 'mobile')
+        QUALIFY (event_ts, event_id) = MAX((event_ts, event_id)) OVER (PARTITION BY user_id)""",
+    "feature_historical": _EV + """, seen AS (
+          SELECT p.event_id, p.user_id, p.event_ts AS as_of, w.event_type, arg_max(w, (w.event_ts, w.event_id)) AS w
+          FROM stg p JOIN stg w ON w.user_id = p.user_id AND w.event_ts <= p.event_ts
+            AND (w.event_type = 'view' OR (w.event_type = 'click' AND w.event_ts >= p.event_ts - INTERVAL 1 DAY))
+          WHERE p.event_type = 'purchase' GROUP BY ALL)
+        SELECT p.event_id, p.user_id, p.event_ts AS as_of, v.w.event_ts AS view_ts, v.w.event_id AS view_id, v.w.product_id AS product_id,
+          v.w.duration_ms AS duration_ms, c.w.event_ts AS click_ts, c.w.event_id AS click_id, c.w.page AS page
+        FROM stg p LEFT JOIN seen v ON v.event_id = p.event_id AND v.event_type = 'view'
+        LEFT JOIN seen c ON c.event_id = p.event_id AND c.event_type = 'click' WHERE p.event_type = 'purchase'""",
     "feature_point_in_time": _EV + _POINT_IN_TIME.format(ttl=""),
     "feature_point_in_time_ttl": _EV + _POINT_IN_TIME.format(ttl="AND w.event_ts >= p.event_ts - INTERVAL 1 DAY"),
     "feature_point_in_time_hot": _EV + """, hot AS (SELECT * REPLACE (CASE WHEN eid % 10 = 0 THEN user_id ELSE 'hot' END AS user_id,

@@ -132,6 +132,14 @@ def recursive_read(spark, d):
     return se.read_parquet_tree(spark, path)
 
 
+def glob_view(spark, d):
+    """Events asked by SQL over the files that a glob names: the partitions of two types."""
+    path = scratch_path(spark, "glob")
+    se.write_events(_cleaned(spark, d), path, by=("event_type",), replace="all")
+    se.glob_view(spark, f"{path}/event_type={{view,click}}/*.parquet", "globbed_events")
+    return spark.sql("SELECT device, COUNT(*) AS events, SUM(duration_ms) AS duration_ms FROM globbed_events GROUP BY device")
+
+
 def csv_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
     columns = ("event_id", "user_id", "event_type", "product_id", "referrer", "duration_ms")
@@ -464,6 +472,16 @@ def dq_failures(spark, d):
     return quality.failing_values(raw_events(spark, d).select("event_id", "user_id", "event_type", "device"), rules)
 
 
+def dq_stored_failures(spark, d):
+    """Violations written below a folder and read back; for the unique rule each key with its number of rows."""
+    rules = [r for r in quality.USER_EVENT_SUITE if r.kind in quality.ROW_RULES] + [quality.Rule("unique", "product_id")]
+    path = scratch_path(spark, "failures")
+    quality.store_failures(raw_events(spark, d).select("event_id", "user_id", "event_type", "product_id", "device"), rules, path)
+    rows = spark.read.parquet(f"{path}/rows").select("rule", F.col("event_id").alias("key"), "value")
+    keys = spark.read.parquet(f"{path}/unique_product_id")
+    return rows.unionByName(keys.select(F.lit("unique:product_id").alias("rule"), F.col("product_id").alias("key"), F.col("n_records").cast("string").alias("value")))
+
+
 def dq_duplicates(spark, d):
     return quality.failing_rows(raw_events(spark, d), quality.Rule("unique", "product_id"))
 
@@ -523,6 +541,24 @@ def feature_latest(spark, d):
     return _edge(features.latest(_event_view(_stg(spark, d)), tie=("view_id",)))
 
 
+def feature_online(spark, d):
+    """Newest feature rows as stored for serving, looked up for the users that have bought on a mobile device."""
+    stg = _stg(spark, d)
+    path = scratch_path(spark, "online")
+    features.materialize(_event_view(stg), path, tie=("view_id",))
+    buyers = stg.filter((F.col("event_type") == "purchase") & (F.col("device") == "mobile")).select("user_id")
+    return _edge(features.lookup(spark.read.parquet(path), "user_id", buyers))
+
+
+def feature_historical(spark, d):
+    """Two views joined onto the purchases as of their time."""
+    stg = _stg(spark, d)
+    clicks = stg.filter(F.col("event_type") == "click").withColumnRenamed("event_id", "click_id")
+    click = features.FeatureView("click", clicks, "user_id", ("click_id", "page"), "event_ts", 86_400)
+    ties = {"view": ("view_id",), "click": ("click_id",)}
+    return _edge(features.historical(_purchases(stg), [_event_view(stg), click], "as_of", ties))
+
+
 def _purchases(stg: DataFrame) -> DataFrame:
     bought = stg.filter(F.col("event_type") == "purchase")
     return bought.select("event_id", "user_id", F.col("event_ts").alias("as_of"))
@@ -1135,7 +1171,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         clean_events, clip_duration, parse_timestamps, dedup_events, cleaning_report,
-        read_jsonl_roundtrip, partitioned_roundtrip, recursive_read, csv_roundtrip, warehouse_load, table_migration,
+        read_jsonl_roundtrip, partitioned_roundtrip, recursive_read, glob_view, csv_roundtrip, warehouse_load, table_migration,
         table_append, incremental_read, high_water_mark, incremental_load, stored_mark, table_sample, table_head, source_availability, collection_stats,
         collection_report, cleaning_output, output_inspection, codec_sizes, layout_report, compaction_report, small_file_merge, kafka_roundtrip,
         stg_user_events, dim_users, dim_products, fct_user_events_daily,
@@ -1143,9 +1179,9 @@ QUERIES: dict[str, Query] = {
         dashboard_overview, sales_trend, hourly_histogram, hourly_heatmap, daily_event_count,
         user_activity_rank, event_type_distribution, category_share, funnel, funnel_union, funnel_step_rates,
         filter_agg_device, agg_type_device, duration_stats,
-        dq_not_null, dq_unique, dq_accepted_values, dq_ranges, dq_suite, dq_models, dq_summary, dq_failures, dq_duplicates,
+        dq_not_null, dq_unique, dq_accepted_values, dq_ranges, dq_suite, dq_models, dq_summary, dq_failures, dq_stored_failures, dq_duplicates,
         user_features, user_features_fractional, product_features, feature_service_user, feature_service_product,
-        feature_lookup, feature_latest, feature_point_in_time, feature_point_in_time_ttl, feature_point_in_time_hot, recommendation_inputs,
+        feature_lookup, feature_latest, feature_online, feature_historical, feature_point_in_time, feature_point_in_time_ttl, feature_point_in_time_hot, recommendation_inputs,
         feature_summary, on_demand_udf, training_frame, training_split,
         segment_model_metrics, segment_model_report, rule_report, rule_metrics, segment_model_importance, segment_cv, segment_run_record,
         event_text, product_text, event_chunks, event_chunks_short, chunk_length_stats,

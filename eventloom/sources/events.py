@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from eventloom.schema import EVENT_SCHEMA
@@ -98,11 +101,27 @@ def read_parquet_tree(
 
 
 def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` of every Parquet file below a folder that holds no Parquet data: its first and last 4 bytes tell."""
+    """``path`` of every Parquet file below a folder that holds no Parquet data: its first and last 4 bytes tell.
+
+    Only these bytes are read, by Arrow on the executors, so the folder must be one that Arrow opens (local, HDFS, S3, GCS).
+    Files of no bytes at all are passed over, by the readers as well.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    mark = F.lit(b"PAR1")
-    ends = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
-    return files.filter((F.col("length") < 12) | ~ends).select("path")
+
+    def bad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for name, uri, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if length >= 12:
+                    # Spark leaves letters beyond ASCII as they are, Arrow wants them encoded.
+                    system, inside = fs.FileSystem.from_uri(quote(uri, safe="%/:?#[]@!$&'()*+,;=~"))
+                    with system.open_input_file(inside) as f:
+                        if f.read_at(4, 0) == f.read_at(4, length - 4) == b"PAR1":
+                            continue
+                found.append(name)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
+
+    return files.select("path", F.col("_metadata.file_path").alias("uri"), "length").mapInArrow(bad, "path string")
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

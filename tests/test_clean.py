@@ -137,6 +137,23 @@ def test_partitioned_write_counts_and_replaces_only_its_partitions(spark, golden
     assert spark.read.parquet(out).count() == 1
 
 
+def test_unreadable_files_by_their_ends(spark, tmp_path):
+    """Short, cut and foreign files are found by a few bytes each, also below folders whose names need encoding."""
+    folder = tmp_path / "t" / "a b=ü%20c"
+    spark.range(5).coalesce(1).write.parquet(str(folder / "good"))
+    whole = next((folder / "good").glob("*.parquet")).read_bytes()
+    for name, data in {"empty": b"", "short": b"PAR1PAR1", "cut": whole[:-1], "foreign": b"x" * 50, "copy": whole}.items():
+        (folder / f"{name}.parquet").write_bytes(data)
+    found = se.unreadable_files(spark, str(tmp_path / "t"))
+    assert sorted(r["path"].rsplit("/", 1)[-1] for r in found.collect()) == [f"{n}.parquet" for n in ("cut", "foreign", "short")]
+    # The empty file is no row of either list: readers pass over it.
+    for name in ("cut", "foreign", "short"):
+        (folder / f"{name}.parquet").unlink()
+    assert se.unreadable_files(spark, str(tmp_path / "t")).count() == 0
+    assert se.read_parquet_tree(spark, str(tmp_path / "t"), merge_schema=False).count() == 10
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parquet_tree_skips_unreadable_files(spark, tmp_path):
     df = spark.createDataFrame([(1, float("nan"), "unknown"), (2, 1.0, "x")], "ID int, Val double, Tag string")
     df.write.parquet(str(tmp_path / "t/a/b"))

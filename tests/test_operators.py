@@ -261,6 +261,14 @@ def test_historical_joins_several_views(spark):
     assert (row["x"], row["y"]) == (1, None)
 
 
+def test_historical_ties_are_decided_by_named_columns(spark):
+    facts = spark.sql("SELECT 'u' AS u, timestamp_seconds(5) AS t, 1 AS fid, 'z' AS v UNION ALL SELECT 'u', timestamp_seconds(5), 2, 'a'")
+    view = features.FeatureView("f", facts, "u", ("v", "fid"), "t")
+    spine = spark.sql("SELECT 'u' AS u, timestamp_seconds(9) AS as_of")
+    assert features.historical(spine, [view], "as_of").first()["v"] == "z"
+    assert features.historical(spine, [view], "as_of", {"f": ("fid",)}).first()["v"] == "a"
+
+
 def test_latest_and_materialize(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), ("b", 5, "b5"), ("b", None, "none")], "k string, t int, v string")
     view = features.FeatureView("v", df, "k", ("v",), "t")
