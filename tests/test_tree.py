@@ -56,3 +56,13 @@ def test_small_and_empty(spark, tmp_path):
     built = tree.build_tree(corpus, str(tmp_path / "a"))
     assert built.levels() == [] and _got(built.topk(asked, 5)) == {7: [1, 2]}
     assert tree.build_tree(corpus.limit(0), str(tmp_path / "b")).topk(asked, 5).collect() == []
+
+
+def test_plan_of_a_search_does_not_grow_with_the_depth(spark, tmp_path):
+    corpus = spark.createDataFrame([(i, [float(2 ** (i // 4)), float(i % 4)]) for i in range(40)], "id long, embedding array<double>")
+    built = tree.build_tree(corpus, str(tmp_path / "t"), capacity=2, fanout=2)
+    assert len(built.levels()) >= 4
+    asked = corpus.select(F.col("id").alias("query_id"), "embedding").filter("query_id < 3")
+    every = built.topk(asked, 3, nprobe=100)
+    assert len(every._jdf.queryExecution().analyzed().toString()) < 100_000
+    assert _got(every) == _got(search.topk_exact(corpus, asked, 3))
