@@ -59,6 +59,28 @@ def test_grid_of_blocks(small, monkeypatch):
     assert _got(search.topk_exact(corpus, queries, 7)) == _brute(cv, qv, 7)
 
 
+def test_exact_search_leaves_the_corpus_in_place(spark, small, tmp_path, monkeypatch):
+    """Blocks of a few rows on both sides, of two lengths: every pair is scored, and no shuffle carries a corpus vector."""
+    cv, corpus, qv, queries = small
+    monkeypatch.setattr(search, "PACKED_BYTES", 70 * 64)
+    monkeypatch.setattr(search, "ASKED_BYTES", 6 * 64)
+    mixed = corpus.unionByName(spark.createDataFrame([(1000 + i, [1.0, float(i)]) for i in range(9)], "id long, embedding array<double>"))
+    asked = queries.unionByName(spark.createDataFrame([(500, [0.0, 1.0])], "query_id long, embedding array<double>"))
+    mixed.write.parquet(str(tmp_path / "c"))
+    asked.write.parquet(str(tmp_path / "q"))
+    out = search.topk_exact(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "q")), 3)
+    assert _got(out) == _brute(cv, qv, 3) | {500: [1008, 1007, 1006]}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "FlatMapCoGroups" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_ties_within_the_rounding_go_to_the_smaller_id(spark):
+    vectors = [(i, [1.0 + (i % 7) * 1e-11, 0.0]) for i in range(300, 0, -1)] + [(None, [0.5, 0.0])]
+    corpus = spark.createDataFrame(vectors, "id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
+    assert _got(search.topk_exact(corpus, asked, 4)) == {1: [1, 2, 3, 4]}
+
+
 def test_fewer_rows_than_k(small):
     cv, corpus, qv, queries = small
     got = _got(search.topk_exact(corpus, queries, 10, where=F.col("id") >= 596))
