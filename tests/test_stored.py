@@ -1,9 +1,12 @@
 """Bounded runs over stored records."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from eventloom.schema import RECORD_SCHEMA
 from eventloom.sources.records import encode_records
+from eventloom.sources import stored
 from eventloom.sources.stored import RecordLog, share
 
 
@@ -60,3 +63,41 @@ def test_a_batch_that_broke_off_is_made_again(spark, tmp_path):
         assert "lost" in str(error)
     assert log.consume(per_batch=20) == 20 and tries == [0, 1, 1, 2]
     assert sorted(int(r["event_id"]) for r in log.events().collect()) == list(range(60))
+
+
+def test_a_batch_opens_the_files_of_its_offsets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "FILE_ROWS", 25)
+    source = str(tmp_path / "log")
+    _records(spark, source, 100)
+    log = RecordLog(spark, source, str(tmp_path / "out"))
+    start, target = {"0": 2, "1": 0, "2": 5}, {"0": 30, "1": 33, "2": 33}
+    held = log._in_order(start, target)
+    options = {"path": source, "perBatch": "9", "start": json.dumps(start), "target": json.dumps(target), "ordered": json.dumps(held)}
+    reader, at, seen = stored.StoredRecordReader(options), start, []
+    while (end := reader.latestOffset()) != at:
+        (task,) = reader.partitions(at, end)
+        assert all(source not in r.files and len(r.files) <= 2 for r in task.ranges)
+        seen += [(r["partition"], r["offset"]) for batch in reader.read(task) for r in batch.to_pylist()]
+        at = dict(end)
+    assert sorted(seen) == [(int(p), o) for p in start for o in range(start[p], target[p])]
+    # Offsets outside of the run are still found.
+    (task,) = reader.partitions({"0": 0, "1": 33, "2": 33}, {"0": 34, "1": 33, "2": 33})
+    assert [r.files for r in task.ranges if r.end > r.start] == [[source]]
+    assert sum(b.num_rows for b in reader.read(task)) == 34
+
+
+def test_a_run_of_many_batches_reads_the_folder_once(spark, tmp_path):
+    source = str(tmp_path / "log")
+    _records(spark, source, 60)
+    log = RecordLog(spark, source, str(tmp_path / "out"))
+    put = log._put
+
+    def and_spoil(batch, batch_id):
+        put(batch, batch_id)
+        (tmp_path / "log" / "late.parquet").write_text("not a Parquet file")
+
+    log._put = and_spoil
+    assert log.consume(per_batch=20) == 60
+    assert sorted(int(r["event_id"]) for r in log.events().collect()) == list(range(60))
+    want = [(p, n, r) for ends, rows in (((7, 7, 6), (7, 7, 6)), ((14, 14, 12), (7, 7, 6)), ((20, 20, 20), (6, 6, 8))) for p, n, r in zip(range(3), ends, rows)]
+    assert sorted(map(tuple, log.offsets.read().collect())) == sorted(want)
