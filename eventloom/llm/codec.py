@@ -3,8 +3,8 @@
 Ids are cut into blocks that are coded independently, each from a fresh model, and carry the crc32 of their ids. Per id,
 the first symbol says which prediction holds: that of order 2 (the id that last followed the two before it), that of
 order 1 (the one before it), or neither; its odds adapt to how the predictions agree. An id that neither predicts is
-spelled in 4-bit digits by adaptive order-0 odds. All blocks of a chunk advance together, one id
-at a time, so each step is a few array operations over all of them.
+spelled in 4-bit digits by adaptive order-0 odds. Two symbols in a row narrow the interval at once, by the product of their
+odds. All blocks of a chunk advance together, one id at a time, so each step is a few array operations over all of them.
 
 Chunk layout, little-endian: ``<4I`` ids, ids per block, digits, blocks; then per block ``<2I`` 16-bit words and crc32;
 then the words of all blocks.
@@ -24,6 +24,7 @@ _FLOOR = 33
 _SLOTS = 256
 _U = np.uint64
 _MASK = _U((1 << 48) - 1)
+_PAIR, _LEAST = _U(2 * _BITS), _U(1 << 32)
 
 
 def _odds(symbols: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,20 +108,21 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
 
     def put(low: np.ndarray, span: np.ndarray, start: np.ndarray, size: np.ndarray, who: np.ndarray) -> None:
         """Narrow the intervals of the blocks ``who`` in place; words that are settled go out."""
-        span >>= _U(_BITS)
+        span >>= _PAIR
         low += span * start.astype(_U)
         span *= size.astype(_U)
         if low.max(initial=_U(0)) > _MASK:
             carry = who[low > _MASK]
             out[carry, at[carry] - 1] += np.uint32(1)
             low &= _MASK
-        short = np.flatnonzero(span < _U(1 << 32))
-        if len(short):
-            x, place = low[short], who[short]
+        short = np.flatnonzero(span < _LEAST)
+        while len(short):
+            x, place, wider = low[short], who[short], span[short] << _U(16)
             out[place, at[place]] = x >> _U(32)
             at[place] += 1
             low[short] = (x << _U(16)) & _MASK
-            span[short] <<= _U(16)
+            span[short] = wider
+            short = short[wider < _LEAST]
 
     for x in columns:
         if at.max() + 8 + digits > width:
@@ -129,15 +131,28 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         model.predict()
         flag = np.where(model.p2 == x + 1, 0, np.where(model.p1 == x + 1, 1, 2))
         rows = model.flags.take(model.context, 0)
-        put(low, span, *_ends(rows, lane3 + flag, flag), lane)
+        start, size = (e.astype(np.int32) for e in _ends(rows, lane3 + flag, flag))
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
         spelled = np.flatnonzero(flag == 2)
-        l, s, y, before = low[spelled], span[spelled], x[spelled], 0
+        y, before, outer = x[spelled], 0, size[spelled]
+        start <<= _BITS
+        size <<= _BITS
         for d in range(digits):
             table, digit = model.digits[d], (y >> (4 * (digits - 1 - d))) & 15
             index = spelled * 16 + before if d else spelled
             rows = table.take(index, 0)
-            put(l, s, *_ends(rows, lane16[: len(y)] + digit, digit), spelled)
+            first, share = _ends(rows, lane16[: len(y)] + digit, digit)
+            if not d:
+                start[spelled] += outer * first
+                size[spelled] = outer * share
+                put(low, span, start, size, lane)
+                l, s = low[spelled], span[spelled]
+            elif d % 2 and d + 1 < digits:
+                start, outer = first.astype(np.int32) << _BITS, share.astype(np.int32)
+            elif d % 2:
+                put(l, s, first.astype(np.int32) << _BITS, share.astype(np.int32) << _BITS, spelled)
+            else:
+                put(l, s, start + outer * first, outer * share, spelled)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
             before = digit
         low[spelled], span[spelled] = l, s
@@ -177,33 +192,55 @@ def decode(chunk: bytes) -> np.ndarray:
     def take(code: np.ndarray, span: np.ndarray, start: np.ndarray, size: np.ndarray, part: np.ndarray, who: np.ndarray) -> None:
         code -= part * start.astype(_U)
         np.multiply(part, size.astype(_U), out=span)
-        short = np.flatnonzero(span < _U(1 << 32))
-        if len(short):
-            place = who[short]
+        short = np.flatnonzero(span < _LEAST)
+        while len(short):
+            place, wider = who[short], span[short] << _U(16)
             code[short] = (code[short] << _U(16)) | words[np.minimum(at[place], top)]
             at[place] += 1
-            span[short] <<= _U(16)
+            span[short] = wider
+            short = short[wider < _LEAST]
+
+    def goals(code: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return np.minimum(code // part, _U((1 << 2 * _BITS) - 1)).astype(np.int32)
 
     out = np.zeros((block, lanes), np.int64)
     for step in range(block):
         model.predict()
         rows = model.flags.take(model.context, 0)
-        part = span >> _U(_BITS)
-        goal = np.minimum(code // part, _U(_TOTAL - 1)).astype(np.int16)
-        flag = (goal >= rows[:, 0]).astype(np.int64) + (goal >= rows[:, 1])
-        take(code, span, *_ends(rows, lane3 + flag, flag), part, lane)
+        part = span >> _PAIR
+        goal = goals(code, part)
+        outer = (goal >> _BITS).astype(np.int16)
+        flag = (outer >= rows[:, 0]).astype(np.int64) + (outer >= rows[:, 1])
+        start, size = (e.astype(np.int32) for e in _ends(rows, lane3 + flag, flag))
         model.adapt(model.flags, model.context, rows, _FLAG_AIM, flag)
         x = np.where(flag == 0, model.p2, model.p1).astype(np.int64) - 1
         spelled = np.flatnonzero(flag == 2)
-        c, s, y, before = code[spelled], span[spelled], np.zeros(len(spelled), np.int64), 0
+        y, before, outer = np.zeros(len(spelled), np.int64), 0, size[spelled]
+        start <<= _BITS
+        size <<= _BITS
+        inner = ((goal[spelled] - start[spelled]) // outer).astype(np.int16)
         for d in range(digits):
             table = model.digits[d]
             index = spelled * 16 + before if d else spelled
             rows = table.take(index, 0)
-            part = s >> _U(_BITS)
-            goal = np.minimum(c // part, _U(_TOTAL - 1)).astype(np.int16)
-            digit = _below(rows, goal)
-            take(c, s, *_ends(rows, lane16[: len(y)] + digit, digit), part, spelled)
+            if d % 2:
+                part = s >> _PAIR
+                goal = goals(c, part)
+                inner = (goal >> _BITS).astype(np.int16)
+            digit = _below(rows, inner)
+            first, share = _ends(rows, lane16[: len(y)] + digit, digit)
+            if not d:
+                start[spelled] += outer * first
+                size[spelled] = outer * share
+                take(code, span, start, size, part, lane)
+                c, s = code[spelled], span[spelled]
+            elif d % 2 and d + 1 < digits:
+                start, outer = first.astype(np.int32) << _BITS, share.astype(np.int32)
+                inner = ((goal - start) // outer).astype(np.int16)
+            elif d % 2:
+                take(c, s, first.astype(np.int32) << _BITS, share.astype(np.int32) << _BITS, part, spelled)
+            else:
+                take(c, s, start + outer * first, outer * share, part, spelled)
             model.adapt(table, index, rows, _DIGIT_AIM, digit)
             y = y * 16 + digit
             before = digit

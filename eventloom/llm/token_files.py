@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from eventloom.llm.codec import decode, encode
 from eventloom.llm.common import in_pieces, texts
-from eventloom.llm.tokens import PieceEncoder
+from eventloom.llm.tokens import worker_encoder
 
 CHUNK, BLOCK = 4_000_000, 1024
 SCHEMA = "part int, chunk int, doc_ids array<long>, counts array<long>, payload binary"
@@ -29,7 +29,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, chunk
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = worker_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         names, ids, held, done, part = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -47,10 +47,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, chunk
             return row
 
         for batch in in_pieces(batches):
-            for name, at, text in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), texts(batch)):
+            coded = encoder.ids_of(texts(batch))
+            for name, at, raw in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), coded):
                 part = at
                 names.append(name)
-                ids.append(encoder.ids(text) + end)
+                ids.append(raw + end)
                 held += len(ids[-1]) // 4
                 if held >= chunk:
                     yield flush()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -21,6 +22,8 @@ BYTE_PATTERN = f"{_PARTS}| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_N
 WORD_PATTERN = f"{_PARTS}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
 # Characters whose handling the patterns above do not cover (U+0130 changes length in lower case).
 _OTHER = "[\x00İƀ-\U0010ffff]"
+# What str.split takes for white space and the patterns do not.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _END_OF_WORD = "</w>"
 
 
@@ -31,6 +34,18 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Numbers(dict):
+    """Numbers strings in the order in which they are first asked for; ``new`` collects them."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
 class PieceEncoder:
     """Ids of a tokenizer file as little-endian unsigned 32-bit bytes, with a bounded cache of pre-tokens.
 
@@ -45,7 +60,8 @@ class PieceEncoder:
             spec = json.load(f)
         self.library = Tokenizer.from_file(path)
         vocab = spec["model"]["vocab"]
-        specials = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self._specials = [t["content"] for t in spec["added_tokens"]]
+        specials = [re.escape(t) for t in self._specials]
         self.words = any(t.endswith(_END_OF_WORD) for t in vocab)
         self._pattern = WORD_PATTERN if self.words else BYTE_PATTERN
         self._find = re.compile(self._pattern).findall
@@ -63,6 +79,7 @@ class PieceEncoder:
         )
         self._limit = limit
         self.cache: dict[str, bytes] = {}
+        self._runs, self._raw = _Numbers(), []
 
     def odd(self, text: str) -> bool:
         return self._odd(text) is not None
@@ -110,6 +127,37 @@ class PieceEncoder:
             self.cache.update(zip(new, self.encode_pieces(new)))
             return b"".join(map(self.cache.__getitem__, pieces))
 
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """``ids`` of many texts. No pre-token of a word file holds white space, so there they follow from whole runs between it."""
+        if not self.words:
+            return [self.ids(t) for t in texts]
+        if len(self._runs) > self._limit:
+            self._runs, self._raw = _Numbers(), []
+        number = self._runs.__getitem__
+        runs = [None if any(map(t.__contains__, _SEPARATORS)) or self._maybe_odd(t) and self._odd(t) else list(map(number, t.split())) for t in texts]
+        self._learn_runs()
+        raw = self._raw.__getitem__
+        return [self.ids(t) if r is None else b"".join(map(raw, r)) for t, r in zip(texts, runs)]
+
+    def _maybe_odd(self, text: str) -> bool:
+        """False only where ``odd`` is: plain ASCII without NUL and special strings."""
+        return not text.isascii() or "\0" in text or any(map(text.__contains__, self._specials))
+
+    def _learn_runs(self) -> None:
+        """The ids of the runs that have got a number but no ids yet."""
+        if not self._runs.new:
+            return
+        pieces = re.findall(f"{self._pattern}|\n", "\n".join(self._runs.new).lower() + "\n")
+        self._runs.new.clear()
+        if len(self.cache) > self._limit:
+            self.cache.clear()
+        new = list(set(pieces).difference(self.cache, "\n"))
+        self.cache.update(zip(new, self.encode_pieces(new)))
+        self.cache["\n"] = b"\xff" * 4  # no id
+        raw = b"".join(map(self.cache.__getitem__, pieces))
+        ends = (np.flatnonzero(np.frombuffer(raw, "<u4") == 0xFFFFFFFF) * 4).tolist()
+        self._raw += [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
+
     def library_pieces(self, text: str) -> list[str]:
         """Pre-tokens of any text by the library's own rules, special strings as pieces of their own.
 
@@ -131,3 +179,9 @@ class PieceEncoder:
         plain = [p for p in pieces if not self._odd(p)]
         known = dict(zip(plain, (len(x) // 4 for x in self.encode_pieces(plain))))
         return [known[p] if p in known else len(self.library.encode(p, add_special_tokens=False).ids) for p in pieces]
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> PieceEncoder:
+    """The encoder of a file that all tasks of one Python worker share."""
+    return PieceEncoder(path)

@@ -45,6 +45,23 @@ def test_ids_equal_the_library(path, rows):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:60]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_ids_of_many_texts(path, rows, monkeypatch):
+    odd = ["a\x1cb c", "\x85x\xa0y's'rez", "café İ", "x<|endoftext|> y", "\0 a", "a'LL don't  it's", "12 3\t4", "", "  ", "ſs Ab\x1f", "日本 go"]
+    texts = [*(r[1] or "" for r in rows), *odd] * 2
+    encoder, calls = tokens.PieceEncoder(path, limit=50), []
+    want = [encoder.by_library(t) for t in texts]
+    assert [x for i in range(0, len(texts), 7) for x in encoder.ids_of(texts[i : i + 7])] == want
+    # One call to the coder for all new words of plain texts, none for known ones.
+    encoder, plain = tokens.worker_encoder(path), [f"Some plain{i} words, {i} times" for i in range(50)]
+    code = tokens.PieceEncoder.encode_pieces
+    monkeypatch.setattr(tokens.PieceEncoder, "encode_pieces", lambda self, pieces: calls.append(len(pieces)) or code(self, pieces))
+    assert tokens.worker_encoder(path) is encoder
+    for _ in range(2):
+        assert encoder.ids_of(plain) == [encoder.by_library(t) for t in plain]
+        assert path == BYTES or len(calls) == 1
+
+
 def test_token_counts(docs, rows, spark):
     want = Counter()
     for r in rows:
@@ -186,6 +203,18 @@ def test_codec_round_trip():
     assert len(codec.encode(texts[-1])) < 4000 * 2 / 2
 
 
+def test_codec_narrows_by_two_symbols_at_once(monkeypatch):
+    carried, least = [], np.flatnonzero
+    monkeypatch.setattr(codec.np, "flatnonzero", lambda x: carried.append(len(x)) or least(x))
+    ids = np.random.default_rng(3).integers(0, 1 << 16, 64)
+    chunk = codec.encode(ids, 64)
+    assert len(carried) == 64 * 4  # who spells, and three intervals for a flag and four digits
+    assert (codec.decode(chunk) == ids).all()
+    for digits in range(1, 6):
+        ids = np.random.default_rng(digits).geometric(16.0**-digits * 3, 3000) % 16**digits
+        assert all((codec.decode(codec.encode(ids, block)) == ids).all() for block in (1, 64, 1000))
+
+
 def test_codec_checks_blocks():
     raw = bytearray(codec.encode(np.arange(5000) % 700))
     raw[len(raw) // 2] ^= 64
