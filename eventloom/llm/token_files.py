@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventloom.llm.codec import decode, encode
 from eventloom.llm.common import in_pieces, texts
+from eventloom.llm.mixture import decode, encode
 from eventloom.llm.tokens import worker_encoder
 
 CHUNK, BLOCK = 4_000_000, 1024
@@ -20,7 +20,7 @@ SCHEMA = "part int, chunk int, doc_ids array<long>, counts array<long>, payload
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, chunk: int = CHUNK) -> None:
     """Write the ids of every document, each closed by ``end_id``, in ascending order of doc_id below ``path``.
 
-    A file is a Parquet file of chunks: whole documents of about ``chunk`` ids as one payload (see ``codec``) with the
+    A file is a Parquet file of chunks: whole documents of about ``chunk`` ids as one payload (see ``mixture``) with the
     ids and lengths of its documents. Chunks are ordered by ``part`` and ``chunk``. Spark's commit keeps files of lost
     or repeated tasks out.
 

@@ -2,7 +2,8 @@
 
 Byte-pair merges never cross a pre-token, so the ids of a text are those of its pre-tokens in a row. Texts of
 characters below U+0180 are cut by an equivalent pattern and each distinct pre-token is encoded once; any other
-text, and any that holds NUL or a special string, goes to the ``tokenizers`` library as it is.
+text, and any that holds NUL or a special string, goes to the ``tokenizers`` library as it is. Many texts of a word file
+are cut at once, by the kinds of their characters.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 # The pre-token patterns of the two files, for characters below U+0180.
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
@@ -22,8 +24,6 @@ BYTE_PATTERN = f"{_PARTS}| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_N
 WORD_PATTERN = f"{_PARTS}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
 # Characters whose handling the patterns above do not cover (U+0130 changes length in lower case).
 _OTHER = "[\x00İƀ-\U0010ffff]"
-# What str.split takes for white space and the patterns do not.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _END_OF_WORD = "</w>"
 
 
@@ -34,16 +34,37 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Numbers(dict):
-    """Numbers strings in the order in which they are first asked for; ``new`` collects them."""
+_SPACES, _LETTERS, _NUMBERS, _OTHERS, _ODD_ONES = range(5)
 
-    def __init__(self) -> None:
-        self.new: list[str] = []
 
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
+def _kinds() -> np.ndarray:
+    """The kind of each character below U+0180, by the patterns above, and of all others."""
+    plain = "".join(map(chr, range(0x180)))
+    kinds = np.full(0x181, _OTHERS, np.uint8)
+    for kind, chars in ((_SPACES, _SPACE), (_LETTERS, _LETTER), (_NUMBERS, _NUMBER)):
+        kinds[[m.start() for m in re.finditer(f"[{chars}]", plain)]] = kind
+    kinds[[0, 0x130, 0x180]] = _ODD_ONES
+    return kinds
+
+
+_KINDS = _kinds()
+# The characters below U+0180 in lower case.
+_LOWER = np.array([ord(chr(i).lower()[0]) for i in range(0x180)] + [0], "<u2")
+
+
+def _starts(low: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of a word file start. ``low`` is in lower case and ends in two characters that are no letters."""
+    starts = kinds != _SPACES
+    starts[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _NUMBERS)
+    # 's, 't, 'm, 'd, 're, 've, 'll are one where the apostrophe starts a pre-token.
+    marks = np.flatnonzero((low[:-2] == ord("'")) & starts[:-2])
+    after, then = low[marks + 1], low[marks + 2]
+    pairs = [(after == ord(x)) & (then == ord(y)) for x, y in ("re", "ve", "ll")]
+    for length, found in ((2, np.isin(after, [ord(c) for c in "stmd"])), (3, np.logical_or.reduce(pairs))):
+        mark = marks[found]
+        starts[mark + 1] = False
+        starts[mark + length] = kinds[mark + length] != _SPACES
+    return starts
 
 
 class PieceEncoder:
@@ -79,7 +100,7 @@ class PieceEncoder:
         )
         self._limit = limit
         self.cache: dict[str, bytes] = {}
-        self._runs, self._raw = _Numbers(), []
+        self._forget()
 
     def odd(self, text: str) -> bool:
         return self._odd(text) is not None
@@ -127,36 +148,50 @@ class PieceEncoder:
             self.cache.update(zip(new, self.encode_pieces(new)))
             return b"".join(map(self.cache.__getitem__, pieces))
 
+    def _forget(self) -> None:
+        """Empty the store of pre-tokens of many texts: the place and length of each one's ids in one array."""
+        self._known: dict[bytes, int] = {}
+        self._ids, self._at, self._length = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of distinct pre-tokens in UTF-16; new ones are encoded together."""
+        numbers = [self._known.get(p, -1) for p in pieces]
+        new = [i for i, n in enumerate(numbers) if n < 0]
+        if new:
+            coded = self.encode_pieces([pieces[i].decode("utf-16-le") for i in new])
+            lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            self._at = np.concatenate((self._at, len(self._ids) + np.cumsum(lengths) - lengths))
+            self._length = np.concatenate((self._length, lengths))
+            self._ids = np.concatenate((self._ids, np.frombuffer(b"".join(coded), "<u4")))
+            for i in new:
+                self._known[pieces[i]] = numbers[i] = len(self._known)
+        return np.array(numbers, np.int64)
+
     def ids_of(self, texts: list[str]) -> list[bytes]:
-        """``ids`` of many texts. No pre-token of a word file holds white space, so there they follow from whole runs between it."""
-        if not self.words:
+        """``ids`` of many texts."""
+        if not self.words or not texts:
             return [self.ids(t) for t in texts]
-        if len(self._runs) > self._limit:
-            self._runs, self._raw = _Numbers(), []
-        number = self._runs.__getitem__
-        runs = [None if any(map(t.__contains__, _SEPARATORS)) or self._maybe_odd(t) and self._odd(t) else list(map(number, t.split())) for t in texts]
-        self._learn_runs()
-        raw = self._raw.__getitem__
-        return [self.ids(t) if r is None else b"".join(map(raw, r)) for t, r in zip(texts, runs)]
-
-    def _maybe_odd(self, text: str) -> bool:
-        """False only where ``odd`` is: plain ASCII without NUL and special strings."""
-        return not text.isascii() or "\0" in text or any(map(text.__contains__, self._specials))
-
-    def _learn_runs(self) -> None:
-        """The ids of the runs that have got a number but no ids yet."""
-        if not self._runs.new:
-            return
-        pieces = re.findall(f"{self._pattern}|\n", "\n".join(self._runs.new).lower() + "\n")
-        self._runs.new.clear()
-        if len(self.cache) > self._limit:
-            self.cache.clear()
-        new = list(set(pieces).difference(self.cache, "\n"))
-        self.cache.update(zip(new, self.encode_pieces(new)))
-        self.cache["\n"] = b"\xff" * 4  # no id
-        raw = b"".join(map(self.cache.__getitem__, pieces))
-        ends = (np.flatnonzero(np.frombuffer(raw, "<u4") == 0xFFFFFFFF) * 4).tolist()
-        self._raw += [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
+        if len(self._known) > self._limit:
+            self._forget()
+        text = np.frombuffer("\n".join([*texts, "\n"]).encode("utf-32-le"), "<u4")
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        kinds, low = _KINDS.take(text, mode="clip"), _LOWER.take(text, mode="clip")
+        odd = {int(i) for i in np.searchsorted(ends, np.flatnonzero(kinds == _ODD_ONES), "right")}
+        odd.update(i for i, t in enumerate(texts) if any(map(t.__contains__, self._specials)))
+        for i in odd:
+            kinds[ends[i] - len(texts[i]) - 1 : ends[i]] = _SPACES
+        starts, held = _starts(low, kinds), kinds != _SPACES
+        low = low[held]
+        offsets = np.append(np.flatnonzero(starts[held]), len(low)) * 2
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+        pieces = pieces.dictionary_encode()
+        numbers = self._numbers(pieces.dictionary.to_pylist()).take(pieces.indices.to_numpy())
+        lengths = self._length.take(numbers)
+        after = np.cumsum(lengths)
+        raw = self._ids.take(np.repeat(self._at.take(numbers) - after + lengths, lengths) + np.arange(lengths.sum())).tobytes()
+        # Ids before the end of each text.
+        after = np.append(0, after)[np.searchsorted(np.flatnonzero(starts), ends)] * 4
+        return [self.by_library(t) if i in odd else raw[a:b] for i, (t, a, b) in enumerate(zip(texts, [0, *after[:-1].tolist()], after.tolist()))]
 
     def library_pieces(self, text: str) -> list[str]:
         """Pre-tokens of any text by the library's own rules, special strings as pieces of their own.

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from eventloom.llm import codec, collisions, components, fingerprints, jaccard, licenses, mixing, packing, quality, shingles, token_counts, token_files, tokens, toxicity
+from eventloom.llm import codec, collisions, components, fingerprints, jaccard, licenses, mixing, mixture, packing, quality, shingles, token_counts, token_files, tokens, toxicity
 from eventloom.session import scratch_path
 from tests.llm import cases
 
@@ -62,6 +62,17 @@ def test_ids_of_many_texts(path, rows, monkeypatch):
         assert path == BYTES or len(calls) == 1
 
 
+def test_word_pieces_are_cut_as_by_the_library():
+    dice, encoder = random.Random(5), tokens.PieceEncoder(WORDS, limit=2000)
+    alphabet = "aZéÿſŸ'’19½ \n\t\x1c\x85\xa0.,&-stmdrevlSLİ日\0"
+    texts = ["".join(dice.choice(alphabet[: dice.choice((12, 34, 40))]) for _ in range(dice.randrange(30))) for _ in range(1500)]
+    texts += ["x'", "'", "'r", "it's'll've", "'s" * 9, "12's.'t", "<|startoftext|>a", "a<|endoftext|>"]
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        assert encoder.ids_of(some) == [encoder.by_library(t) for t in some]
+    assert encoder.ids_of([]) == []
+
+
 def test_token_counts(docs, rows, spark):
     want = Counter()
     for r in rows:
@@ -222,6 +233,55 @@ def test_codec_checks_blocks():
         codec.decode(bytes(raw))
 
 
+def test_mixture_round_trip():
+    dice = np.random.default_rng(3)
+    tops = ((2, 5000), (49408, 3000), (300, 1), (1 << 20, 2500), (16, 2048), (1, 9), (5, 0), (1 << 17, 200_000))
+    texts = [dice.integers(0, top, n) for top, n in tops] + [np.tile(dice.integers(0, 40000, 50), 80)]
+    for ids in texts:
+        for block in (1, 64, 1024):
+            assert (mixture.decode(mixture.encode(ids, block)) == ids).all()
+    assert len(mixture.encode(texts[-1])) < 600
+    ids = dice.zipf(1.3, 300_000) % 40_000
+    chunk = mixture.encode(ids, 64)  # more blocks than advance together, and carries
+    assert (mixture.decode(chunk) == ids).all()
+    assert len(chunk) < len(codec.encode(ids, 64))
+    assert (mixture.decode(codec.encode(ids, 64)) == ids).all()  # chunks of files that were written before
+
+
+def test_mixture_adds_the_odds_of_all_orders(monkeypatch):
+    calls, interval = [], mixture._Model.interval
+    monkeypatch.setattr(mixture._Model, "interval", lambda self, *a: calls.append(0) or interval(self, *a))
+    ids = np.tile([3, 1, 4, 1, 5, 9, 2, 6], 40)
+    chunk = mixture.encode(ids, 64)
+    assert len(calls) == 64  # all blocks at once, one interval an id
+    assert (mixture.decode(chunk) == ids).all()
+    model, every = mixture._Model(1, np.array([5, 9, 2]), 4), np.arange(1, 4, dtype=np.int32)
+    for first, second in ((0, 0), (2, 0), (0, 3), (1, 2), (2, 1), (3, 3)):
+        model.first[:], model.second[:] = first, second
+        model.predict()
+        start, size = interval(model, every, model.p1 == every, model.p2 == every)
+        weights = model.w0[0], model.w1[0] >> 4, model.w2[0] >> 4
+        want = [weights[0] * s + 16 * (weights[1] * (first == x) + weights[2] * (second == x)) for x, s in zip(every, (5, 9, 2))]
+        assert size.tolist() == want and start.tolist() == [0, want[0], want[0] + want[1]]
+        assert sum(weights) == 256 and sum(want) == 16 * (256 - weights[1] * (not first) - weights[2] * (not second))
+
+
+def test_mixture_blocks_stand_alone():
+    ids = np.arange(5000) * 7919 % 700
+    chunk = mixture.encode(ids, 500)
+    first = mixture.encode(np.concatenate((ids[:500], ids[500:][::-1])), 500)
+    assert len(first) == len(chunk)
+    table = 24 + int.from_bytes(chunk[20:24], "little")
+    words = table + 80
+    size = 4 * int.from_bytes(chunk[table : table + 4], "little")
+    assert chunk[words : words + size] == first[words : words + size]  # what follows a block does not change it
+    for at in (30, words + 3, len(chunk) - 50):
+        raw = bytearray(chunk)
+        raw[at] ^= 64
+        with pytest.raises(ValueError, match="block|table"):
+            mixture.decode(bytes(raw))
+
+
 def test_token_files(docs, rows, spark):
     def written(frame, chunk):
         path = scratch_path(spark, "files")
