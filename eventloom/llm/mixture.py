@@ -24,10 +24,10 @@ BLOCK = 1024
 _MARK, _HEAD = b"mix1", 24
 _U = np.uint64
 _HALF, _LEAST = _U(32), _U(1 << 32)
-_SLOTS = 256
+_SLOTS = 256  # as many as a byte has values
 _WEIGHT = 8  # bits of a weight
 _RATE = 5
-_GROUP = 2048  # blocks that advance together: their tables stay in the cache
+_GROUP = 4096  # blocks that advance together; bounds the tables
 # Two weights of 16 bits in one item, order 2 above order 1; together they stay below 2**16 - 1024, so order 0 keeps some.
 _KEEP = np.int32(0x07FF07FF)
 _GAIN = np.array([0, 1, 1 << 16, 1 << 16], np.int32) * np.int32(((1 << 16) - 1024) >> _RATE)
@@ -46,7 +46,7 @@ class _Model:
         self.first, self.second = np.zeros(lanes * _SLOTS, kind), np.zeros(lanes * _SLOTS, kind)
         self.weights = np.tile(_FRESH, lanes)
         self.case, self.base = np.arange(lanes) * len(_FRESH), np.arange(lanes) * _SLOTS
-        self.slot, self.at1, self.at2 = np.zeros(lanes, np.int64), self.base, self.base
+        self.slot, self.at1, self.at2 = np.zeros(lanes, np.uint8), self.base, self.base
 
     def predict(self) -> None:
         """What orders 1 and 2 predict, and the weights of the three orders: those of 1 and 2 times the sum of all shares."""
@@ -73,9 +73,8 @@ class _Model:
         self.weight += _GAIN.take(hit2.view(np.int8) * np.int8(2) + hit1)
         self.weights[self.at] = self.weight
         self.first[self.at1] = self.second[self.at2] = x.astype(self.first.dtype)
-        self.at2 = self.base + ((x + self.slot * 37) & (_SLOTS - 1))
-        self.slot = (x & (_SLOTS - 1)).astype(np.int64)
-        self.at1 = self.base + self.slot
+        before, self.slot = self.slot, x.astype(np.uint8)
+        self.at1, self.at2 = self.base + self.slot, self.base + (self.slot + before * np.uint8(37))
 
 
 def _shares(counts: np.ndarray) -> tuple[np.ndarray, int]:
@@ -91,7 +90,7 @@ def _encoded(columns: np.ndarray, shares: np.ndarray, bits: int) -> tuple[np.nda
     model, lane = _Model(lanes, shares, bits), np.arange(lanes)
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     # Words as they settle, whose they are, and where the last one of each block stands: a carry goes there.
-    out, who, at, end = np.zeros(columns.size, _U), np.zeros(columns.size, np.int32), np.zeros(lanes, np.int64), 0
+    out, who, at, end = np.zeros(columns.size, _U), np.zeros(columns.size, np.uint16), np.zeros(lanes, np.int64), 0
 
     def settle(short: np.ndarray) -> None:
         nonlocal out, who, end

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ def _kinds() -> np.ndarray:
 
 
 _KINDS = _kinds()
-# The characters below U+0180 in lower case.
-_LOWER = np.array([ord(chr(i).lower()[0]) for i in range(0x180)] + [0], "<u2")
+# The characters below U+0180 in lower case, white space as blanks, and above nine bits the kind of each.
+_CHARS = np.array([ord(chr(i).lower()[0]) for i in range(0x180)] + [0], "<u2")
+_CHARS[_KINDS == _SPACES] = ord(" ")
+_CHARS |= _KINDS.astype("<u2") << 9
 
 
 def _starts(low: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -153,19 +156,20 @@ class PieceEncoder:
         self._known: dict[bytes, int] = {}
         self._ids, self._at, self._length = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
-        """Numbers of distinct pre-tokens in UTF-16; new ones are encoded together."""
-        numbers = [self._known.get(p, -1) for p in pieces]
-        new = [i for i, n in enumerate(numbers) if n < 0]
-        if new:
-            coded = self.encode_pieces([pieces[i].decode("utf-16-le") for i in new])
+    def _numbers(self, pieces: np.ndarray) -> np.ndarray:
+        """Numbers of distinct pre-tokens in UTF-16, blanks after them or not; new ones are encoded together."""
+        numbers = np.fromiter(map(self._known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            some, known = pieces[new].tolist(), len(self._known)
+            coded = self.encode_pieces([p.rstrip(" ") for p in b"\0\0".join(some).decode("utf-16-le").split("\0")])
             lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
             self._at = np.concatenate((self._at, len(self._ids) + np.cumsum(lengths) - lengths))
             self._length = np.concatenate((self._length, lengths))
             self._ids = np.concatenate((self._ids, np.frombuffer(b"".join(coded), "<u4")))
-            for i in new:
-                self._known[pieces[i]] = numbers[i] = len(self._known)
-        return np.array(numbers, np.int64)
+            numbers[new] = np.arange(known, known + len(new))
+            self._known.update(zip(some, range(known, known + len(new))))
+        return numbers
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """``ids`` of many texts."""
@@ -175,22 +179,23 @@ class PieceEncoder:
             self._forget()
         text = np.frombuffer("\n".join([*texts, "\n"]).encode("utf-32-le"), "<u4")
         ends = np.cumsum([len(t) + 1 for t in texts])
-        kinds, low = _KINDS.take(text, mode="clip"), _LOWER.take(text, mode="clip")
+        chars = _CHARS.take(text, mode="clip")
+        low, kinds = chars & 0x1FF, (chars >> 9).astype(np.uint8)
         odd = {int(i) for i in np.searchsorted(ends, np.flatnonzero(kinds == _ODD_ONES), "right")}
         odd.update(i for i, t in enumerate(texts) if any(map(t.__contains__, self._specials)))
         for i in odd:
-            kinds[ends[i] - len(texts[i]) - 1 : ends[i]] = _SPACES
-        starts, held = _starts(low, kinds), kinds != _SPACES
-        low = low[held]
-        offsets = np.append(np.flatnonzero(starts[held]), len(low)) * 2
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+            kinds[ends[i] - len(texts[i]) - 1 : ends[i]], low[ends[i] - len(texts[i]) - 1 : ends[i]] = _SPACES, ord(" ")
+        # Each pre-token with the blanks after it.
+        begins = np.flatnonzero(_starts(low, kinds))
+        offsets = np.append(begins, len(low)) * 2
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(low)])
         pieces = pieces.dictionary_encode()
-        numbers = self._numbers(pieces.dictionary.to_pylist()).take(pieces.indices.to_numpy())
+        numbers = self._numbers(pieces.dictionary.to_numpy(zero_copy_only=False)).take(pieces.indices.to_numpy())
         lengths = self._length.take(numbers)
         after = np.cumsum(lengths)
         raw = self._ids.take(np.repeat(self._at.take(numbers) - after + lengths, lengths) + np.arange(lengths.sum())).tobytes()
         # Ids before the end of each text.
-        after = np.append(0, after)[np.searchsorted(np.flatnonzero(starts), ends)] * 4
+        after = np.append(0, after)[np.searchsorted(begins, ends)] * 4
         return [self.by_library(t) if i in odd else raw[a:b] for i, (t, a, b) in enumerate(zip(texts, [0, *after[:-1].tolist()], after.tolist()))]
 
     def library_pieces(self, text: str) -> list[str]:

@@ -67,6 +67,7 @@ def test_word_pieces_are_cut_as_by_the_library():
     alphabet = "aZéÿſŸ'’19½ \n\t\x1c\x85\xa0.,&-stmdrevlSLİ日\0"
     texts = ["".join(dice.choice(alphabet[: dice.choice((12, 34, 40))]) for _ in range(dice.randrange(30))) for _ in range(1500)]
     texts += ["x'", "'", "'r", "it's'll've", "'s" * 9, "12's.'t", "<|startoftext|>a", "a<|endoftext|>"]
+    texts += [f"1{chr(c)}a{chr(c)}'S{chr(c)}.{chr(c)}" for c in range(0x182)]
     for at in range(0, len(texts), 100):
         some = texts[at : at + 100]
         assert encoder.ids_of(some) == [encoder.by_library(t) for t in some]
@@ -242,7 +243,7 @@ def test_mixture_round_trip():
             assert (mixture.decode(mixture.encode(ids, block)) == ids).all()
     assert len(mixture.encode(texts[-1])) < 600
     ids = dice.zipf(1.3, 300_000) % 40_000
-    chunk = mixture.encode(ids, 64)  # more blocks than advance together, and carries
+    chunk = mixture.encode(ids, 64)  # more blocks than advance together
     assert (mixture.decode(chunk) == ids).all()
     assert len(chunk) < len(codec.encode(ids, 64))
     assert (mixture.decode(codec.encode(ids, 64)) == ids).all()  # chunks of files that were written before
