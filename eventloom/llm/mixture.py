@@ -51,8 +51,7 @@ class _Model:
     def predict(self) -> None:
         """What orders 1 and 2 predict, and the weights of the three orders: those of 1 and 2 times the sum of all shares."""
         self.p1, self.p2 = self.first.take(self.at1).astype(np.int32), self.second.take(self.at2).astype(np.int32)
-        self.same = self.p1 == self.p2
-        case = (self.p2 > 0).view(np.int8) * np.int8(2) + (self.p1 > 0) + self.same.view(np.int8) * np.int8(4)
+        case = (self.p2 > 0).view(np.int8) * np.int8(2) + (self.p1 > 0) + (self.p1 == self.p2).view(np.int8) * np.int8(4)
         self.at = self.case + case
         self.weight = self.weights.take(self.at)
         w1, w2 = (self.weight >> 8) & 0xFF, (self.weight >> 24) & 0xFF
@@ -165,16 +164,14 @@ def _decoded(words: np.ndarray, at: np.ndarray, block: int, shares: np.ndarray,
         p1, p2, w0, w1, w2 = model.p1, model.p2, model.w0, model.w1, model.w2
         span >>= model.total
         goal = np.minimum(code // span, most).astype(np.int32)
-        over1 = goal - w0 * model.below.take(p1) - w2 * (p2 < p1)
-        over2 = goal - w0 * model.below.take(p2) - w1 * (p1 < p2)
-        rest = goal - w1 * (over1 >= 0) - w2 * (over2 >= 0)
+        over1 = goal >= w0 * model.below.take(p1) + w2 * (p2 < p1)
+        over2 = goal >= w0 * model.below.take(p2) + w1 * (p1 < p2)
+        # What is left for order 0 names the id, or one before a prediction in whose interval the goal lies.
+        rest = goal - w1 * over1 - w2 * over2
         x = by_share.take((rest / w0).astype(np.int32), mode="clip")
-        size1, size2 = w0 * model.share.take(p1) + w1, w0 * model.share.take(p2) + w2
-        size1 += w2 * model.same
-        size2 += w1 * model.same
-        hit1, hit2 = over1.view(np.uint32) < size1.view(np.uint32), over2.view(np.uint32) < size2.view(np.uint32)
-        x += (p1 - x) * hit1
-        x += (p2 - x) * hit2
+        np.maximum(x, p1 * over1, out=x)
+        np.maximum(x, p2 * over2, out=x)
+        hit1, hit2 = p1 == x, p2 == x
         start, size = model.interval(x, hit1, hit2)
         start *= span
         code -= start
@@ -204,9 +201,9 @@ def decode(chunk: bytes) -> np.ndarray:
     heads = np.frombuffer(chunk, "<u4", 2 * lanes, _HEAD + length).reshape(lanes, 2)
     words = np.concatenate((np.frombuffer(chunk, "<u4", -1, _HEAD + length + 8 * lanes), np.zeros(2, "<u4"))).astype(_U)
     at = np.cumsum(heads[:, 0], dtype=np.int64) - heads[:, 0]
-    shares, distinct = table[kinds:], np.cumsum(table[:kinds], dtype=np.int64).astype("<u4")
+    shares, distinct = table[kinds:], np.concatenate(([0], np.cumsum(table[:kinds], dtype=np.int64))).astype("<u4")
     ranks = [_decoded(words, at[i : i + _GROUP], block, shares, bits).T for i in range(0, lanes, _GROUP)]
-    ids = distinct[np.concatenate(ranks).reshape(-1)[:n] - 1]
+    ids = distinct.take(np.concatenate(ranks).reshape(-1)[:n])
     raw = ids.tobytes()
     for i, want in enumerate(heads[:, 1].tolist()):
         if zlib.crc32(raw[4 * block * i : 4 * block * (i + 1)]) != want:
