@@ -101,3 +101,77 @@ def test_a_run_of_many_batches_reads_the_folder_once(spark, tmp_path):
     assert sorted(int(r["event_id"]) for r in log.events().collect()) == list(range(60))
     want = [(p, n, r) for ends, rows in (((7, 7, 6), (7, 7, 6)), ((14, 14, 12), (7, 7, 6)), ((20, 20, 20), (6, 6, 8))) for p, n, r in zip(range(3), ends, rows)]
     assert sorted(map(tuple, log.offsets.read().collect())) == sorted(want)
+
+
+def test_a_trigger_of_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "FILE_ROWS", 25)
+    source = str(tmp_path / "log")
+    _records(spark, source, 100)
+    log = RecordLog(spark, source, str(tmp_path / "out"))
+    start, target = {"0": 2, "1": 30, "2": 5}, {"0": 30, "1": 33, "2": 33}
+    held = log._in_order(start, target)
+    alone = {"path": source, "perBatch": "7", "start": json.dumps(start), "target": json.dumps(target), "ordered": json.dumps(held)}
+    one, at, want, batch = stored.StoredRecordReader(alone), start, [], 5
+    while (end := one.latestOffset()) != at:
+        want += [(batch, int(p), o) for p in end for o in range(at[p], end[p])]
+        at, batch = end, batch + 1
+    for shared, most in ((40_000, 1_000_000), (10, 1_000_000), (3, 2)):
+        monkeypatch.setattr(stored, "SHARED_OFFSETS", shared)
+        monkeypatch.setattr(stored, "TASK_OFFSETS", most)
+        reader = stored.StoredRecordReader(alone | {"number": "5", "together": "4"})
+        at, seen, ends = start, [], []
+        while (end := reader.latestOffset()) != at:
+            tasks = reader.partitions(at, end)
+            assert shared == 3 or all(len({i for i, t in enumerate(tasks) for r in t.ranges if r.batch == b}) == 1 for b in range(end["number"], reader.number))
+            seen += [(r["batch_id"], r["partition"], r["offset"]) for t in tasks for b in reader.read(t) for r in b.to_pylist()]
+            ends.append((at, end))
+            at = end
+        assert sorted(seen) == sorted(want) and len(ends) == 3
+        # Made again by a run that began later, with other batches, a trigger has the batches it had.
+        later = stored.StoredRecordReader({"path": source, "perBatch": "3", "start": json.dumps(target), "target": json.dumps(target), "number": "6"})
+        again = [(r["batch_id"], r["partition"], r["offset"]) for t in later.partitions(*ends[0]) for b in later.read(t) for r in b.to_pylist()]
+        assert sorted(again) == sorted(w for w in want if w[0] < 9) and later.number == 9
+        # One that was begun before batches were numbered takes a number, too.
+        assert later.partitions({"0": 0}, {"0": 1}) and later.number == 10
+
+
+def test_a_run_takes_many_batches_in_few_triggers(spark, tmp_path):
+    source = str(tmp_path / "log")
+    _records(spark, source, 60)
+    log = RecordLog(spark, source, str(tmp_path / "out"))
+    assert log.consume(per_batch=3) == 60
+    assert len([f for f in (tmp_path / "out" / "checkpoint" / "commits").iterdir() if f.name.isdigit()]) == 1
+    got = sorted((r["batch_id"], r["partition"], r["offset"]) for r in log.rows.batches().collect())
+    assert got == [(b, p, b) for b in range(20) for p in range(3)]
+    assert sorted(map(tuple, log.offsets.read().collect())) == sorted((p, b + 1, 1) for b in range(20) for p in range(3))
+
+
+def test_a_trigger_that_broke_off_goes_on_with_its_own_batches(spark, tmp_path):
+    source = str(tmp_path / "log")
+    _records(spark, source, 60)
+    log = RecordLog(spark, source, str(tmp_path / "out"))
+    put, tries = log._put, []
+    for lost in (0, 3):
+
+        def broken(batch, batch_id, lost=lost):
+            tries.append(batch_id)
+            put(batch, batch_id)
+            if batch_id == lost:
+                raise RuntimeError("lost")
+
+        log._put = broken
+        try:
+            log.consume(per_batch=12)
+            raise AssertionError("the failure should surface")
+        except AssertionError:
+            raise
+        except Exception as error:  # what the stream ends with
+            assert "lost" in str(error)
+    log._put = lambda batch, batch_id: (tries.append(batch_id), put(batch, batch_id))
+    _records(spark, source, 20, first=60)
+    assert log.taken() == 48 and log.consume(per_batch=15) == 32
+    assert tries == [0, 0, 1, 2, 3, 3, 4, 5, 6]
+    assert sorted(int(r["event_id"]) for r in log.events().collect()) == list(range(80))
+    sizes = {r["batch_id"]: r["count"] for r in log.rows.batches().groupBy("batch_id").count().collect()}
+    assert sizes == {**dict.fromkeys(range(5), 12), 5: 15, 6: 5}
+    assert sum(r["rows"] for r in log.offsets.read().collect()) == 80
